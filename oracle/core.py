@@ -25,7 +25,7 @@ QUERIES: dict[str, str] = {
     "slv_pc_weather_events": public("s_pc_weather", "insured_loss_eur_m"),
     "slv_pc_realtime_events": public("s_pc_realtime", "relevance_score"),
     "slv_pc_combined_ratios": "select * from b_pc_combined",
-    "slv_pc_loss_development": public("b_pc_triangle", "incremental_paid_eur_m"),
+    "slv_pc_loss_development": public("b_pc_triangle", "incremental_paid_eur_m case_reserves_eur_m"),
     "slv_pc_risk_exposure": public("b_pc_risk", "pml_eur climate_risk_factor"),
     "slv_pc_solvency_metrics": "select * from b_pc_solvency",
     "dq_report": """

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 CENTS = "decimal(18,2)"
 RATE = "decimal(18,6)"
+WIDE = "decimal(30,2)"  # money that is already a total
 
 
 def _col(c: Column | str) -> Column:
@@ -24,6 +25,11 @@ def total(c: Column | str, unit: str = CENTS) -> Column:
     return F.sum(_col(c).cast(unit)).cast("double")
 
 
+def retotal(c: Column | str) -> Column:
+    """Order-independent SUM of a mart's money column (totals of totals)."""
+    return total(c, WIDE)
+
+
 def mean(c: Column | str, unit: str = CENTS) -> Column:
     """Order-independent AVG over the non-NULL values."""
     return F.try_divide(total(c, unit), F.count(c))

@@ -1,27 +1,28 @@
-"""Every registered query by id: ``(workspace) -> DataFrame``."""
+"""Fills the query registry: silver, gold, quality, reports, rules, questions, feeds and streams."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pcmarts.functions.money import as_public
-from pcmarts.operators.shapes import stack
 from pcmarts.plans import gold, silver
+from pcmarts.plans import dashboard, event_report, examples, extras, questions, reports, rules, semantic  # noqa: F401
+from pcmarts.plans import feeds  # noqa: F401
+from pcmarts.plans.registry import QUERIES, query
 from pcmarts.workspace import Workspace
 
-QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {}
-
 for _name in silver.TABLES:
     QUERIES[f"slv_{_name}"] = lambda ws, n=_name: as_public(ws.table(n))
 
 for _name in gold.MARTS:
     QUERIES[f"gld_{_name}"] = lambda ws, n=_name: ws.table(n)
 
+QUERIES["dq_report"] = silver.dq_report
 
-def _flagged(ws: Workspace) -> DataFrame:
+
+@query("dq_expect_warn")
+def flagged_rows(ws: Workspace) -> DataFrame:
     """Rows kept and rows flagged by each warning rule."""
     warnings = silver.dq_report(ws).filter("action = 'warn'")
     return warnings.select(
@@ -29,8 +30,6 @@ def _flagged(ws: Workspace) -> DataFrame:
     )
 
 
-QUERIES["dq_report"] = silver.dq_report
-QUERIES["dq_expect_warn"] = _flagged
-QUERIES["dq_expect_or_drop"] = lambda ws: silver.silver(ws, "dim_customer").select(
-    "customer_id", "customer_name", "geo_id"
-)
+@query("dq_expect_or_drop")
+def surviving_customers(ws: Workspace) -> DataFrame:
+    return silver.silver(ws, "dim_customer").select("customer_id", "customer_name", "geo_id")

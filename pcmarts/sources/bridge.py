@@ -127,7 +127,8 @@ from (select cast(year(l_shipdate) as string)||'-Q'||cast(quarter(l_shipdate) as
 from {lineitem} join {b_pol} p on l_orderkey=p.policy_id group by 1,2,3) t""",
     "b_pc_triangle": """
 select cast(year(l_shipdate) as int) as accident_year, l_linenumber as development_period, case l_suppkey%3 when 0 then 'Personal' when 1 then 'Commercial' else 'Specialty' end as line_of_business,
-  sum(cast(l_extendedprice as decimal(18,2))) as incremental_paid_eur_m
+  sum(cast(l_extendedprice as decimal(18,2))) as incremental_paid_eur_m,
+  sum(case when l_linestatus='O' then cast(cast(l_extendedprice as decimal(18,2))*cast(0.2 as decimal(2,1)) as decimal(18,2)) else 0 end) as case_reserves_eur_m
 from {lineitem} where l_returnflag='R' group by 1,2,3""",
     "b_pc_treaty": """
 select s_suppkey as treaty_id, case s_suppkey%4 when 0 then 'QuotaShare' when 1 then 'Surplus' when 2 then 'XL' else 'Stop-Loss' end as treaty_type, 'Reinsurer '||cast(s_suppkey%5 as string) as reinsurer,
