@@ -10,6 +10,11 @@ def m(expr: str) -> str:
     return f"cast(sum(cast({expr} as decimal(30,2))) as double)"
 
 
+def half_up(expr: str, digits: int) -> str:
+    """Spark's ROUND: half up on the shortest decimal form of the double."""
+    return f"cast(round(cast(cast({expr} as varchar) as decimal(38,18)), {digits}) as double)"
+
+
 CTES["x_benchmark"] = """select * from (values ('Auto',104.0::double),('Home',110.0::double),('Liability',95.0::double),('Property',95.0::double),('Marine',92.0::double),
   ('Aviation',98.0::double),('Cyber',105.0::double),('WorkersComp',85.0::double)) t(sub_line, bar)"""
 
@@ -129,7 +134,7 @@ QUERIES: dict[str, str] = {
       from g_segments where combined_ratio > 1 and gross_premium_usd > 50000 order by combined_ratio desc, {SEG} limit 20""",
     "ex_tiv_by_state": f"select state_code, round({m('total_insured_value_usd')}/1e9, 2) as tiv_busd, cast(sum(policy_count) as bigint) as policies from g_exposure group by 1",
     "ex_solvency_breakdown": "select metric, round(value_usd, 2) as value_usd from g_solvency",
-    "ex_asset_breakdown": f"""select asset_class, rating, round({m('market_value_usd')}/1e6, 1) as mv_musd, round(avg(avg_yield_pct)*100, 2) as avg_yield_pct, round(avg(avg_duration_yrs), 2) as avg_duration_yrs
+    "ex_asset_breakdown": f"""select asset_class, rating, round({m('market_value_usd')}/1e6, 1) as mv_musd, round(avg(avg_yield_pct)*100, 2) as avg_yield_pct, {half_up('avg(avg_duration_yrs)', 2)} as avg_duration_yrs
       from g_assets group by 1, 2""",
     "ex_ceded_by_reinsurer": f"""select reinsurer, treaty_type, round({m('premium_ceded_usd')}/1e6, 1) as ceded_musd, round(avg(avg_cession_pct)*100, 1) as avg_cession_pct,
         cast(sum(treaty_count) as bigint) as treaty_count from g_reins group by 1, 2""",

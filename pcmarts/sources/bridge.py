@@ -7,11 +7,13 @@ same rows. ``{name}`` marks an input: a base table or an earlier bridge table.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pcmarts.functions import classify
+from pcmarts.sources import payloads
 
 BASE = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -184,13 +186,22 @@ VIEWS = {
 class BridgeReader:
     """Bronze reader over a folder of test tables; views are composed on demand."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, streaming: tuple[str, ...] = ()):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.streaming = streaming  # base tables to read as a file stream
         self._views: dict[str, DataFrame] = {}
 
+    def as_stream(self, *names: str) -> "BridgeReader":
+        return BridgeReader(self.spark, self.folder, streaming=names)
+
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        table = self.spark.read.parquet(path)
+        if name not in self.streaming:
+            return table
+        # a file stream wants a folder or a pattern; this pattern matches the one path
+        return self.spark.readStream.schema(table.schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
     def view(self, name: str) -> DataFrame:
         if name not in self._views:
@@ -203,6 +214,10 @@ class BridgeReader:
         return self._views[name]
 
     def __call__(self, name: str) -> DataFrame:
+        if name in BASE:
+            return self.view(name)
+        if name in DERIVED:
+            return DERIVED[name](self)
         df = self.view(VIEWS[name])
         dress = _AS_FEED.get(name)
         return dress(df) if dress else df
@@ -288,3 +303,117 @@ _AS_FEED = {
     "noaa_alerts": _alerts, "catastrophe_events": _catastrophes, "earthquakes": _quakes,
     "weather_obs": _weather, "news": _news,
 }
+
+
+def raw_payloads(reader: BridgeReader) -> DataFrame:
+    """Raw feed answers rebuilt from the event and document rows: JSON and RSS text, some of it broken.
+
+    Every tenth answer (id ending in 3) is cut off or not a feed, every tenth (ending in 7) failed.
+    """
+    columns = ("feed", "request", "fetched_at_utc", "status", "payload")
+
+    def answer(df: DataFrame, feed: str, key: str, at: str, payload, request=None) -> DataFrame:
+        cut = F.substr(payload, F.lit(4), F.length(payload) - 8)
+        broken = F.lit("<html>upstream timeout</html>") if feed in payloads.RSS_FEEDS else cut
+        return df.select(
+            F.lit(feed).alias("feed"), (request if request is not None else F.lit(None).cast("string")).alias("request"),
+            _fetched(F.col(at)).alias("fetched_at_utc"),
+            F.when(F.col(key) % 10 == 7, 503).otherwise(200).alias("status"),
+            F.when(F.col(key) % 10 == 3, broken).otherwise(payload).alias("payload"),
+        ).select(*columns)
+
+    def text(c: str):
+        return F.col(c).cast("string")
+
+    def quake_feature(k: int):
+        return F.struct(
+            F.concat(F.lit("q"), text("event_id"), F.lit(f"-{k}")).alias("id"),
+            F.struct(
+                F.when(F.col("event_id") % 11 != 0, F.col("magnitude") + F.lit(0.25 * k)).alias("mag"), "place",
+                F.when(F.col("event_id") % 13 != 0, F.unix_millis("event_time_utc") + F.lit(1000 * k)).alias("time"),
+                F.concat(F.lit("https://feed.test/q/"), text("event_id")).alias("url"),
+            ).alias("properties"),
+            F.struct(F.array(F.col("depth_km") - 50, F.col("depth_km") / 2, F.col("depth_km")).alias("coordinates")).alias("geometry"),
+        )
+
+    def alert_feature(k: int):
+        return F.struct(
+            F.concat(F.lit("a"), text("alert_id"), F.lit(f"-{k}")).alias("id"),
+            F.struct(
+                F.col("event_type").alias("event"), "severity", F.lit("Likely").alias("certainty"), "urgency",
+                F.col("area_desc").alias("areaDesc"), _iso("effective_utc").alias("sent"),
+                _iso("effective_utc").alias("effective"), _iso("expires_utc").alias("expires"),
+            ).alias("properties"),
+        )
+
+    def feature_collection(features) -> Column:
+        return F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(*features).alias("features")))
+
+    def item(fields: dict):
+        parts = [F.concat(F.lit(f"<{n}>"), v, F.lit(f"</{n}>")) for n, v in fields.items()]
+        return F.concat(F.lit("<item>\n"), *parts, F.lit("</item>"))
+
+    def rss(*items):
+        return F.concat(F.lit("<rss><channel><title>feed</title>"), *items, F.lit("</channel></rss>"))
+
+    quake, alert, cat = reader.view("b_quake"), reader.view("b_alert"), reader.view("b_cat")
+    view, article = reader.view("b_weather"), reader.view("documents")
+    current = F.to_json(F.struct(F.struct(
+        _iso("observed_time_utc").alias("time"), F.col("temperature_f").alias("temperature_2m"),
+        F.col("wind_speed_mph").alias("wind_speed_10m"), F.col("wind_gust_mph").alias("wind_gusts_10m"),
+        F.col("precipitation_in").alias("precipitation"), F.col("precipitation_in").alias("rain"),
+        F.lit(3).alias("weather_code"), F.lit(1013.5).alias("pressure_msl"),
+        F.col("humidity_pct").alias("relative_humidity_2m"),
+    ).alias("current")))
+    cities = F.array(*[F.lit(place[0]) for place in payloads.LOCATIONS])
+    city = F.get(cities, (F.substring("city", 6, 4).cast("int")))
+    located = {
+        "title": F.concat(F.lit(" "), F.col("title"), F.lit("\n")), "description": F.concat(F.lit("Bulletin for "), "title"),
+        "pubDate": _mail("event_time_utc"), "geo:lat": text("latitude"), "geo:long": text("longitude"),
+        "link": F.concat(F.lit("https://feed.test/c/"), text("event_id")),
+    }
+    unlocated = {"title": F.concat(F.lit("Update: "), "title"), "pubDate": _mail("event_time_utc")}
+    story = {
+        "title": F.concat(F.lit("Report from "), "source"), "description": F.concat(F.lit("\n  "), F.col("text"), F.lit("\n")),
+        "pubDate": F.lit("2 Jan 2024 03:04:05 GMT"), "link": F.concat(F.lit("https://feed.test/n/"), text("doc_id")),
+    }
+    printed = article.withColumn("at", F.lit("2024-01-02 03:04:05").cast("timestamp"))
+    parts = [
+        answer(quake, "earthquakes", "event_id", "event_time_utc", feature_collection(map(quake_feature, range(3)))),
+        answer(alert, "noaa_alerts", "alert_id", "effective_utc", feature_collection(map(alert_feature, range(2)))),
+        answer(view, "weather", "observation_id", "observed_time_utc", current, city),
+        answer(cat, "catastrophes", "event_id", "event_time_utc", rss(item(located), item(unlocated))),
+        answer(printed, "news", "doc_id", "at", rss(item(story))),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def notes(reader: BridgeReader) -> DataFrame:
+    """Documents with one more line, some of which carry SQL."""
+    lines = (
+        "Do not join policies to claims here", "Use: SELECT total FROM orders", "group by urgency",
+        "WHERE amount = 1", "SELECT t.amount, HAVING more", "Never select a.b where c.d is null",
+        "- order by priority, not date", "ORDER BY o_total DESC", "Where appropriate, join the call",
+    )
+    line = F.get(F.array(*[F.lit(t) for t in lines]), (F.col("doc_id") % len(lines)).cast("int"))
+    return reader.view("documents").select("doc_id", F.concat_ws("\n", "text", line).alias("text"))
+
+
+def deliveries(reader: BridgeReader) -> DataFrame:
+    """Alerts as delivered: every third one comes again an hour later with a corrected headline, some without a key."""
+    once = reader("noaa_alerts")
+    number = F.col("alert_id").cast("bigint")
+    again = once.filter(number % 3 == 0).withColumns({
+        "headline": F.concat(F.lit("CORRECTED "), "headline"),
+        "fetched_at_utc": _later("fetched_at_utc"),
+    })
+    keyless = once.filter(number % 50 == 0).withColumn("alert_id", F.lit(None).cast("string"))
+    return once.unionByName(again).unionByName(keyless)
+
+
+def _later(c: str):
+    return F.date_format(F.to_timestamp(c) + F.expr("interval 1 hour"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+# tables that are not one bridge view
+DERIVED = {"raw_payloads": raw_payloads, "notes": notes, "deliveries": deliveries}
