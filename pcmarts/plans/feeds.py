@@ -25,36 +25,37 @@ from pcmarts.workspace import Workspace
 
 @query("feed_weather_parse")
 def parsed_weather(ws: Workspace) -> DataFrame:
-    rows = payloads.weather(ws.bronze("raw_payloads"))
+    rows = payloads.weather(ws.bronze("raw_payloads/weather"))
     return rows.withColumn("observed_time_utc", as_instant("observed_time_utc"))
 
 
 @query("feed_earthquake_parse")
 def parsed_earthquakes(ws: Workspace) -> DataFrame:
-    rows = payloads.earthquakes(ws.bronze("raw_payloads"))
+    rows = payloads.earthquakes(ws.bronze("raw_payloads/earthquakes"))
     return rows.withColumn("event_time_utc", as_instant("event_time_utc"))
 
 
 @query("feed_gdacs_parse")
 def parsed_catastrophes(ws: Workspace) -> DataFrame:
-    rows = payloads.catastrophes(ws.bronze("raw_payloads"))
+    rows = payloads.catastrophes(ws.bronze("raw_payloads/catastrophes"))
     return rows.withColumn("event_time_utc", as_mail_instant("event_time_utc"))
 
 
 @query("feed_news_parse")
 def parsed_news(ws: Workspace) -> DataFrame:
-    return payloads.news(ws.bronze("raw_payloads"))
+    return payloads.news(ws.bronze("raw_payloads/news"))
 
 
 @query("feed_noaa_parse")
 def parsed_alerts(ws: Workspace) -> DataFrame:
-    rows = payloads.alerts(ws.bronze("raw_payloads"))
+    rows = payloads.alerts(ws.bronze("raw_payloads/noaa_alerts"))
     return rows.withColumns({c: as_instant(c) for c in ("sent_utc", "effective_utc", "expires_utc")})
 
 
 @query("feed_payload_guard")
 def unusable_answers(ws: Workspace) -> DataFrame:
-    return payloads.quarantine(ws.bronze("raw_payloads")).groupBy("feed", "reason").agg(
+    answers = stack(*[ws.bronze(f"raw_payloads/{feed}") for feed in payloads.PARSERS])
+    return payloads.quarantine(answers).groupBy("feed", "reason").agg(
         F.count(F.lit(1)).alias("answers")
     )
 
@@ -187,7 +188,7 @@ def landed_alerts(ws: Workspace) -> DataFrame:
 def landed_weather(ws: Workspace) -> DataFrame:
     """A parsed feed written as one run and read back."""
     root = scratch(ws.spark, "land")
-    land(payloads.weather(ws.bronze("raw_payloads")), root, "weather", "20240101T000000Z")
+    land(payloads.weather(ws.bronze("raw_payloads/weather")), root, "weather", "20240101T000000Z")
     return landed(ws.spark, root, "weather").groupBy("city", "cresta_zone").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -220,7 +221,9 @@ def copied_tables(ws: Workspace) -> DataFrame:
 
 @query("txt_sql_in_text")
 def lines_with_sql(ws: Workspace) -> DataFrame:
-    return ws.bronze("notes").select("doc_id", F.explode(sql_lines("text")).alias("line"))
+    # the outer form keeps the scan from being run a second time as a derived filter
+    lines = ws.bronze("notes").select("doc_id", F.explode_outer(sql_lines("text")).alias("line"))
+    return lines.filter(F.col("line").isNotNull())
 
 
 @query("txt_sql_per_source")

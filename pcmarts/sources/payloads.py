@@ -58,8 +58,14 @@ def _answered() -> Column:
 
 
 def _answers(raw: DataFrame, feed: str) -> DataFrame:
-    """Good answers of one feed."""
-    return raw.filter((F.col("feed") == feed) & _answered() & F.col("payload").isNotNull())
+    """Answers of one feed with a good status."""
+    return raw.filter((F.col("feed") == feed) & _answered())
+
+
+def _unfolded(df: DataFrame, items: Column, name: str) -> DataFrame:
+    """One row per item. The outer form keeps Catalyst from deriving a filter on the array, which
+    would parse the payload a second time; empty and missing arrays drop out afterwards."""
+    return df.select("fetched_at_utc", F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
 
 
 def _features(raw: DataFrame, feed: str, most: int | None) -> DataFrame:
@@ -67,7 +73,7 @@ def _features(raw: DataFrame, feed: str, most: int | None) -> DataFrame:
     if most is not None:
         features = F.slice(features, 1, most)
     docs = _answers(raw, feed).select("fetched_at_utc", _document(feed).alias("doc"))
-    return docs.filter(F.col(f"doc.{_BROKEN}").isNull()).select("fetched_at_utc", F.explode(features).alias("f"))
+    return _unfolded(docs, features, "f")  # a malformed answer has no features
 
 
 def digest(*parts: Column) -> Column:
@@ -128,7 +134,7 @@ def tag(text: Column | str, name: str) -> Column:
 
 def _items(raw: DataFrame, feed: str, most: int) -> DataFrame:
     found = F.regexp_extract_all("payload", F.lit("(?s)<item>(.*?)</item>"), F.lit(1))
-    return _answers(raw, feed).select("fetched_at_utc", F.explode(F.slice(found, 1, most)).alias("item"))
+    return _unfolded(_answers(raw, feed), F.slice(found, 1, most), "item")
 
 
 def _number(text: Column) -> Column:

@@ -68,6 +68,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+PIECE_BYTES = 256 << 10
+
+
+def balanced(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Spread a scan over the cores if its file comes in too few pieces.
+
+    A file of one row group is read by one task however large it is. Tables of many files, the
+    normal case on a cluster, are returned as they are: the scan is already wide enough.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    wanted = min(spark.sparkContext.defaultParallelism, size // PIECE_BYTES)
+    if wanted < 2:
+        return df
+    pieces = df._jdf.queryExecution().toRdd().getNumPartitions()  # plans the bare scan; nothing is read
+    return df.repartition(wanted) if wanted > pieces else df
+
+
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
     """Replace the whole table, schema included."""
     writer = df.write.mode("overwrite")

@@ -39,7 +39,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Session settings the marts rely on; all can be changed at run time.
 
     UTC keeps dates equal on every executor. Adaptive execution sizes the shuffles, turns joins
-    with a measured small side into broadcasts and splits the partition of a hot key.
+    with a measured small side into broadcasts and splits the partition of a hot key. Parquet
+    files are a fraction of the rows they hold in memory; the compression factor makes the planner
+    compare the broadcast threshold with the latter.
     """
     for key, value in {
         "spark.sql.session.timeZone": "UTC",
@@ -47,6 +49,7 @@ def configure(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.sources.fileCompressionFactor": "4.0",
     }.items():
         spark.conf.set(key, value)
     return spark
