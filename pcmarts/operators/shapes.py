@@ -53,7 +53,8 @@ def _pieces(text: Column, lengths: Column) -> Column:
 
 def _mention_of(left: DataFrame, text: str, names: DataFrame, needle: str) -> DataFrame:
     lengths = names.agg(F.collect_set(F.length(needle)).alias("n"))  # as many as distinct lengths
-    pieces = left.select("*", F.explode_outer(_pieces(F.col(text), lengths.scalar())).alias("_piece"))
+    cut = left.withColumn("_lengths", lengths.scalar())
+    pieces = cut.select(*left.columns, F.explode_outer(_pieces(F.col(text), F.col("_lengths"))).alias("_piece"))
     return pieces.join(names, F.col("_piece") == F.col(needle)).drop("_piece")
 
 
