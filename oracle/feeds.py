@@ -131,6 +131,13 @@ QUERIES: dict[str, str] = {
       union all select 'pc_solvency_metrics', cast(max(reporting_date) as varchar) from b_pc_solvency union all select 'pc_combined_ratios', max(reporting_quarter) from b_pc_combined""",
     "src_bronze_view": " union all ".join(f"select '{k}' as view_name, count(*) as n from {v}" for k, v in BRONZE.items()),
     "src_parquet_dir": """select event_type, severity, cast(sum(case when coalesce(cast(alert_id as bigint), 0) % 4 = 1 then 2 else 1 end) as bigint) as n from x_deliveries group by 1, 2""",
+    "src_list_landing": """select v.feed, v.runs, n as landed_rows from (select sum(case when coalesce(cast(alert_id as bigint), 0) % 4 = 1 then 2 else 1 end)::bigint as n from x_deliveries) t,
+        (values ('noaa_alerts', 2), ('news', 0)) v(feed, runs)""",
+    "snk_create_empty_like": "select 0::bigint as created_rows, count(*) as appended_rows from b_alert",
+    "rpt_safe_section": """select 'broken' as section, 'failed' as status, 0::bigint as rows union all select 'counts', 'ok', 5
+      union all select 'alerts_by_severity', 'ok', count(distinct coalesce(severity, '-')) from b_alert union all select 'top_exposed_alerts', 'ok', least(20, count(*)) from g_alerts where exposed_tiv_usd is not null
+      union all select 'top_pml_events', 'ok', least(15, count(*)) from g_pml where pml_estimate_usd is not null union all select 'earthquakes', 'ok', least(10, count(*)) from b_quake
+      union all select 'weather_extremes', 'ok', least(15, count(*)) from b_weather union all select 'news', 'ok', least(12, count(*)) from b_news""",
     "snk_land_feed_file": "select city, cresta_zone, count(*) as n from x_weather_feed group by 1, 2",
     "src_literal_table": "select event_type, severity_factor, count(*) as events from s_cat left join g_factor using (event_type) group by 1, 2",
     "snk_overwrite_table": "select * from g_book",

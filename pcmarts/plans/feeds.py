@@ -11,12 +11,12 @@ from pcmarts.functions.money import as_public
 from pcmarts.functions.textscan import sql_lines
 from pcmarts.operators.ingest import freshness, latest_per_key, merge_new, unseen
 from pcmarts.operators.shapes import stack
-from pcmarts.plans import gold, silver
+from pcmarts.plans import event_report, gold, silver
 from pcmarts.plans.registry import query
 from pcmarts.sources import payloads
-from pcmarts.sources.landing import land, landed
+from pcmarts.sources.landing import land, landed, list_landing
 from pcmarts.sources.schemas import FEEDS
-from pcmarts.sources.tables import copy_tables, overwrite, scratch
+from pcmarts.sources.tables import copy_tables, create_empty_like, overwrite, scratch
 from pcmarts.streaming import feeds as streams
 from pcmarts.workspace import Workspace
 
@@ -184,6 +184,39 @@ def landed_alerts(ws: Workspace) -> DataFrame:
     return landed(ws.spark, root, "noaa_alerts").groupBy("event_type", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("src_list_landing")
+def landed_runs(ws: Workspace) -> DataFrame:
+    """Runs found by listing a landing folder, and a feed that never landed."""
+    root = scratch(ws.spark, "listing")
+    _two_runs(ws, root)
+    found = {feed: {f.split("/")[-2] for f in list_landing(ws.spark, root, feed)} for feed in ("noaa_alerts", "news")}
+    sizes = landed(ws.spark, root, "noaa_alerts").agg(F.count(F.lit(1)).alias("n"))
+    runs = [F.struct(F.lit(f).alias("feed"), F.lit(len(r)).alias("runs")) for f, r in found.items()]
+    return sizes.select(F.inline(F.array(*runs)), F.col("n").alias("landed_rows"))
+
+
+@query("snk_create_empty_like")
+def emptied_alerts(ws: Workspace) -> DataFrame:
+    """A new table with the schema of the feed, then one append."""
+    path = create_empty_like(ws.bronze("noaa_alerts"), scratch(ws.spark, "empty"))
+    created = ws.spark.read.parquet(path).count()
+    ws.bronze("noaa_alerts").write.mode("append").parquet(path)
+    return ws.spark.read.parquet(path).agg(
+        F.lit(created).cast("bigint").alias("created_rows"), F.count(F.lit(1)).alias("appended_rows")
+    )
+
+
+@query("rpt_safe_section")
+def report_log(ws: Workspace) -> DataFrame:
+    """The event report written section by section; one section is made to fail."""
+
+    def failing(ws: Workspace) -> DataFrame:
+        return ws.table("noaa_alerts").select(F.raise_error(F.lit("section is broken")))
+
+    sections = {"broken": failing} | event_report.SECTIONS
+    return event_report.write_report(ws, scratch(ws.spark, "report"), sections).select("section", "status", "rows")
+
+
 @query("snk_land_feed_file")
 def landed_weather(ws: Workspace) -> DataFrame:
     """A parsed feed written as one run and read back."""

@@ -136,8 +136,8 @@ from {documents}""",
     "b_pc_combined": """
 select reporting_quarter, line_of_business, sub_line, loss_ratio_pct, expense_ratio_pct, loss_ratio_pct+expense_ratio_pct as combined_ratio_pct, gwp_eur_m
 from (select cast(year(l_shipdate) as string)||'-Q'||cast(quarter(l_shipdate) as string) as reporting_quarter, p.line_of_business, p.product as sub_line,
-  cast(cast(sum(case when l_returnflag='R' then cast(l_extendedprice as decimal(18,2)) else 0 end) as double)/cast(sum(cast(l_extendedprice as decimal(18,2))) as double)*100 as double) as loss_ratio_pct,
-  cast(cast(sum(cast(l_extendedprice as decimal(18,2))*cast(l_tax as decimal(4,2))) as double)/cast(sum(cast(l_extendedprice as decimal(18,2))) as double)*100 as double) as expense_ratio_pct,
+  cast(sum(case when l_returnflag='R' then cast(l_extendedprice as decimal(18,2)) else 0 end) as double)/nullif(cast(sum(case when l_returnflag='A' then cast(l_extendedprice as decimal(18,2)) else 0 end) as double),0)*100 as loss_ratio_pct,
+  cast(sum(cast(l_extendedprice as decimal(18,2))*cast(l_tax as decimal(4,2))) as double)/nullif(cast(sum(case when l_returnflag='A' then cast(l_extendedprice as decimal(18,2)) else 0 end) as double),0)*100 as expense_ratio_pct,
   cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as gwp_eur_m
 from {lineitem} join {b_pol} p on l_orderkey=p.policy_id group by 1,2,3) t""",
     "b_pc_triangle": """

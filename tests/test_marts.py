@@ -256,3 +256,25 @@ def test_refresh_writes_and_reads_back(frames, rows, tmp_path):
     again = frames()
     again.root = str(tmp_path)
     assert rows(again.attach(["book_health"]).table("book_health")) == before
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, frames, rows, tmp_path):
+    tables = dict(
+        policies=[policy(f"p{i}") for i in range(20)], claims=[claim(str(i), f"p{i % 25}", float(i)) for i in range(40)], geography=GEO,
+        customers=CUSTOMERS, premiums=[premium(f"p{i % 20}", 10.0 * i) for i in range(30)],
+    )
+    plain, bucketed = frames(**tables), frames(**tables)
+    bucketed.root = str(tmp_path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        bucketed.refresh_bucketed(4)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        claims, policies = (bucketed.table(t).select("policy_id") for t in ("fact_claim", "dim_policy"))
+        assert "Exchange" not in claims.join(policies, "policy_id")._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for mart in ("claim_360", "loss_ratio_by_segment"):
+            assert rows(bucketed.table(mart)) == rows(plain.table(mart))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for t in ("dim_policy", "fact_premium", "fact_claim", "fact_exposure"):
+            spark.sql(f"drop table if exists pcmarts_{t}")
