@@ -95,32 +95,50 @@ def climate_flags(ws: Workspace) -> DataFrame:
 def anomalies(ws: Workspace) -> DataFrame:
     """Everything beyond a limit, in one long table (kpi, key, value, threshold)."""
 
-    def rows(df: DataFrame, kpi: str, key: Column, value: Column, threshold: Column, hit: Column) -> DataFrame:
-        return df.filter(hit).select(
-            F.lit(kpi).alias("kpi"), key.alias("key"), value.cast("double").alias("value"),
+    def entry(kpi: str, key: Column, value: Column, threshold: Column, hit: Column) -> Column:
+        return F.struct(
+            hit.alias("hit"), F.lit(kpi).alias("kpi"), key.alias("key"), value.cast("double").alias("value"),
             threshold.cast("double").alias("threshold"),
         )
 
-    ratios = ws.table("pc_combined_ratios")
-    solvency = ws.table("pc_solvency_metrics")
-    book = frequency_severity(ws)
-    climate = climate_flags(ws)
-    treaties = cession_bands(ws)
+    def hits(df: DataFrame, *entries: Column) -> DataFrame:
+        """One pass over a table, whatever the number of its rules."""
+        return df.select(F.inline(F.array(*entries))).filter("hit").drop("hit")
+
+    def limit(value: float) -> Column:
+        return F.lit(value)
+
     product = F.concat_ws("/", "line_of_business", "product")
+    combined, solvency = F.col("combined_ratio_pct"), F.col("solvency_ratio_pct")
+    climate, cession = F.col("climate_factor"), F.col("cession_pct")
+    frequency_bar = F.col("frequency_benchmark") * bands.BENCHMARK_MULTIPLE
+    severity_bar = F.col("severity_benchmark") * bands.BENCHMARK_MULTIPLE
+    year = F.col("exposure_year").cast("string")
     return stack(
-        rows(ratios, "combined_ratio", F.concat_ws("/", "reporting_quarter", "line_of_business", "sub_line"),
-             F.col("combined_ratio_pct"), F.lit(bands.COMBINED_RATIO_LIMIT),
-             F.col("combined_ratio_pct") > bands.COMBINED_RATIO_LIMIT),
-        rows(solvency, "solvency_ratio", F.col("reporting_date").cast("string"), F.col("solvency_ratio_pct"),
-             F.lit(bands.SOLVENCY_LIMIT), F.col("solvency_ratio_pct") < bands.SOLVENCY_LIMIT),
-        rows(book, "frequency", product, F.col("claim_frequency_per_100"),
-             F.col("frequency_benchmark") * bands.BENCHMARK_MULTIPLE, F.col("frequency_flag")),
-        rows(book, "severity", product, F.col("avg_severity_usd"),
-             F.col("severity_benchmark") * bands.BENCHMARK_MULTIPLE, F.col("severity_flag")),
-        rows(climate, "climate", F.concat_ws("/", "line_of_business", "sub_line", F.col("exposure_year").cast("string")),
-             F.col("climate_factor"), F.lit(bands.CLIMATE_LIMIT), F.col("climate_factor") > bands.CLIMATE_LIMIT),
-        rows(treaties, "cession", F.col("treaty_id").cast("string"), F.col("cession_pct"),
-             F.lit(bands.CESSION_LIMIT), F.col("heavy_reliance")),
+        hits(
+            ws.table("pc_combined_ratios"),
+            entry("combined_ratio", F.concat_ws("/", "reporting_quarter", "line_of_business", "sub_line"), combined,
+                  limit(bands.COMBINED_RATIO_LIMIT), combined > bands.COMBINED_RATIO_LIMIT),
+        ),
+        hits(
+            ws.table("pc_solvency_metrics"),
+            entry("solvency_ratio", F.col("reporting_date").cast("string"), solvency, limit(bands.SOLVENCY_LIMIT),
+                  solvency < bands.SOLVENCY_LIMIT),
+        ),
+        hits(
+            frequency_severity(ws),
+            entry("frequency", product, F.col("claim_frequency_per_100"), frequency_bar, F.col("frequency_flag")),
+            entry("severity", product, F.col("avg_severity_usd"), severity_bar, F.col("severity_flag")),
+        ),
+        hits(
+            climate_flags(ws),
+            entry("climate", F.concat_ws("/", "line_of_business", "sub_line", year), climate, limit(bands.CLIMATE_LIMIT),
+                  climate > bands.CLIMATE_LIMIT),
+        ),
+        hits(
+            cession_bands(ws),
+            entry("cession", F.col("treaty_id").cast("string"), cession, limit(bands.CESSION_LIMIT), F.col("heavy_reliance")),
+        ),
     )
 
 

@@ -33,6 +33,10 @@ BASE: dict[str, str] = {
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
+# Tables whose rows are worked on right after the scan (text, payloads); the others are shuffled by a
+# join first, which spreads them anyway.
+SPREAD = ("events", "documents", "pages", "conversations")
+
 # Fixed texts: the bridge definition. In build order.
 SQL: dict[str, str] = {
     "b_geo": """
@@ -211,7 +215,8 @@ class BridgeReader:
     def base(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
         if name not in self.streaming:
-            return balanced(self.spark, self.spark.read.schema(BASE[name]).parquet(path), path)
+            table = self.spark.read.schema(BASE[name]).parquet(path)
+            return balanced(self.spark, table, path) if name in SPREAD else table
         # a file stream wants a folder or a pattern; this pattern matches the one path
         return self.spark.readStream.schema(BASE[name]).parquet(f"{path[:-1]}[{path[-1]}]")
 
