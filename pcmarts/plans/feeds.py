@@ -211,7 +211,7 @@ def report_log(ws: Workspace) -> DataFrame:
     """The event report written section by section; one section is made to fail."""
 
     def failing(ws: Workspace) -> DataFrame:
-        return ws.table("noaa_alerts").select(F.raise_error(F.lit("section is broken")))
+        return ws.table("noaa_alerts").select("a_column_that_is_gone")
 
     sections = {"broken": failing} | event_report.SECTIONS
     return event_report.write_report(ws, scratch(ws.spark, "report"), sections).select("section", "status", "rows")

@@ -164,11 +164,11 @@ from (select n_nationkey as q from {nation} where n_nationkey<12) t""",
     "b_pc_pol": """
 select o_orderkey as policy_id, line_of_business, product as sub_line, cast(o_totalprice as decimal(18,2)) as gwp_eur, cast(o_orderkey%100 as int) as risk_score,
   cast(cast(o_orderdate as date) as string) as inception_date, cast(date_add(cast(o_orderdate as date), 365) as string) as expiry_date
-from {orders} join {b_pol} p on o_orderkey=p.policy_id where o_orderkey%3=0""",
+from {orders} join {b_pol} p on o_orderkey=p.policy_id""",
     "b_pc_clm": """
 select l_orderkey as policy_id, cast(cast(l_shipdate as date) as string) as loss_date, cast(date_add(cast(l_shipdate as date), cast(l_suppkey%30 as int)) as string) as report_date,
   cast(l_extendedprice as decimal(18,2)) as paid_amount, case when l_partkey%13=0 then null else cast(l_extendedprice*0 + l_quantity as decimal(18,2)) end as reserved_amount, l_linenumber=7 as litigation_flag
-from {lineitem} where l_returnflag='R' and l_orderkey%3=0""",
+from {lineitem} where l_returnflag='R'""",
     "b_pc_asset": """
 select asset_id, asset_class, rating, cast(market_value_usd*cast(0.9 as decimal(2,1)) as decimal(18,2)) as market_value_eur, yield_pct, duration_yrs, esg_score,
   case asset_id%4 when 0 then 'Energy' when 1 then 'Banks' when 2 then 'Public' else 'Property' end as sector, cast(date_add(date '2026-01-01', cast(asset_id%3000 as int)) as string) as maturity_date
@@ -176,14 +176,14 @@ from {b_asset}""",
     "b_pc_risk": """
 select o_orderkey as policy_id, cast(year(o_orderdate) as int) as exposure_year, cast(o_totalprice as decimal(18,2)) as pml_eur, cast(10+o_orderkey%490 as int) as return_period,
   cast(cast(o_orderkey%60 as decimal(9,0))*cast(0.01 as decimal(3,2)) as decimal(9,2)) as climate_risk_factor
-from {orders} where o_orderkey%3=0""",
+from {orders}""",
     "b_pc_weather": """
 select event_id, case user_id%3 when 0 then 'Hurricane' when 1 then 'Flood' else 'Wildfire' end as event_type, cast(cast(ts as date) as string) as event_date,
   cast(value as decimal(18,2)) as insured_loss_eur_m, cast(user_id%200 as double) as wind_speed, cast(event_id%300 as double) as rainfall
-from {events} where event_type='signup' and event_id%2=0""",
+from {events} where event_type='signup'""",
     "b_pc_realtime": """
 select event_id, cast(cast(ts as timestamp) as string) as event_timestamp, cast(cast(event_id%101 as decimal(9,0))*cast(0.01 as decimal(3,2)) as decimal(9,2)) as relevance_score, event_id%101>80 as action_required
-from {events} where event_type='signup' and event_id%2=1""",
+from {events} where event_type='signup'""",
 }
 
 # bronze table -> bridge view

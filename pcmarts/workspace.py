@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CATALOG: dict[str, "TableDef"] = {}
 
+# the silver tables an hourly feed run renews
+EVENT_TABLES = ("weather_observations", "catastrophe_events", "earthquake_events", "noaa_alerts", "news_events")
+
 # the large tables that meet on the policy key
 POLICY_KEYED = ("dim_policy", "fact_premium", "fact_claim", "fact_exposure")
 
@@ -96,14 +99,25 @@ class Workspace:
             raise ValueError("this workspace has no root folder to write to")
         return f"{self.root.rstrip('/')}/{CATALOG[name].layer}/{name}"
 
-    def refresh(self, names: Iterable[str] | None = None, partition_by: dict | None = None) -> list[str]:
+    def refresh(
+        self, names: Iterable[str] | None = None, partition_by: dict | None = None, upstream: bool = True
+    ) -> list[str]:
         """Write tables and everything they need, in dependency order; return what was written.
 
         A refreshed table is read back from its files, so later tables carry no lineage beyond it
-        and a lost executor never costs more than one stage of one table.
+        and a lost executor never costs more than one stage of one table. Without ``upstream`` only
+        the named tables are written and their other inputs are read as they lie under the root:
+        the hourly run of the feeds is ``refresh(downstream(EVENT_TABLES), upstream=False)``.
         """
+        names = list(names if names is not None else CATALOG)
+        order = build_order(names)
+        if not upstream:
+            self.attach([n for n in order if n not in names])
+            order = [n for n in order if n in names]
+        for name in order:
+            self._memo.pop(name, None)
         written = []
-        for name in build_order(names if names is not None else list(CATALOG)):
+        for name in order:
             writer = self.table(name).write.mode("overwrite")
             columns = (partition_by or {}).get(name)
             if columns:

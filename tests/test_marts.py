@@ -258,6 +258,22 @@ def test_refresh_writes_and_reads_back(frames, rows, tmp_path):
     assert rows(again.attach(["book_health"]).table("book_health")) == before
 
 
+def test_hourly_refresh_touches_only_the_event_marts(frames, rows, tmp_path):
+    from pcmarts.workspace import EVENT_TABLES
+
+    base = dict(geography=GEO, policies=[policy("p1")], catastrophe_events=[{"event_id": "e1", "event_type": "Flood"}])
+    ws = frames(noaa_alerts=[{"alert_id": "1", "area_desc": "FL"}], **base)
+    ws.root = str(tmp_path)
+    ws.refresh(["event_risk_correlation", "cat_event_pml"])
+    # next hour: another alert, and a policy change that must wait for the full refresh
+    later = frames(noaa_alerts=[{"alert_id": "1", "area_desc": "FL"}, {"alert_id": "2", "area_desc": "Florida"}],
+                   **(base | {"policies": [policy("p1", sum_insured_usd=5.0)]}))
+    later.root = str(tmp_path)
+    written = later.refresh(downstream(EVENT_TABLES), upstream=False)
+    assert set(written) == {*EVENT_TABLES, "event_risk_correlation", "cat_event_pml"}
+    assert rows(later.table("event_risk_correlation"), "alert_id", "exposed_tiv_usd") == [("1", 1000.0), ("2", 1000.0)]
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, frames, rows, tmp_path):
     tables = dict(
         policies=[policy(f"p{i}") for i in range(20)], claims=[claim(str(i), f"p{i % 25}", float(i)) for i in range(40)], geography=GEO,
