@@ -1,6 +1,6 @@
 """Quality classifier with hierarchical empirical Bayes: document evidence combined with host and path posteriors.
 
-1. Evidence. Two logistic heads (low quality, toxic) on hashed words, hashed word shapes and a few shares, trained on the driver from a
+1. Evidence. Two logistic heads (low quality, toxic) on hashed words, hashed beginnings of words and a few shares, trained on the driver from a
    bounded sample: the TRAIN_ROWS labelled documents with the least hash of their id. Executors hash the texts; the driver gets bucket
    numbers. A document's evidence is the log odds of being good (neither), less the log odds in the training sample.
 2. Hierarchy. Each document's probability under the global prior is summed by host and path (grouped, with partial sums, so a hot host
@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,26 +29,32 @@ from pyspark.sql import functions as F
 
 from pcmarts.llm.common import saved
 
-TRAIN_ROWS, BUCKETS, THRESHOLD, RATES = 6000, 1 << 17, 0.5, (0.2, 0.98)
-EPOCHS, RATE, DECAY, BATCH, SEED = 30, 0.2, 1e-5, 64, 11
-DENSE = 7
-SHAPES = str.maketrans({**{c: "a" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}, **{c: "0" for c in "0123456789"}})
+TRAIN_ROWS, BUCKETS, THRESHOLD, RATES = 16000, 1 << 18, 0.5, (0.2, 0.98)
+EPOCHS, RATE, DECAY, BATCH, SEED = 10, 0.3, 1e-6, 48, 11
+DENSE, PREFIXES, CACHE = 6, (4, 5), 1 << 18
+
+
+_buckets: dict[str, tuple[int, ...]] = {}
+
+
+def _of_word(word: str) -> tuple[int, ...]:
+    """Buckets of a word and of the first bytes of it: lower case, without punctuation around."""
+    stem = word.strip(".,;:!?()[]{}\"'").lower().encode("utf-8", "surrogatepass")
+    found = (zlib.crc32(stem) % BUCKETS, *(zlib.crc32(stem[:k], k) % BUCKETS for k in PREFIXES if len(stem) > k))
+    if len(_buckets) < CACHE:
+        _buckets[word] = found
+    return found
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text's distinct words (lower case, without punctuation around) and shares of odd ones."""
+    """Buckets of a text's distinct words and of their beginnings, and shares of odd characters and words."""
     words = (text or "").split()
     if not words:
         return np.zeros(0, np.int32), np.array([0.0] * (DENSE - 1) + [1.0], np.float32)
-    distinct, n = set(words), len(words)
-    stems = {w.strip(".,;:!?()[]{}\"'").lower() for w in distinct}
-    ends = [w[-1] for w in words]
-    buckets = np.unique(np.fromiter((zlib.crc32(s.encode("utf-8", "surrogatepass")) % BUCKETS for s in stems), np.int32, len(stems)))
-    share = lambda hits: hits / n
-    dense = [
-        share(sum(map(ends.count, "#*$%&!"))), share(words.count("|")), share(sum(map(str.isupper, words))),
-        1 - len(distinct) / n ** 0.85 if n > 20 else 0.0, share(sum(a == b for a, b in zip(words, words[1:], strict=False))), min(1.0, sum(map(len, words)) / n / 20), 1.0,
-    ]
+    distinct, n, get = set(words), len(words), _buckets.get
+    buckets = np.unique(np.fromiter(chain.from_iterable([get(w) or _of_word(w) for w in distinct]), np.int32))
+    odd = min(1.0, sum(map(text.count, "#*$%&!")) / n / 2)
+    dense = [odd, min(1.0, text.count("|") / n), sum(map(str.isupper, distinct)) / len(distinct), max(0.0, 1 - len(distinct) / n**0.85), min(1.0, len(text) / n / 20), 1.0]
     return buckets, np.array(dense, np.float32)
 
 
