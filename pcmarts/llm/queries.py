@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pcmarts.llm import bpe, mixing, pii, quality, rules, simhash
-from pcmarts.llm.common import table
+from pcmarts.llm import bpe, ctw, htmltext, mixing, pii, quality, rules, simhash, sketch, warc
+from pcmarts.llm.common import shared_folder, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 HOST, PATH = F.col("source"), F.concat_ws("/", "source", "lang")
 
 
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return htmltext.extract(pages, htmltext.train(pages))
+
+
+def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, folder, "documents"))
+
+
+def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    archives = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    rows = warc.read(warc.write(table(spark, folder, "pages"), archives), archives)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = rules.ledger(table(spark, folder, "documents").select("doc_id", "text"))
     failed = ~rules.verdict(("base", 1))
@@ -39,6 +55,10 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "host", "path", "p_bad", "p_toxic", "evidence", "host_rate", "path_rate", "score", "kept")
 
 
+def model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return ctw.score(table(spark, folder, "documents"))
+
+
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
@@ -55,11 +75,15 @@ def _count(kind: str):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": main_text,
+    "op2_fingerprints": fingerprints,
     "op3_quality_rules": quality_rules,
     "op4_simhash": simhash_dedup,
     "op5_bpe": bpe_coding,
+    "op6_warc": warc_round_trip,
     "op7_quality_classifier": quality_classifier,
     "op8_mix_sources": mix_sources,
+    "op9_ctw": model_scores,
     "op10_personal_data": personal_data,
 }
 
