@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 def judge(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    return quality.keep_good(docs, table(spark, sf_dir, "labels"), queries.HOST, queries.PATH)
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"), *queries.site())
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

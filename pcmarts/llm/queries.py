@@ -6,14 +6,21 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pcmarts.llm import bpe, ctw, htmltext, mixing, pii, quality, rules, simhash, sketch, warc
 from pcmarts.llm.common import shared_folder, table
+from pcmarts.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-HOST, PATH = F.col("source"), F.concat_ws("/", "source", "lang")
+
+
+def site() -> tuple[Column, Column]:
+    """Host and path of a document: its source, and the source's part in one language."""
+    return F.col("source"), F.concat_ws("/", "source", "lang")
 
 
 def main_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,7 +58,7 @@ def bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    rows = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"), HOST, PATH)
+    rows = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"), *site())
     return rows.select("doc_id", "host", "path", "p_bad", "p_toxic", "evidence", "host_rate", "path_rate", "score", "kept")
 
 
@@ -70,7 +77,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *map(_count, pii.BASE), F.sha2(base, 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 
-def _count(kind: str):
+def _count(kind: str) -> Column:
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
@@ -86,5 +93,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ctw": model_scores,
     "op10_personal_data": personal_data,
 }
-
-ORACLES: dict[str, str] = {}
