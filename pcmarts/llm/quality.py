@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from pcmarts.llm.common import saved
 
 TRAIN_ROWS, BUCKETS, THRESHOLD, RATES = 16000, 1 << 18, 0.5, (0.2, 0.98)
-EPOCHS, RATE, DECAY, BATCH, SEED = 10, 0.3, 1e-6, 48, 11
+EPOCHS, STEPS, RATE, DECAY, BATCH, SEED = 10, 1000, 0.3, 1e-4, 48, 11
 DENSE, PREFIXES, CACHE = 6, (4, 5), 1 << 18
+DENSE_SCALE, MIN_TEXTS = 4.0, 4  # words that fewer texts of the sample have get no weight
 
 
 _buckets: dict[str, tuple[int, ...]] = {}
@@ -54,8 +55,8 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     distinct, n, get = set(words), len(words), _buckets.get
     buckets = np.unique(np.fromiter(chain.from_iterable([get(w) or _of_word(w) for w in distinct]), np.int32))
     odd = min(1.0, sum(map(text.count, "#*$%&!")) / n / 2)
-    dense = [odd, min(1.0, text.count("|") / n), sum(map(str.isupper, distinct)) / len(distinct), max(0.0, 1 - len(distinct) / n**0.85), min(1.0, len(text) / n / 20), 1.0]
-    return buckets, np.array(dense, np.float32)
+    dense = [odd, min(1.0, text.count("|") / n), sum(map(str.isupper, distinct)) / len(distinct), max(0.0, 1 - len(distinct) / n**0.85), min(1.0, len(text) / n / 20)]
+    return buckets, np.array([DENSE_SCALE * d for d in dense] + [1.0], np.float32)
 
 
 class Head:
@@ -71,12 +72,14 @@ class Head:
         return sums + dense @ self.d
 
     def fit(self, buckets: list[np.ndarray], dense: np.ndarray, y: np.ndarray) -> Head:
-        """Adagrad over shuffled batches; a fixed seed, so reruns agree."""
+        """Adagrad over shuffled batches, EPOCHS times over the rows and STEPS batches at least; a fixed seed, so reruns agree."""
         if not 0 < y.sum() < len(y):
             return self
+        common = np.bincount(np.concatenate([*buckets, np.zeros(0, np.int32)]), minlength=BUCKETS) >= MIN_TEXTS
+        buckets = [b[common[b]] for b in buckets]
         rng, gw, gd = np.random.default_rng(SEED), np.full(BUCKETS, 1e-2, np.float32), np.full(DENSE, 1e-2, np.float32)
         self.d[-1] = math.log(y.mean() / (1 - y.mean()))
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, STEPS * BATCH // len(y))):
             order = rng.permutation(len(y))
             for at in range(0, len(y), BATCH):
                 rows = order[at : at + BATCH]

@@ -71,7 +71,7 @@ class Archive:
         self.fs, base = pyarrow.fs.FileSystem.from_uri(folder)
         self.fs.create_dir(base, recursive=True)
         self.name = f"{uuid.uuid4().hex}.warc.zst"
-        self.out = self.fs.open_output_stream(f"{base}/{self.name}")
+        self.out = self.fs.open_output_stream(f"{base}/{self.name}", compression=None)
         self.held, self.bytes, self.records, self.frames = [], 0, 0, None
         self.add(record("warcinfo", {"WARC-Record-ID": f"<urn:uuid:{uuid.uuid4()}>", "Content-Type": "application/warc-fields"}, b"format: WARC File Format 1.1\r\n"))
 
@@ -167,7 +167,7 @@ def read(archives: DataFrame, folder: str) -> DataFrame:
         for x in batches:
             for name in x["archive"]:
                 rows = []
-                with fs.open_input_stream(f"{base}/{name}") as stream:
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     for fields, block in records(stream):
                         kind, stated = fields["WARC-Type"], fields.get("WARC-Payload-Digest", "").removeprefix("sha256:")
                         if kind not in ("response", "revisit"):
