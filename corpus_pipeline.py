@@ -39,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per drawn document: its token ids and the digests of ids and decoded text."""
-    return queries.digests(bpe.encode(docs.select("doc_id", "text"), queries.VOCABULARY), ids=True)
+    return queries.digests(bpe.encode(docs.select("doc_id", "text"), queries.VOCABULARY, decoded="decoded"), ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

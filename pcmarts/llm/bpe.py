@@ -5,8 +5,8 @@ is encoded as a tree: halves are encoded apart, then joined. Around a join the l
 are encoded again, k growing until the first and the last token of the window are those of the two sides. All neighbouring tokens are
 then as in an encoding of the whole, and an encoding by ranked merges is determined by its neighbours being so.
 
-Runs of over PIECE characters are cut into rows, so other tasks encode their pieces; the join tree then runs per text. The condition
-for that path (an unbroken run of over PIECE characters) only decides where the work runs; both paths give the same ids.
+Texts of over BIG bytes are cut into rows of PIECE characters, stretches of words and pieces of long runs, which other tasks encode; the
+join tree then runs per text. The condition only decides where the work runs: both paths give the same ids.
 
 encode(): a row per row of docs with ids (little-endian unsigned 32-bit numbers, one binary value) and n_tokens. A null text counts as
 empty: no ids. Repeated rows and repeated or null ids stay rows of their own. decode() gives the text of ids.
@@ -27,9 +27,10 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, LongType, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-LEAF, PIECE, CACHE, ROWS_OUT = 16, 4096, 1 << 18, 500
+LEAF, PIECE, BIG, CACHE, ROWS_OUT = 32, 1 << 14, 1 << 20, 1 << 17, 250
+NO_RANK, UNRANKED = (1 << 60, 0), 1 << 60
 
 # White space of the vocabulary's normaliser, as a character class.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -53,19 +54,23 @@ class Bpe:
         self.name = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.rank = {}
         for k, (a, b) in enumerate(model["merges"]):
-            self.rank.setdefault((self.vocab[a], self.vocab[b]), (k, self.vocab[a + b]))
+            self.rank.setdefault(self.vocab[a] << 17 | self.vocab[b], (k, self.vocab[a + b]))  # ids have 17 bits at most
+        self.pairs = np.array(sorted(self.rank), np.int64)
+        self.pair_rank = np.array([self.rank[k][0] for k in sorted(self.rank)], np.int64)
+        self.made = np.array([self.vocab[a + b] for a, b in model["merges"]], np.int64)
         self.words = regex.compile(cut)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.spaces, self.rare = re.compile(f"[{SPACE}]+"), re.compile("[\x1c-\x1f]")  # str.split() takes the rare ones for spaces
-        self.byte = byte_names()
+        self.inner, self.last = ([self.vocab[c + end] for c in byte_names()] for end in ("", self.end))
         self.parts: dict[int, list[int]] = {}
         self.cache: dict[str, bytes] = {}
 
     def symbols(self, word: str) -> list[int]:
         """Ids of the single symbols of a word, the last one with the word end."""
-        chars = [self.byte[b] for b in word.encode("utf-8", "surrogatepass")]
-        chars[-1] += self.end
-        return [self.vocab[c] for c in chars]
+        data = word.encode("utf-8", "surrogatepass")
+        ids = list(map(self.inner.__getitem__, data))
+        ids[-1] = self.last[data[-1]]
+        return ids
 
     def expand(self, token: int) -> list[int]:
         """The single symbols that a token was merged from."""
@@ -79,21 +84,21 @@ class Bpe:
         return self.parts[token]
 
     def merge(self, ids: list[int]) -> list[int]:
-        """Plain encoding: the pair of lowest rank is merged, left to right, until none is left."""
-        rank, none = self.rank, (1 << 60, 0)
-        while len(ids) > 1:
-            pair = min(zip(ids, ids[1:], strict=False), key=lambda p: rank.get(p, none)[0])
-            if pair not in rank:
+        """Plain encoding: of the pairs of lowest rank the first is merged, until no pair has a rank."""
+        get, none = self.rank.get, NO_RANK
+        ids = list(ids)
+        ranks = [get(a << 17 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            low = min(ranks)
+            if low is none:
                 break
-            new, out, i = rank[pair][1], [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and ids[i] == pair[0] and ids[i + 1] == pair[1]:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            i = ranks.index(low)
+            ids[i] = new = low[1]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 17 | new, none)
+            if i < len(ranks):
+                ranks[i] = get(new << 17 | ids[i + 1], none)
         return ids
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
@@ -129,43 +134,110 @@ class Bpe:
             out += [w for x in (self.spaces.split(part) if self.rare.search(part) else part.split()) for w in [_lower(x)] if w]
         return out
 
-    def ids_of(self, chunk: str) -> bytes:
-        """Ids of a chunk, from the cache if it was met lately."""
-        found = self.cache.get(chunk)
-        if found is None:
-            ids = [i for word in self.words.findall(chunk) for i in self.run(self.symbols(word))]
-            found = np.array(ids, "<u4").tobytes()
-            if len(chunk) <= 64:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[chunk] = found
+    def merge_all(self, words: list[str]) -> list[bytes]:
+        """merge() of many words at once: in each round every word merges its first pair of lowest rank."""
+        data = [w.encode("utf-8", "surrogatepass") for w in words]
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        ids = np.array(self.inner, np.int64)[np.frombuffer(b"".join(data), np.uint8)]
+        closing = np.cumsum(sizes) - 1
+        ids[closing] = np.array(self.last, np.int64)[[x[-1] for x in data]]
+        word = np.repeat(np.arange(len(data)), sizes)
+        rank = self._ranks(ids[:-1], ids[1:])
+        rank = np.append(rank, UNRANKED) if len(ids) else rank
+        rank[closing] = UNRANKED  # the place of a pair is that of its first symbol
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            low = np.repeat(np.minimum.reduceat(rank, start), np.diff(np.append(start, len(ids))))
+            over = low == UNRANKED
+            if over.any():
+                done.append((word[over], ids[over]))
+                word, ids, rank, low = word[~over], ids[~over], rank[~over], low[~over]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(rank == low)
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]
+            ids[at] = self.made[rank[at]]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            last = np.append(word[1:] != word[:-1], True)[at + 1]  # the second symbol closed its word
+            ids, word, rank = ids[keep], word[keep], rank[keep]
+            at -= np.arange(len(at))
+            rank[at] = UNRANKED
+            go = at[~last]
+            rank[go] = self._ranks(ids[go], ids[go + 1])
+            back = at[at > 0]
+            back = back[word[back - 1] == word[back]]
+            rank[back - 1] = self._ranks(ids[back - 1], ids[back])
+        word, ids = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, np.int64),) * 2
+        order = np.argsort(word, kind="stable")
+        raw, ends = ids[order].astype("<u4").tobytes(), (4 * np.cumsum(np.bincount(word, minlength=len(data)))).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, UNRANKED for pairs that are never merged."""
+        key = a << 17 | b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_rank[at], UNRANKED)
+
+    def ids_of(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that the cache does not hold; the first CACHE chunks, among them all frequent ones, are remembered."""
+        words = {c: (c,) if c.isalpha() else tuple(self.words.findall(c)) for c in chunks}
+        distinct = sorted({w for ws in words.values() for w in ws}, key=len)
+        short = [w for w in distinct if 4 * len(w) <= LEAF or len(w.encode("utf-8", "surrogatepass")) <= LEAF]
+        ids = dict(zip(short, self.merge_all(short), strict=True))
+        ids |= {w: _u4(self.run(self.symbols(w))) for w in distinct if w not in ids}
+        found = {c: b"".join([ids[w] for w in ws]) for c, ws in words.items()}
+        room = CACHE - len(self.cache)
+        if room > 0:
+            self.cache.update((c, i) for c, i in list(found.items())[:room] if len(c) <= 64)
         return found
 
-    def encode(self, text: str | None) -> bytes:
-        get, out = self.cache.get, []
-        for x in self.chunks(text or ""):
-            out.append((get(x) or self.ids_of(x)) if x.__class__ is str else np.array([x], "<u4").tobytes())
-        return b"".join(out)
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        chunks = [self.chunks(t or "") for t in texts]
+        cache = self.cache
+        new = self.ids_of({c for x in chunks for c in x if c.__class__ is str and c not in cache})
+        get = cache.get
+        return [b"".join([(get(c) or new.get(c, b"")) if c.__class__ is str else _u4([c]) for c in x]) for x in chunks]
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.name.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-    def cut(self, text: str, piece: int) -> Iterator[tuple[int, bool, list[int]]]:
-        """(run, encoded, ids): a text as encoded stretches and as symbols of at most `piece` characters of long runs."""
-        run, ready = 0, []
+    def cut(self, text: str, piece: int) -> Iterator[tuple[int, str, bytes]]:
+        """(run, kind, data): a text as stretches of words and as the symbols of long runs, at most `piece` characters each."""
+        run, held, size = 0, [], 0
+
+        def stretch() -> Iterator[tuple[int, str, bytes]]:
+            if held:
+                yield run, "words", " ".join(held).encode("utf-8", "surrogatepass")
+
         for chunk in self.chunks(text):
-            if isinstance(chunk, int) or len(chunk) <= piece:
-                ready += [chunk] if isinstance(chunk, int) else np.frombuffer(self.ids_of(chunk), "<u4").tolist()
-                continue
-            for word in self.words.findall(chunk):
-                symbols = self.symbols(word)
-                if len(symbols) <= piece:
-                    ready += self.run(symbols)
+            if isinstance(chunk, str) and len(chunk) <= piece:
+                held.append(chunk)
+                size += len(chunk) + 1
+                if size < piece:
                     continue
-                yield run, True, ready
-                yield from ((run + 1, False, symbols[i : i + piece]) for i in range(0, len(symbols), piece))
-                run, ready = run + 2, []
-        yield run, True, ready
+            yield from stretch()
+            run, held, size = run + 1, [], 0
+            if isinstance(chunk, int):
+                yield run, "ids", _u4([chunk])
+            elif len(chunk) > piece:
+                for word in self.words.findall(chunk):
+                    symbols = self.symbols(word)
+                    run += 1
+                    yield from ((run, "symbols", _u4(symbols[i : i + piece])) for i in range(0, len(symbols), piece))
+            run += 1
+        yield from stretch()
+
+    def piece(self, kind: str, data: bytes) -> bytes:
+        """The ids of what cut() gave."""
+        if kind == "ids":
+            return data
+        if kind == "symbols":
+            return _u4(self.run(np.frombuffer(data, "<u4").tolist()))
+        chunks = data.decode("utf-8", "surrogatepass").split(" ")
+        found = self.ids_of(set(chunks))
+        return b"".join([found[c] for c in chunks])
 
 
 def _lower(text: str) -> str:
@@ -177,57 +249,61 @@ def _u4(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """docs with ids and n_tokens in place of the text; vocabulary is the path of a tokenizers file on the driver."""
+def encode(docs: DataFrame, vocabulary: str, text: str = "text", decoded: str | None = None) -> DataFrame:
+    """docs with ids and n_tokens in place of the text, and with the decoded text if a name is given for it.
+
+    vocabulary is the path of a tokenizers file on the driver.
+    """
     source = open(vocabulary, encoding="utf-8").read()
-    kept = [c for c in docs.columns if c not in (text, "ids", "n_tokens")]
+    kept = [c for c in docs.columns if c not in (text, "ids", "n_tokens", decoded)]
     row, whole = F.struct(*kept) if kept else F.struct(F.lit(0).alias("none")), F.coalesce(F.col(text), F.lit(""))
-    # A run that lower-casing, composition and UTF-8 make long is long here too: each of its characters gives 12 bytes at most.
-    long = whole.rlike(rf"(?<![^{SPACE}])[^{SPACE}]{{{PIECE // 12}}}")
     docs = docs.select(row.alias("row"), whole.alias("whole"))
+    long = F.octet_length("whole") > BIG
     kind = docs.schema["row"].dataType
 
+    def done(bpe: Bpe, rows: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+        texts = [bpe.decode(i) if decoded else None for i in ids]
+        return pa.RecordBatch.from_arrays([rows, pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["row", "ids", "decoded"])
+
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(source)
         for x in batches:
             for part in (x.slice(i, ROWS_OUT) for i in range(0, x.num_rows, ROWS_OUT)):
-                ids = pa.array([bpe.encode(t) for t in part.column(1).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["row", "ids"])
+                yield done(bpe, part.column(0), bpe.encode(part.column(1).to_pylist()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, text_no = Bpe(source), TaskContext.get().partitionId() << 40
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
         for x in batches:
             for i, t in enumerate(x.column(1).to_pylist()):
-                rows = [(text_no, k, run, ready, _u4(ids)) for k, (run, ready, ids) in enumerate(bpe.cut(t, PIECE))]
+                rows = [(text_no, k, *p) for k, p in enumerate(bpe.cut(t, PIECE))] or [(text_no, 0, 0, "ids", b"")]
                 first = x.column(0).take(pa.array([i] + [None] * (len(rows) - 1), pa.int64()))
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays([first, *columns], ["row", "text_no", "place", "run", "ready", "ids"])
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([first, *columns], ["row", "text_no", "place", "run", "kind", "data"])
                 text_no += 1
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(source)
         for x in batches:
-            got = zip(x.column("ids").to_pylist(), x.column("ready").to_pylist(), strict=True)
-            ids = [i if ready else _u4(bpe.run(np.frombuffer(i, "<u4").tolist())) for i, ready in got]
-            yield x.set_column(x.schema.get_field_index("ids"), "ids", pa.array(ids, pa.binary()))
+            data = [bpe.piece(k, d) for k, d in zip(x.column("kind").to_pylist(), x.column("data").to_pylist(), strict=True)]
+            yield x.set_column(x.schema.get_field_index("data"), "data", pa.array(data, pa.binary()))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(source)
         for x in batches:
-            ids = []
-            for pieces in x.column("pieces").to_pylist():
+            for k in range(x.num_rows):
                 runs: dict[int, list[list[int]]] = {}
-                for p in pieces:  # in the order of the text
-                    runs.setdefault(p["run"], []).append(np.frombuffer(p["ids"], "<u4").tolist())
-                ids.append(_u4([i for leaves in runs.values() for i in bpe.tree(leaves)]))
-            yield pa.RecordBatch.from_arrays([x.column("row"), pa.array(ids, pa.binary())], ["row", "ids"])
+                for p in x.column("pieces")[k].as_py():  # in the order of the text
+                    runs.setdefault(p["run"], []).append(np.frombuffer(p["data"], "<u4").tolist())
+                yield done(bpe, x.column("row").slice(k, 1), [_u4([i for leaves in runs.values() for i in bpe.tree(leaves)])])
 
-    out = StructType().add("row", kind).add("ids", BinaryType())
-    pieces = StructType().add("row", kind).add("text_no", LongType()).add("place", LongType()).add("run", LongType()).add("ready", BooleanType()).add("ids", BinaryType())
+    out = StructType().add("row", kind).add("ids", BinaryType()).add("decoded", StringType())
+    pieces = StructType().add("row", kind).add("text_no", LongType()).add("place", LongType()).add("run", LongType()).add("kind", StringType()).add("data", BinaryType())
     leaves = docs.where(long).mapInArrow(cut, pieces).repartition("text_no", "place").mapInArrow(leaf, pieces)
-    texts = leaves.groupBy("text_no").agg(F.array_sort(F.collect_list(F.struct("place", "run", "ids"))).alias("pieces"), F.first("row", True).alias("row"))
-    done = docs.where(~long).mapInArrow(plain, out).union(texts.select("row", "pieces").mapInArrow(joined, out))
-    return done.select(*([f"row.`{c}`" for c in kept]), "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
+    texts = leaves.groupBy("text_no").agg(F.array_sort(F.collect_list(F.struct("place", "run", "data"))).alias("pieces"), F.first("row", True).alias("row"))
+    rows = docs.where(~long).mapInArrow(plain, out).union(texts.select("row", "pieces").mapInArrow(joined, out))
+    more = [F.col("decoded").alias(decoded)] if decoded else []
+    return rows.select(*([f"row.`{c}`" for c in kept]), "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), *more)
 
 
 def decode(encoded: DataFrame, vocabulary: str, into: str = "decoded") -> DataFrame:

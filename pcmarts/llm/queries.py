@@ -49,12 +49,11 @@ def simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def digests(encoded: DataFrame, ids: bool = False) -> DataFrame:
-    decoded = bpe.decode(encoded, VOCABULARY)
-    return decoded.select("doc_id", "n_tokens", *(["ids"] if ids else []), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", "n_tokens", *(["ids"] if ids else []), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
-    return digests(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), VOCABULARY))
+    return digests(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), VOCABULARY, decoded="decoded"))
 
 
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +30,9 @@ from pcmarts.llm.common import saved
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 HOT_BLOCK = 2048
-HASHES_AT_ONCE = 1 << 16
-PAIRS_AT_ONCE = 1 << 20
+HASHES_AT_ONCE = 1 << 15
+PAIRS_AT_ONCE = 1 << 17
+ROWS_READ = 1000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -52,13 +53,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, digest, fp): digest is a hash of the text, fp the fingerprint as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            fp = np.fromiter((fingerprint(t, shingle) for t in x["text"]), np.uint64, len(x))
-            yield pd.DataFrame({"doc_id": x["doc_id"], "digest": x["digest"], "fp": fp.view(np.int64)})
+            for part in (x.slice(k, ROWS_READ) for k in range(0, x.num_rows, ROWS_READ)):
+                fp = np.fromiter((fingerprint(t, shingle) for t in part.column("text").to_pylist()), np.uint64, part.num_rows)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), pa.array(fp.view(np.int64))], ["doc_id", "digest", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("digest"), "text")
-    return rows.mapInPandas(run, "doc_id long, digest long, fp long")
+    return rows.mapInArrow(run, "doc_id long, digest long, fp long")
 
 
 def _edges(distance: int) -> list[int]:
@@ -138,31 +140,27 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     rows = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     rows = rows.select("key.slot", "key.head", "key.tail", "lo", "hi", "side", "fp")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: pd.DataFrame | None = None
-
-        def out(x: pd.DataFrame) -> pd.DataFrame:
-            mark = x[["slot", "head", "tail", "lo", "hi"]].to_numpy()
-            part = {
-                "group": np.concatenate([[0], np.cumsum((mark[1:] != mark[:-1]).any(1))]), "fp": x["fp"].to_numpy().view(np.uint64),
-                "side": x["side"].to_numpy(), "same": (x["lo"] == x["hi"]).to_numpy(), "slot": x["slot"].to_numpy(),
-            }
-            a, b = _close(part, distance)
-            return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-
-        for x in batches:
-            if not len(x):
-                continue
-            x = x if rest is None else pd.concat([rest, x], ignore_index=True)
-            mark = x[["slot", "head", "tail", "lo", "hi"]].to_numpy()
-            whole = int(np.flatnonzero((mark != mark[-1]).any(1))[-1]) + 1 if (mark != mark[-1]).any() else 0  # the last group may go on
-            if whole:
-                yield out(x.iloc[:whole])
-            rest = x.iloc[whole:]
-        if rest is not None and len(rest):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("slot", "head", "tail", "lo", "hi", "side", "fp")
+        rest = np.zeros((len(names), 0), np.int64)  # the last group of a batch may go on in the next one
+
+        def out(x: np.ndarray) -> pa.RecordBatch:
+            group = np.concatenate([[0], np.cumsum((x[:5, 1:] != x[:5, :-1]).any(0))])
+            part = {"group": group, "fp": x[6].view(np.uint64), "side": x[5], "same": x[3] == x[4], "slot": x[0]}
+            return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in _close(part, distance)], ["a", "b"])
+
+        for batch in batches:
+            if batch.num_rows:
+                rest = np.concatenate([rest, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])], 1)
+                other = np.flatnonzero((rest[:5] != rest[:5, -1:]).any(0))
+                if other.size:
+                    whole = int(other[-1]) + 1
+                    yield out(np.ascontiguousarray(rest[:, :whole]))
+                    rest = rest[:, whole:].copy()
+        if rest.shape[1]:
             yield out(rest)
 
-    return rows.mapInPandas(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

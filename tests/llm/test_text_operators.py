@@ -30,9 +30,10 @@ def library_ids(text: str) -> list[int]:
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("abcdefthe'srlv  \n\t0É9ßΣİ漢字½!#=<|endoftext|>\x85\x1c​ é́"), max_size=120))
 def test_ids_and_text_are_those_of_the_library(text):
-    ids = np.frombuffer(OWN.encode(text), "<u4").tolist()
+    (found,) = OWN.encode([text])
+    ids = np.frombuffer(found, "<u4").tolist()
     assert ids == library_ids(text)
-    assert OWN.decode(OWN.encode(text)) == LIBRARY.decode(ids, skip_special_tokens=False)
+    assert OWN.decode(found) == LIBRARY.decode(ids, skip_special_tokens=False)
 
 
 @settings(max_examples=200, deadline=None)
@@ -40,15 +41,18 @@ def test_ids_and_text_are_those_of_the_library(text):
 def test_tree_gives_the_plain_encoding(word, piece):
     symbols = OWN.symbols(word)
     pieces = [OWN.run(symbols[i : i + piece]) for i in range(0, len(symbols), piece)]
-    assert OWN.tree(pieces) == OWN.merge(symbols)
+    assert OWN.tree(pieces) == OWN.merge(symbols) == np.frombuffer(OWN.merge_all([word])[0], "<u4").tolist()
 
 
 def test_encode_rows(spark, monkeypatch):
-    monkeypatch.setattr(bpe, "PIECE", 48)  # long runs take the path over several tasks
+    monkeypatch.setattr(bpe, "PIECE", 48)
+    monkeypatch.setattr(bpe, "BIG", 100)  # longer texts take the path over several tasks
     texts = [(1, None), (2, ""), (3, "hello  World"), (3, "hello  World"), (None, "x" + "the" * 500 + " and " + "=" * 300 + "!"), (4, "é" * 200), (5, "a<|endoftext|>b " + "q" * 90)]
     docs = spark.createDataFrame([(i, t, 7, "k") for i, t in texts], "doc_id long, text string, n_tokens int, run string")
     got = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect()
     want = sorted(((i, tuple(library_ids(t or ""))) for i, t in texts), key=repr)
+    both = bpe.encode(docs, VOCABULARY, decoded="again").select("ids", "again").collect()
+    assert all(r.again == LIBRARY.decode(np.frombuffer(r.ids, "<u4").tolist(), skip_special_tokens=False) for r in both)
     assert sorted(((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got), key=repr) == want
     assert all(r.decoded == LIBRARY.decode(np.frombuffer(r.ids, "<u4").tolist(), skip_special_tokens=False) and r.n_tokens * 4 == len(r.ids) and r.run == "k" for r in got)
     assert bpe.encode(docs.limit(0), VOCABULARY).count() == 0
