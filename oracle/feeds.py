@@ -103,7 +103,7 @@ QUERIES: dict[str, str] = {
       union all select sha256('Update: ' || title || {_MAIL}), 'Update: ' || title, '', {_KIND.format(c="('Update: ' || title)")}, {_COLOUR.format(c="('Update: ' || title)")}, null, null,
         date_trunc('second', event_time_utc), '', {fetched('event_time_utc')}, 'gdacs' from b_cat where {usable('event_id')}""",
     "feed_news_parse": f"""select sha256('https://feed.test/n/' || cast(doc_id as varchar)) as news_id, 'Report from ' || source as title,
-        substring(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), 1, 500) as summary, '2 Jan 2024 03:04:05 GMT' as published_utc, 'https://feed.test/n/' || cast(doc_id as varchar) as link,
+        regexp_replace(text, '^\\s+|\\s+$', '', 'g') as summary, '2 Jan 2024 03:04:05 GMT' as published_utc, 'https://feed.test/n/' || cast(doc_id as varchar) as link,
         'General' as category, '2024-01-02T04:00:00Z' as fetched_at_utc, 'reliefweb' as source from documents where {usable('doc_id')}""",
     "feed_noaa_parse": f"""select 'a' || cast(alert_id as varchar) || '-' || cast(k as varchar) as alert_id, event_type, severity, 'Likely' as certainty, urgency, area_desc, cast(null as varchar) as headline,
         effective_utc as sent_utc, effective_utc, expires_utc, {fetched('effective_utc')} as fetched_at_utc, 'noaa-nws' as source

@@ -10,6 +10,11 @@ def m(expr: str) -> str:
     return f"cast(sum(cast({expr} as decimal(30,2))) as double)"
 
 
+def fine(expr: str) -> str:
+    """Exact total of a column in millions."""
+    return f"cast(sum(cast({expr} as decimal(28,10))) as double)"
+
+
 def half_up(expr: str, digits: int) -> str:
     """Spark's ROUND: half up on the shortest decimal form of the double."""
     return f"cast(round(cast(cast({expr} as varchar) as decimal(38,18)), {digits}) as double)"
@@ -31,8 +36,8 @@ CTES["x_steps"] = """select l.accident_year, l.line_of_business, l.last_paid,
   group by l.accident_year, l.line_of_business, l.last_paid"""
 CTES["g_triangle"] = """select t.accident_year, t.development_period, t.line_of_business, cast(incremental_paid_eur_m as double) as incremental_paid_eur_m,
     cast(paid as double) as cumulative_paid_eur_m, cast(case_reserves_eur_m as double) as case_reserves_eur_m, u.ult as ultimate_loss_eur_m,
-    round(u.ult - cast(paid as double) - cast(case_reserves_eur_m as double), 2) as ibnr_eur_m
-  from x_tri t join (select accident_year, line_of_business, round(list_reduce(steps, lambda a, f: a * f), 2) as ult from x_steps) u
+    round(u.ult - cast(paid as double) - cast(case_reserves_eur_m as double), 6) as ibnr_eur_m
+  from x_tri t join (select accident_year, line_of_business, round(list_reduce(steps, lambda a, f: a * f), 6) as ult from x_steps) u
     on t.accident_year = u.accident_year and t.line_of_business = u.line_of_business"""
 CTES["x_newest"] = """select accident_year, line_of_business, arg_max(ibnr_eur_m, development_period) as ibnr, arg_max(ultimate_loss_eur_m, development_period) as ult from g_triangle group by 1, 2"""
 
@@ -158,7 +163,7 @@ QUERIES: dict[str, str] = {
     "snp_active_cat": f"""select event_type, severity, state_code, round(exposed_tiv_usd/1e9, 2) as exposed_tiv_busd, exposed_policy_count, effective_utc from g_alerts {ALERT_TOP} limit 20""",
     "snp_solvency_trend": """select reporting_date, solvency_ratio_pct, case when solvency_ratio_pct >= 200 then 'Strong' when solvency_ratio_pct >= 150 then 'Adequate'
         when solvency_ratio_pct >= 100 then 'Recovery plan' else 'Intervention' end as status from b_pc_solvency""",
-    "snp_ibnr_by_ay": f"""select accident_year, line_of_business, {m('case_reserves_eur_m')} as case_reserves_eur_m, {m('ibnr_eur_m')} as ibnr_eur_m, {m('ultimate_loss_eur_m')} as ultimate_loss_eur_m
+    "snp_ibnr_by_ay": f"""select accident_year, line_of_business, {fine('case_reserves_eur_m')} as case_reserves_eur_m, {fine('ibnr_eur_m')} as ibnr_eur_m, {fine('ultimate_loss_eur_m')} as ultimate_loss_eur_m
       from g_triangle group by 1, 2""",
     "snp_non_ig_share": f"""select round({m("case when rating in ('BB','B','CCC','NotRated') then market_value_usd else 0 end")} * 100 / {m('market_value_usd')}, 2) as pct_non_ig from g_assets""",
     "faq_latest_quarter": "select sub_line, combined_ratio_pct from b_pc_combined where reporting_quarter = (select max(reporting_quarter) from b_pc_combined)",
@@ -186,10 +191,9 @@ QUERIES: dict[str, str] = {
         ('Underwriting life', scr_underwriting_life), ('Underwriting health', scr_underwriting_health), ('Credit', scr_credit_risk), ('Operational', scr_operational_risk)) v(module, scr_eur_m)""",
     "cq_16": """select reporting_date, diversification_benefit, g as gross_scr_eur_m, round(-diversification_benefit * 100 / g, 1) as benefit_pct_of_gross from (
         select *, scr_market_risk + scr_underwriting_non_life + scr_underwriting_life + scr_underwriting_health + scr_credit_risk + scr_operational_risk as g from b_pc_solvency) t""",
-    "cq_17": "select line_of_business, " + ", ".join(f"max(cumulative_paid_eur_m) filter (where development_period = {p}) as period_{p}" for p in range(1, 8))
-      + " from g_triangle where accident_year = 1997 group by 1",
-    "cq_18": f"select line_of_business, {m('ibnr')} as ibnr_eur_m from x_newest group by 1",
-    "cq_19": f"select accident_year, {m('ult')} as ultimate_loss_eur_m from x_newest where accident_year = 2000 group by 1",
+    "cq_17": "select line_of_business, development_period, cumulative_paid_eur_m from g_triangle where accident_year = 1997",
+    "cq_18": f"select line_of_business, {fine('ibnr')} as ibnr_eur_m from x_newest group by 1",
+    "cq_19": f"select accident_year, {fine('ult')} as ultimate_loss_eur_m from x_newest where accident_year = 2000 group by 1",
     "cq_20": """select reinsurer, round(cast(sum(premium_ceded_usd) as double)/1e6, 2) as ceded_musd, count(*) as treaties from b_treaty
       where treaty_start < date '2002-01-01' and treaty_end >= date '2001-01-01' group by 1""",
     "cq_21": """select treaty_id, treaty_type, reinsurer, line_of_business, round(cast(cession_pct as double)*100, 1) as cession_pct from b_treaty

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 CENTS = "decimal(18,2)"
 RATE = "decimal(18,6)"
 WIDE = "decimal(30,2)"  # money that is already a total
+FINE = "decimal(28,10)"  # money in millions: a unit is worth a million
 
 
 def _col(c: Column | str) -> Column:

@@ -2,8 +2,7 @@
 
 ``stack`` puts facts of one grain on top of each other so a single aggregation (one shuffle, with
 map-side combine) replaces "aggregate each, then join". ``with_every`` and ``mentions`` combine a
-large table with a short list; the list is only handed to every task after its length has been
-checked, and a keyed join takes over beyond that.
+large table with a list of any length by equality joins; no plan depends on a count taken before.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHORT_LIST = 4096
+LIST = 4096  # right rows that travel as one value
 
 
 def stack(*parts: DataFrame) -> DataFrame:
@@ -21,24 +20,17 @@ def stack(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def is_short(df: DataFrame, limit: int = SHORT_LIST) -> bool:
-    """True if the table has at most ``limit`` rows. Reads no more than limit + 1 of them."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def with_every(left: DataFrame, right: DataFrame, short: bool, shares: int = 64) -> DataFrame:
+def with_every(left: DataFrame, right: DataFrame) -> DataFrame:
     """Each left row once per right row.
 
-    Short list: the right rows travel as one array value and are unfolded next to each left row,
-    so the left table is neither shuffled nor joined. Otherwise both sides meet on a share number:
-    every task holds only its share of the right rows.
+    The right rows are dealt into lists of about ``LIST`` rows; a left row meets every list, by the list's number, and is
+    unfolded next to it. The number of lists is part of the query (a scalar subquery), so one plan serves any length.
     """
-    if short:
-        listed = right.agg(F.collect_list(F.struct(*right.columns)).alias("rows"))
-        return left.select("*", F.inline(listed.scalar()))
-    share = F.pmod(F.xxhash64(*right.columns), F.lit(shares)).cast("int")
-    spread = left.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    return spread.join(right.withColumn("_share", share), "_share").drop("_share")
+    lists = right.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(LIST))).cast("int").alias("n"))
+    number = F.pmod(F.xxhash64(*right.columns), lists.scalar()).cast("int")
+    listed = right.groupBy(number.alias("_list")).agg(F.collect_list(F.struct(*right.columns)).alias("_rows"))
+    spread = left.withColumn("_list", F.explode(F.sequence(F.lit(0), lists.scalar() - 1)))
+    return spread.join(listed, "_list").select(*left.columns, F.inline("_rows"))
 
 
 def _pieces(text: Column, lengths: Column) -> Column:
@@ -58,16 +50,16 @@ def _mention_of(left: DataFrame, text: str, names: DataFrame, needle: str) -> Da
     return pieces.join(names, F.col("_piece") == F.col(needle)).drop("_piece")
 
 
-def mentions(left: DataFrame, text: str, names: DataFrame, first: str, second: str, short: bool) -> DataFrame:
+def mentions(left: DataFrame, text: str, names: DataFrame, first: str, second: str) -> DataFrame:
     """Left rows with each name row whose ``first`` or ``second`` string occurs in the text.
 
-    Short list: the containment test runs against the broadcast list. Otherwise the text is cut
-    into its substrings of the lengths that occur among the names and matched by equality: once on
-    ``first``, once on ``second`` for the pairs the first pass did not yield.
+    Texts are matched, not rows: each distinct text is cut into its substrings of the lengths that
+    occur among the names and matched by equality, once on ``first``, once on ``second`` for the
+    pairs the first pass did not yield. A stream's rows are matched one by one, as they come.
     """
+    texts = left if left.isStreaming else left.select(text).distinct()
     has_first = F.col(text).contains(F.col(first))
-    if short:
-        return left.join(F.broadcast(names), has_first | F.col(text).contains(F.col(second)))
-    by_first = _mention_of(left, text, names, first)
-    by_second = _mention_of(left, text, names, second).filter(~F.coalesce(has_first, F.lit(False)))
-    return by_first.unionByName(by_second)
+    by_first = _mention_of(texts, text, names, first)
+    by_second = _mention_of(texts, text, names, second).filter(~F.coalesce(has_first, F.lit(False)))
+    hits = by_first.unionByName(by_second)
+    return hits if left.isStreaming else left.join(hits, text)

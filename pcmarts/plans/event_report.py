@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from pcmarts.functions.money import billions, rounded
 from pcmarts.operators.shapes import stack
+from pcmarts.plans import gold
 from pcmarts.plans.registry import high, low, query, top
-from pcmarts.plans.reports import by_exposed_tiv, by_pml, pml_figures, with_exposed_tiv, with_pml
+from pcmarts.plans.reports import by_exposed_tiv, pml_figures, with_exposed_tiv
 from pcmarts.workspace import Workspace
 
 # Report label -> event table
@@ -47,7 +48,7 @@ def top_exposed_alerts(ws: Workspace) -> DataFrame:
 
 @query("rpt_top_pml_events")
 def top_pml_events(ws: Workspace) -> DataFrame:
-    return top(with_pml(ws), 15, *by_pml()).select(
+    return gold.worst_pml(ws, 15).select(
         "title", "event_type", "severity", "state_code", "event_time_utc", *pml_figures()
     )
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from pcmarts.functions.bands import NON_INVESTMENT_GRADE, solvency_tier
 from pcmarts.functions.dates import period_filter, since_months
-from pcmarts.functions.money import billions, in_units, mean, millions, percent, retotal, rounded
+from pcmarts.functions.money import FINE, billions, in_units, mean, millions, percent, retotal, rounded, total
 from pcmarts.operators.shapes import stack
+from pcmarts.plans import gold
 from pcmarts.plans.registry import high, low, query, top
 from pcmarts.plans.reports import (
-    by_exposed_tiv, by_pml, SEGMENT, pml_figures, sizeable_segments, with_exposed_tiv, with_pml,
+    by_exposed_tiv, SEGMENT, pml_figures, sizeable_segments, with_exposed_tiv,
 )
 from pcmarts.workspace import Workspace
 
@@ -124,12 +125,14 @@ def active_exposure(ws: Workspace) -> DataFrame:
 
 @query("ex_pml_events", "cq_27")
 def pml_events(ws: Workspace) -> DataFrame:
-    return top(with_pml(ws), 20, *by_pml()).select("event_type", "severity", "title", "state_code", *pml_figures())
+    return gold.worst_pml(ws, 20).select("event_type", "severity", "title", "state_code", *pml_figures())
 
 
 @query("ex_claims_by_report_lag")
 def slowest_reports(ws: Workspace) -> DataFrame:
-    return top(ws.table("claim_360"), 20, high("report_lag_days"), low("claim_id")).select(
+    lag = F.datediff("report_date", "loss_date")
+    latest = top(ws.table("fact_claim").withColumn("_lag", lag), 20, high("_lag"), low("claim_id")).drop("_lag")
+    return top(gold.claims_360(ws, latest), 20, high("report_lag_days"), low("claim_id")).select(
         "claim_id", "line_of_business", "product", "peril", "state_code", "report_lag_days",
         in_units("incurred_amount_usd", 1e3, 1).alias("incurred_kusd"), "claim_status", "loss_date", "report_date",
     )
@@ -158,12 +161,12 @@ def top_states(ws: Workspace) -> DataFrame:
 
 @query("bm_cat_claims")
 def cat_claims(ws: Workspace) -> DataFrame:
-    return ws.table("claim_360").filter("is_cat").agg(F.count(F.lit(1)).alias("cat_claims"))
+    return ws.table("fact_claim").filter("is_cat").agg(F.count(F.lit(1)).alias("cat_claims"))
 
 
 @query("bm_cyber_severity")
 def cyber_severity(ws: Workspace) -> DataFrame:
-    cyber = ws.table("claim_360").filter(F.col("product") == "Cyber")
+    cyber = ws.table("fact_claim").filter(F.col("product") == "Cyber")
     return cyber.agg(rounded(mean("incurred_amount_usd"), 0).alias("avg_severity_usd"))
 
 
@@ -222,7 +225,7 @@ def ibnr_by_accident_year(ws: Workspace) -> DataFrame:
     figures = ("case_reserves_eur_m", "ibnr_eur_m", "ultimate_loss_eur_m")
     return (
         ws.table("loss_triangle").groupBy("accident_year", "line_of_business")
-        .agg(*[retotal(c).alias(c) for c in figures]).orderBy(high("accident_year"), low("line_of_business"))
+        .agg(*[total(c, FINE).alias(c) for c in figures]).orderBy(high("accident_year"), low("line_of_business"))
     )
 
 

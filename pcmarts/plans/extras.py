@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pcmarts.functions.dates import day, month_of, quarter_of
-from pcmarts.functions.money import CENTS, ratio, total
+from pcmarts.functions.money import CENTS, FINE, ratio, total
 from pcmarts.operators.shapes import stack
 from pcmarts.plans.registry import query
 from pcmarts.workspace import Workspace, table
@@ -106,7 +106,7 @@ def loss_triangle(ws: Workspace) -> DataFrame:
     line, year, period = "line_of_business", "accident_year", "development_period"
     cells = cells.filter(F.col(year) + F.col(period) - 1 <= ws.as_of.year)  # what is known at the date
     along = Window.partitionBy(year, line).orderBy(period)
-    paid = F.sum(F.col("incremental_paid_eur_m").cast(CENTS)).over(
+    paid = F.sum(F.col("incremental_paid_eur_m").cast(FINE)).over(
         along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     known = cells.select(
@@ -126,7 +126,7 @@ def loss_triangle(ws: Workspace) -> DataFrame:
     ultimate = F.aggregate(remaining, F.col("latest_paid"), lambda value, f: value * f["factor"])
     projected = (
         latest.join(factors, line, "left")
-        .select(year, line, F.round(F.coalesce(ultimate, "latest_paid"), 2).alias("ultimate_loss_eur_m"))
+        .select(year, line, F.round(F.coalesce(ultimate, "latest_paid"), 6).alias("ultimate_loss_eur_m"))
     )
     figures = known.select(
         year, period, line, F.col("incremental_paid_eur_m").cast("double").alias("incremental_paid_eur_m"),
@@ -134,7 +134,7 @@ def loss_triangle(ws: Workspace) -> DataFrame:
         F.col("case_reserves_eur_m").cast("double").alias("case_reserves_eur_m"),
     )
     ibnr = F.col("ultimate_loss_eur_m") - F.col("cumulative_paid_eur_m") - F.col("case_reserves_eur_m")
-    return figures.join(projected, [year, line]).withColumn("ibnr_eur_m", F.round(ibnr, 2))
+    return figures.join(projected, [year, line]).withColumn("ibnr_eur_m", F.round(ibnr, 6))
 
 
 @query("ext_triangle_build")

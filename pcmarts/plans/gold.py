@@ -8,12 +8,12 @@ removed first because they could never have met a group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pcmarts.functions.dates import month_of
 from pcmarts.functions.money import CENTS, RATE, mean, peak, ratio, total
-from pcmarts.operators.shapes import is_short, mentions, stack, with_every
+from pcmarts.operators.shapes import mentions, stack, with_every
 from pcmarts.workspace import Workspace, table
 
 # Share of a state's insured value at risk, by catastrophe type.
@@ -199,11 +199,6 @@ def states_of(ws: Workspace) -> DataFrame:
     return ws.table("dim_geography").select("state_code", "state_name").distinct()
 
 
-def short_states(ws: Workspace) -> bool:
-    """Is the list of states short enough to hand to every task? Measured on the geography table."""
-    return bool(ws.fact("short_states", lambda: is_short(states_of(ws))))
-
-
 def alert_exposure(ws: Workspace, alerts: DataFrame) -> DataFrame:
     """Alerts (batch or stream) with each state their area text names and the exposure there."""
     exposure = ws.table("exposure_by_state").select(
@@ -214,7 +209,7 @@ def alert_exposure(ws: Workspace, alerts: DataFrame) -> DataFrame:
     places = states_of(ws).join(exposure, "state_code", "left")
     shown = ("alert_id", "event_type", "severity", "urgency", "effective_utc", "expires_utc")
     hits = mentions(
-        alerts.select(*shown, "area_desc"), "area_desc", places, "state_name", "state_code", short_states(ws)
+        alerts.select(*shown, "area_desc"), "area_desc", places, "state_name", "state_code"
     )
     return hits.select(*shown, "state_code", "state_name", "exposed_tiv_usd", "exposed_policy_count")
 
@@ -234,12 +229,32 @@ def peril_factor(event_type: Column | str) -> Column:
 @table("cat_event_pml", "gold", ["catastrophe_events", "exposure_by_state", "dim_geography"])
 def cat_event_pml(ws: Workspace) -> DataFrame:
     """Every catastrophe event against every state with exposure: probable maximum loss."""
-    events = ws.table("catastrophe_events").select(
+    return _pml(with_every(_factored(ws), ws.table("exposure_by_state").select("state_code", "state_tiv_usd")))
+
+
+def _factored(ws: Workspace) -> DataFrame:
+    return ws.table("catastrophe_events").select(
         "event_id", "title", "event_type", "severity", "event_time_utc", "latitude", "longitude",
         peril_factor("event_type").alias("severity_factor"),
     )
-    states = ws.table("exposure_by_state").select("state_code", "state_tiv_usd")
-    pairs = with_every(events, states, short_states(ws))
+
+
+def worst_pml(ws: Workspace, n: int) -> DataFrame:
+    """The n pairs of event and state with the largest PML, by event and state where equal; exact for any n.
+
+    Among events of one factor a pair is beaten by the same state with a lower event id, and among states by the same event
+    with a larger (or equal and earlier) state. So n events per factor and n states hold the answer: n * n pairs a factor.
+    """
+    by_factor = Window.partitionBy("severity_factor").orderBy("event_id")
+    events = _factored(ws).filter(F.col("severity_factor").isNotNull())
+    events = events.withColumn("_place", F.row_number().over(by_factor)).filter(F.col("_place") <= n).drop("_place")
+    states = ws.table("exposure_by_state").filter(F.col("state_tiv_usd").isNotNull()).select("state_code", "state_tiv_usd")
+    states = states.orderBy(F.desc("state_tiv_usd"), "state_code").limit(n)
+    pairs = _pml(with_every(events, states))
+    return pairs.orderBy(F.desc("pml_estimate_usd"), "event_id", "state_code").limit(n)
+
+
+def _pml(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         "event_id", "title", "event_type", "severity", "event_time_utc", "latitude", "longitude",
         "state_code", "state_tiv_usd", "severity_factor",
@@ -282,9 +297,14 @@ def policy_customer_360(ws: Workspace) -> DataFrame:
 @table("claim_360", "gold", ["fact_claim", "dim_policy", "dim_customer", "dim_geography"])
 def claim_360(ws: Workspace) -> DataFrame:
     """One row per claim with its policy, that policy's customer, and the place of the claim."""
+    return claims_360(ws, ws.table("fact_claim"))
+
+
+def claims_360(ws: Workspace, claims: DataFrame) -> DataFrame:
+    """The 360 view of the given claims: a reader that wants a few cuts them first."""
     money = ("incurred_amount_usd", "paid_amount_usd", "reserve_amount_usd", "net_paid_usd",
              "salvage_recovery_usd", "subrogation_recovery_usd")
-    claim = ws.table("fact_claim").select(
+    claim = claims.select(
         "claim_id", "policy_id", "line_of_business", "product", "peril", "claim_status", "loss_date", "report_date",
         F.datediff("report_date", "loss_date").alias("report_lag_days"),
         *[F.col(c).cast("double").alias(c) for c in money],
@@ -395,23 +415,44 @@ def book_health(ws: Workspace) -> DataFrame:
     )
 
 
+def percentile(claims: DataFrame, key: str, amount: str, share: int) -> DataFrame:
+    """(key, percentile): the least amount that at least `share` percent of a key's amounts do not exceed. Exact.
+
+    Amounts are counted per key and cent, with partial counts, so a hot key is many groups. The rank is then narrowed in three
+    steps of 21 bits: buckets of a key are counted, the one that holds the rank is kept, and its cents go on. No step has more
+    than 2 ** 21 buckets a key, and the counted cents are shuffled once.
+    """
+    cents = claims.where(F.col(amount).isNotNull()).select(key, (F.col(amount).cast(CENTS) * 100).cast("bigint").alias("cents"))
+    cells = cents.groupBy(key, "cents").agg(F.count(F.lit(1)).alias("n"))
+    found = cells.groupBy(key).agg(F.ceil(F.sum("n") * F.lit(share) / F.lit(100)).alias("rank")).withColumnRenamed(key, "_key")
+    narrowed = cells.join(found, F.col(key).eqNullSafe(F.col("_key")))
+    for bits in (42, 21, 0):
+        bucket = F.shiftright("cents", bits)
+        sums = narrowed.groupBy(F.col("_key").alias("k"), bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.max("rank").alias("rank"))
+        upto = F.sum("n").over(Window.partitionBy("k").orderBy("bucket"))
+        step = sums.withColumn("upto", upto).where("upto >= rank and upto - n < rank").select("k", "bucket", (F.col("rank") - F.col("upto") + F.col("n")).alias("left"))
+        narrowed = narrowed.join(step, F.col("_key").eqNullSafe(F.col("k")) & (bucket == F.col("bucket")))
+        narrowed = narrowed.select("_key", "cents", "n", F.col("left").alias("rank"))
+    return narrowed.groupBy(F.col("_key").alias(key)).agg((F.min("cents").cast(CENTS) / 100).cast(CENTS).cast("double").alias("percentile"))
+
+
 @table("peril_loss_summary", "gold", ["fact_claim"])
 def peril_loss_summary(ws: Workspace) -> DataFrame:
     """Peril: frequency, severity with its 95th percentile, catastrophe share."""
     loss = "incurred_amount_usd"
-    return (
-        ws.table("fact_claim")
-        .groupBy("peril")
-        .agg(
-            F.count(F.lit(1)).alias("claim_count"),
-            total(loss).alias("total_incurred_usd"),
-            mean(loss).alias("avg_severity_usd"),
-            F.percentile_approx(loss, 0.95).cast("double").alias("p95_severity_usd"),
-            _hits("is_cat").alias("cat_claim_count"),
-            total(F.when(F.col("is_cat"), F.col(loss)).otherwise(F.lit(0))).alias("cat_incurred_usd"),
-            F.countDistinct("line_of_business").alias("distinct_lobs"),
-        )
-        .withColumn("cat_share_of_loss", ratio("cat_incurred_usd", "total_incurred_usd"))
+    claims = ws.table("fact_claim").select("peril", loss, "is_cat", "line_of_business")
+    high = percentile(claims, "peril", loss, 95).select(F.col("peril").alias("_peril"), F.col("percentile").alias("p95_severity_usd"))
+    sums = claims.groupBy("peril").agg(
+        F.count(F.lit(1)).alias("claim_count"),
+        total(loss).alias("total_incurred_usd"),
+        mean(loss).alias("avg_severity_usd"),
+        _hits("is_cat").alias("cat_claim_count"),
+        total(F.when(F.col("is_cat"), F.col(loss)).otherwise(F.lit(0))).alias("cat_incurred_usd"),
+        F.countDistinct("line_of_business").alias("distinct_lobs"),
+    )
+    return sums.join(high, F.col("peril").eqNullSafe(F.col("_peril")), "left").select(
+        "peril", "claim_count", "total_incurred_usd", "avg_severity_usd", "p95_severity_usd", "cat_claim_count", "cat_incurred_usd", "distinct_lobs",
+        ratio("cat_incurred_usd", "total_incurred_usd").alias("cat_share_of_loss"),
     )
 
 

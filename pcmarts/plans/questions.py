@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from pcmarts.functions import bands
 from pcmarts.functions.dates import period_filter
-from pcmarts.functions.money import billions, mean, millions, percent, ratio, retotal, rounded, total
+from pcmarts.functions.money import FINE, billions, mean, millions, percent, ratio, retotal, rounded, total
+from pcmarts.plans import gold
 from pcmarts.plans.extras import quarterly_loss_ratio
 from pcmarts.plans.registry import high, low, query, top
 from pcmarts.workspace import Workspace
@@ -68,16 +69,18 @@ def frequency_by_product(ws: Workspace) -> DataFrame:
 
 @query("cq_08")
 def largest_open_claims(ws: Workspace) -> DataFrame:
-    still_open = ws.table("claim_360").filter(F.col("claim_status") == "Open")
-    return top(still_open, 20, high("reserve_amount_usd"), low("claim_id")).select(
+    still_open = ws.table("fact_claim").filter(F.col("claim_status") == "Open")
+    largest = gold.claims_360(ws, top(still_open, 20, high("reserve_amount_usd"), low("claim_id")))  # cut, then looked up
+    return top(largest, 20, high("reserve_amount_usd"), low("claim_id")).select(
         "claim_id", "line_of_business", "product", "peril", "state_code", "reserve_amount_usd", "incurred_amount_usd"
     )
 
 
 @query("cq_09")
 def report_lag_by_line(ws: Workspace) -> DataFrame:
-    return ws.table("claim_360").groupBy("line_of_business").agg(
-        F.round(F.try_divide(F.sum("report_lag_days"), F.count("report_lag_days")), 2).alias("avg_report_lag_days")
+    lag = F.datediff("report_date", "loss_date")  # both dates are the claim's: no other table is read
+    return ws.table("fact_claim").groupBy("line_of_business").agg(
+        F.round(F.try_divide(F.sum(lag), F.count(lag)), 2).alias("avg_report_lag_days")
     )
 
 
@@ -133,12 +136,10 @@ def diversification(ws: Workspace) -> DataFrame:
     )
 
 
-def triangle_of(ws: Workspace, accident_year: int, periods: range = range(1, 8)) -> DataFrame:
+def triangle_of(ws: Workspace, accident_year: int) -> DataFrame:
+    """Cumulative payments of one year, a row per line and development period that the data have."""
     rows = ws.table("loss_triangle").filter(F.col("accident_year") == accident_year)
-    wide = rows.groupBy("line_of_business").pivot("development_period", list(periods)).agg(
-        F.max("cumulative_paid_eur_m")
-    )
-    return wide.select("line_of_business", *[F.col(f"`{p}`").alias(f"period_{p}") for p in periods])
+    return rows.select("line_of_business", "development_period", "cumulative_paid_eur_m")
 
 
 @query("cq_17")
@@ -156,13 +157,13 @@ def latest_development(ws: Workspace) -> DataFrame:
 
 @query("cq_18")
 def ibnr_by_line(ws: Workspace) -> DataFrame:
-    return latest_development(ws).groupBy("line_of_business").agg(retotal("ibnr_eur_m").alias("ibnr_eur_m"))
+    return latest_development(ws).groupBy("line_of_business").agg(total("ibnr_eur_m", FINE).alias("ibnr_eur_m"))
 
 
 @query("cq_19")
 def ultimate_one_year(ws: Workspace) -> DataFrame:
     rows = latest_development(ws).filter(F.col("accident_year") == 2000)
-    return rows.groupBy("accident_year").agg(retotal("ultimate_loss_eur_m").alias("ultimate_loss_eur_m"))
+    return rows.groupBy("accident_year").agg(total("ultimate_loss_eur_m", FINE).alias("ultimate_loss_eur_m"))
 
 
 @query("cq_20")

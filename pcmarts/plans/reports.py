@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from pcmarts.functions.bands import solvency_status, subline_benchmark
 from pcmarts.functions.dates import since_months
-from pcmarts.functions.money import RATE, billions, mean, millions, percent, retotal, rounded, total
+from pcmarts.functions.money import FINE, RATE, billions, mean, millions, percent, retotal, rounded, total
 from pcmarts.operators.shapes import stack
+from pcmarts.plans import gold
 from pcmarts.plans.registry import high, low, query, top
 from pcmarts.workspace import Workspace
 
@@ -70,10 +71,6 @@ def solvency(ws: Workspace) -> DataFrame:
     ).orderBy(high("reporting_date"))
 
 
-def with_pml(ws: Workspace) -> DataFrame:
-    return ws.table("cat_event_pml").filter(F.col("pml_estimate_usd").isNotNull())
-
-
 def with_exposed_tiv(ws: Workspace) -> DataFrame:
     return ws.table("event_risk_correlation").filter(F.col("exposed_tiv_usd").isNotNull())
 
@@ -96,7 +93,7 @@ def pml_figures() -> tuple[Column, ...]:
 @query("sql_05_cat_pml_exposure")
 def cat_pml(ws: Workspace) -> DataFrame:
     # the fifty rows are chosen before the state names are looked up
-    worst = top(with_pml(ws), 50, *by_pml())
+    worst = gold.worst_pml(ws, 50)
     names = ws.table("dim_geography").groupBy("state_code").agg(
         F.max("state_name").alias("state_name"), F.max("region").alias("region")
     )
@@ -126,8 +123,9 @@ def worst_segments(ws: Workspace) -> DataFrame:
 
 @query("sql_07_claim_360")
 def recent_claims(ws: Workspace) -> DataFrame:
-    recent = ws.table("claim_360").filter(since_months("report_date", ws.as_of, 12))
-    return top(recent, 100, high("loss_date"), low("claim_id")).select(
+    recent = ws.table("fact_claim").filter(since_months("report_date", ws.as_of, 12))
+    latest = gold.claims_360(ws, top(recent, 100, high("loss_date"), low("claim_id")))  # the claims are cut before the lookups
+    return top(latest, 100, high("loss_date"), low("claim_id")).select(
         "claim_id", "line_of_business", "product", "peril", "claim_status", "loss_date", "report_date",
         "report_lag_days", rounded("incurred_amount_usd", 0).alias("incurred_usd"),
         rounded("paid_amount_usd", 0).alias("paid_usd"), rounded("reserve_amount_usd", 0).alias("reserve_usd"),
@@ -150,8 +148,8 @@ def recoveries(ws: Workspace) -> DataFrame:
     )
     eur = ws.table("pc_reinsurance_treaties").groupBy(*key).agg(
         F.lit("EUR_pc").alias("source"),
-        rounded(total("limit_eur_m"), 1).alias("total_limit_musd"),
-        rounded(total("ceded_premium_eur_m"), 1).alias("ceded_premium_musd"),
+        rounded(total("limit_eur_m", FINE), 1).alias("total_limit_musd"),
+        rounded(total("ceded_premium_eur_m", FINE), 1).alias("ceded_premium_musd"),
         rounded(mean("cession_pct", RATE), 1).alias("avg_cession_pct"),
         F.count(F.lit(1)).alias("treaty_count"),
     )

@@ -143,7 +143,8 @@ def silver(ws: Workspace, name: str, observation: Observation | str | None = Non
 
 
 for _name in TABLES:
-    table(_name, "silver")(lambda ws, n=_name: silver(ws, n))
+    _counted = (lambda ws, seen, n=_name: silver(ws, n, seen)) if TABLES[_name].rules else None
+    table(_name, "silver", counted=_counted)(lambda ws, n=_name: silver(ws, n))
 
 
 def dq_report(ws: Workspace) -> DataFrame:

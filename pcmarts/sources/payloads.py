@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from pcmarts.functions import classify
 
-# How many items of one answer are taken, and the length of a stored description.
-CATASTROPHE_ITEMS, NEWS_ITEMS, ALERT_FEATURES, DESCRIPTION_CHARS = 200, 100, 300, 500
-
 # The places weather is asked for (city, latitude, longitude, CRESTA zone).
 LOCATIONS = (
     ("Miami, FL", 25.7617, -80.1918, "USA-FL-1"),
@@ -68,12 +65,10 @@ def _unfolded(df: DataFrame, items: Column, name: str) -> DataFrame:
     return df.select("fetched_at_utc", F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
 
 
-def _features(raw: DataFrame, feed: str, most: int | None) -> DataFrame:
-    features = F.col("doc.features")
-    if most is not None:
-        features = F.slice(features, 1, most)
+def _features(raw: DataFrame, feed: str) -> DataFrame:
+    """All features of the well-formed answers; a malformed answer is quarantined as a whole and yields none."""
     docs = _answers(raw, feed).select("fetched_at_utc", _document(feed).alias("doc"))
-    return _unfolded(docs, features, "f")  # a malformed answer has no features
+    return _unfolded(docs, F.when(F.col(f"doc.{_BROKEN}").isNull(), F.col("doc.features")), "f")
 
 
 def digest(*parts: Column) -> Column:
@@ -107,7 +102,7 @@ def earthquakes(raw: DataFrame) -> DataFrame:
     """GeoJSON features; coordinates are longitude, latitude, depth; a missing time is the epoch."""
     p, at = F.col("f.properties"), F.col("f.geometry.coordinates")
     when = F.timestamp_millis(F.coalesce(p["time"], F.lit(0)))
-    return _features(raw, "earthquakes", None).select(
+    return _features(raw, "earthquakes").select(
         F.col("f.id").alias("event_id"), F.lit("Earthquake").alias("event_type"), p["mag"].alias("magnitude"),
         p["place"].alias("place"), F.get(at, 0).alias("longitude"), F.get(at, 1).alias("latitude"),
         F.get(at, 2).alias("depth_km"), F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time_utc"),
@@ -118,7 +113,7 @@ def earthquakes(raw: DataFrame) -> DataFrame:
 
 def alerts(raw: DataFrame) -> DataFrame:
     p = F.col("f.properties")
-    return _features(raw, "noaa_alerts", ALERT_FEATURES).select(
+    return _features(raw, "noaa_alerts").select(
         F.col("f.id").alias("alert_id"), p["event"].alias("event_type"), p["severity"].alias("severity"),
         p["certainty"].alias("certainty"), p["urgency"].alias("urgency"), p["areaDesc"].alias("area_desc"),
         p["headline"].alias("headline"), p["sent"].alias("sent_utc"), p["effective"].alias("effective_utc"),
@@ -132,9 +127,15 @@ def tag(text: Column | str, name: str) -> Column:
     return F.regexp_replace(inner, r"^\s+|\s+$", "")
 
 
-def _items(raw: DataFrame, feed: str, most: int) -> DataFrame:
+def _items(raw: DataFrame, feed: str) -> DataFrame:
     found = F.regexp_extract_all("payload", F.lit("(?s)<item>(.*?)</item>"), F.lit(1))
-    return _unfolded(_answers(raw, feed), F.slice(found, 1, most), "item")
+    return _unfolded(_answers(raw, feed), found, "item")
+
+
+def _natural() -> Column:
+    """What tells an item apart: its link, else its title and date; without all three, all of its text."""
+    named = F.concat("title", "pubDate")
+    return F.when(F.col("link") != "", F.col("link")).when(named != "", named).otherwise(F.col("item"))
 
 
 def _number(text: Column) -> Column:
@@ -143,12 +144,11 @@ def _number(text: Column) -> Column:
 
 def catastrophes(raw: DataFrame) -> DataFrame:
     fields = {n: tag("item", n) for n in ("title", "description", "pubDate", "link")}
-    items = _items(raw, "catastrophes", CATASTROPHE_ITEMS).withColumns(
+    items = _items(raw, "catastrophes").withColumns(
         fields | {"lat": tag("item", "geo:lat"), "lon": tag("item", "geo:long")}
     )
-    natural = F.when(F.col("link") != "", F.col("link")).otherwise(F.concat("title", "pubDate"))
     return items.select(
-        digest(natural).alias("event_id"), "title", F.substring("description", 1, DESCRIPTION_CHARS).alias("description"),
+        digest(_natural()).alias("event_id"), "title", "description",
         classify.catastrophe_type("title").alias("event_type"), classify.alert_colour("title").alias("severity"),
         _number(F.col("lat")).alias("latitude"), _number(F.col("lon")).alias("longitude"),
         F.col("pubDate").alias("event_time_utc"), "link", "fetched_at_utc", F.lit("gdacs").alias("source"),
@@ -156,12 +156,11 @@ def catastrophes(raw: DataFrame) -> DataFrame:
 
 
 def news(raw: DataFrame) -> DataFrame:
-    items = _items(raw, "news", NEWS_ITEMS).withColumns(
+    items = _items(raw, "news").withColumns(
         {n: tag("item", n) for n in ("title", "description", "pubDate", "link")}
     )
-    natural = F.when(F.col("link") != "", F.col("link")).otherwise(F.concat("title", "pubDate"))
     return items.select(
-        digest(natural).alias("news_id"), "title", F.substring("description", 1, DESCRIPTION_CHARS).alias("summary"),
+        digest(_natural()).alias("news_id"), "title", F.col("description").alias("summary"),
         F.col("pubDate").alias("published_utc"), "link", classify.news_category("title").alias("category"),
         "fetched_at_utc", F.lit("reliefweb").alias("source"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -68,22 +69,37 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-PIECE_BYTES = 256 << 10
+def _versions(spark: SparkSession, folder: str) -> list:
+    """Complete versions of a published table, oldest first."""
+    home = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(home):
+        return []
+    found = [s.getPath() for s in files.listStatus(home) if s.getPath().getName().startswith("version=")]
+    mark = lambda p: files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))  # noqa: E731  written last
+    return sorted((p for p in found if mark(p)), key=lambda p: p.getName())
 
 
-def balanced(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Spread a scan over the cores if its file comes in too few pieces.
+def current(spark: SparkSession, folder: str) -> str:
+    """The newest complete version of a published table."""
+    versions = _versions(spark, folder)
+    if not versions:
+        raise FileNotFoundError(f"no complete version of a table in {folder}")
+    return versions[-1].toString()
 
-    A file of one row group is read by one task however large it is. Tables of many files, the
-    normal case on a cluster, are returned as they are: the scan is already wide enough.
+
+def publish(df: DataFrame, folder: str, partition_by: tuple[str, ...] = (), keep: int = 2) -> str:
+    """Write a new version of a table and return its path; all but the newest `keep` versions are removed.
+
+    Readers see the version before until the new one is complete, also if the write fails.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
-    wanted = min(spark.sparkContext.defaultParallelism, size // PIECE_BYTES)
-    if wanted < 2:
-        return df
-    pieces = df._jdf.queryExecution().toRdd().getNumPartitions()  # plans the bare scan; nothing is read
-    return df.repartition(wanted) if wanted > pieces else df
+    spark = df.sparkSession
+    path = f"{folder}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    writer = df.write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    for old in _versions(spark, folder)[:-keep]:
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return path
 
 
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:

@@ -8,17 +8,22 @@ after which every reader takes the written table instead of recomputing it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+
+from pcmarts.sources.tables import current, publish
 
 CATALOG: dict[str, "TableDef"] = {}
 
 # the silver tables an hourly feed run renews
 EVENT_TABLES = ("weather_observations", "catastrophe_events", "earthquake_events", "noaa_alerts", "news_events")
 
+RULE_COUNTS = "run string, table_name string, rule string, passed bigint, failed bigint"
+
 # the large tables that meet on the policy key
 POLICY_KEYED = ("dim_policy", "fact_premium", "fact_claim", "fact_exposure")
 
@@ -29,35 +34,32 @@ class TableDef:
     layer: str
     needs: tuple[str, ...]
     build: Callable[["Workspace"], DataFrame]
+    counted: Callable[["Workspace", Observation], DataFrame] | None = None
+
 
+def table(name: str, layer: str, needs: Iterable[str] = (), counted=None):
+    """Register a builder ``(workspace) -> DataFrame`` and the tables it reads.
 
-def table(name: str, layer: str, needs: Iterable[str] = ()):
-    """Register a builder ``(workspace) -> DataFrame`` and the tables it reads."""
+    ``counted`` builds the same table and counts rule violations on the given observation.
+    """
 
     def register(build):
-        CATALOG[name] = TableDef(name, layer, tuple(needs), build)
+        CATALOG[name] = TableDef(name, layer, tuple(needs), build, counted)
         return build
 
     return register
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Session settings the marts rely on; all can be changed at run time.
+    """The session settings results and hot keys depend on: UTC, adaptive execution, its skew handling.
 
-    UTC keeps dates equal on every executor. Adaptive execution sizes the shuffles, turns joins
-    with a measured small side into broadcasts and splits the partition of a hot key. Parquet
-    files are a fraction of the rows they hold in memory; the compression factor makes the planner
-    compare the broadcast threshold with the latter. Shuffle sizes, too, are measured compressed,
-    hence the lower threshold for broadcasts decided at run time.
+    Sizes (broadcast limits, partitions) are the deployment's and stay as they are.
     """
     for key, value in {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.sources.fileCompressionFactor": "4.0",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "2m",
     }.items():
         spark.conf.set(key, value)
     return spark
@@ -70,7 +72,6 @@ class Workspace:
     as_of: date = field(default_factory=date.today)
     root: str | None = None
     _memo: dict[str, DataFrame] = field(default_factory=dict)
-    _facts: dict[str, object] = field(default_factory=dict)
 
     def __post_init__(self):
         import pcmarts.plans  # noqa: F401  (fills the catalog)
@@ -88,12 +89,6 @@ class Workspace:
             self._memo[name] = CATALOG[name].build(self)
         return self._memo[name]
 
-    def fact(self, key: str, compute: Callable[[], object]) -> object:
-        """A small measured number (a row count of a dimension), taken once per workspace."""
-        if key not in self._facts:
-            self._facts[key] = compute()
-        return self._facts[key]
-
     def path(self, name: str) -> str:
         if not self.root:
             raise ValueError("this workspace has no root folder to write to")
@@ -104,6 +99,9 @@ class Workspace:
     ) -> list[str]:
         """Write tables and everything they need, in dependency order; return what was written.
 
+        A table is written as a new version beside the ones before, which stay readable; readers take
+        the newest version that is complete, so a failed write changes nothing. The versions before
+        the last one are removed. Rule violations of this run are appended to ``rule_counts``.
         A refreshed table is read back from its files, so later tables carry no lineage beyond it
         and a lost executor never costs more than one stage of one table. Without ``upstream`` only
         the named tables are written and their other inputs are read as they lie under the root:
@@ -114,18 +112,24 @@ class Workspace:
         if not upstream:
             self.attach([n for n in order if n not in names])
             order = [n for n in order if n in names]
+        self.forget(order)
+        run, counts = uuid.uuid4().hex, []
         for name in order:
+            made, seen = CATALOG[name], Observation(f"rules_{name}")
+            df = self._memo[name] = made.counted(self, seen) if made.counted else self.table(name)
+            self._memo[name] = self.spark.read.parquet(publish(df, self.path(name), (partition_by or {}).get(name, ())))
+            if made.counted:
+                failed = {k.removesuffix("__failed"): n for k, n in seen.get.items() if k.endswith("__failed")}
+                counts += [(run, name, rule, seen.get["rows"] - n, n) for rule, n in failed.items()]
+        if counts:
+            rows = self.spark.createDataFrame(counts, RULE_COUNTS)
+            rows.coalesce(1).write.mode("append").parquet(f"{self.root.rstrip('/')}/rule_counts")
+        return order
+
+    def forget(self, names: Iterable[str]) -> None:
+        """Drop the plans of the named tables and of all that read them: they are built anew when asked for."""
+        for name in downstream(names):
             self._memo.pop(name, None)
-        written = []
-        for name in order:
-            writer = self.table(name).write.mode("overwrite")
-            columns = (partition_by or {}).get(name)
-            if columns:
-                writer = writer.partitionBy(*columns)
-            writer.parquet(self.path(name))
-            self._memo[name] = self.spark.read.parquet(self.path(name))
-            written.append(name)
-        return written
 
     def refresh_bucketed(self, buckets: int, names: Iterable[str] = POLICY_KEYED, key: str = "policy_id") -> list[str]:
         """Write tables as catalog tables hashed and sorted by one key.
@@ -133,18 +137,21 @@ class Workspace:
         Joins and groupings on the key then read matching buckets side by side: the shuffle is paid
         once at write time instead of in every mart.
         """
+        names = list(names)
+        frames = {name: self.table(name) for name in names}
+        self.forget(names)
         for name in names:
             (
-                self.table(name).repartition(buckets, key).write.mode("overwrite").format("parquet")
-                .bucketBy(buckets, key).sortBy(key).option("path", self.path(name)).saveAsTable(f"pcmarts_{name}")
+                frames[name].repartition(buckets, key).write.mode("overwrite").format("parquet")
+                .bucketBy(buckets, key).sortBy(key).option("path", f"{self.path(name)}_bucketed").saveAsTable(f"pcmarts_{name}")
             )
             self._memo[name] = self.spark.table(f"pcmarts_{name}")
-        return list(names)
+        return names
 
     def attach(self, names: Iterable[str]) -> "Workspace":
         """Read the named tables from the root folder instead of computing them."""
         for name in names:
-            self._memo[name] = self.spark.read.parquet(self.path(name))
+            self._memo[name] = self.spark.read.parquet(current(self.spark, self.path(name)))
         return self
 
 

@@ -53,13 +53,25 @@ def test_parsed_columns_are_the_bronze_columns(raw, feed, table):
     assert ", ".join(f"{n} {t}" for n, t in parsed.dtypes) == SCHEMAS[table]
 
 
-def test_alert_features_are_capped_per_answer(raw):
+def test_all_alert_features_of_an_answer_are_taken(raw):
     body = json.dumps({"features": [feature(i, event="Flood", areaDesc="Dade, FL", sent="2024-01-01T00:00:00-05:00") for i in range(301)]})
     got = payloads.alerts(raw("noaa_alerts", body))
-    assert got.count() == 300
+    assert got.count() == 301
     assert got.first().area_desc == "Dade, FL"
 
 
+def test_a_malformed_answer_is_quarantined_and_yields_nothing(raw):
+    body = json.dumps({"features": [feature(1, mag=5.0), feature(2, mag="strong")]})
+    assert payloads.earthquakes(raw("earthquakes", body)).count() == 0
+    assert payloads.quarantine(raw("earthquakes", body)).first().reason == "malformed json"
+
+
+def test_items_without_link_title_and_date_keep_apart(raw):
+    body = "<rss><item><description>a</description></item><item><description>b</description></item></rss>"
+    assert payloads.news(raw("news", body)).select("news_id").distinct().count() == 2
+    assert payloads.catastrophes(raw("catastrophes", body)).select("event_id").distinct().count() == 2
+
+
 def rss(n, extra=""):
     return "<rss>" + "".join(
         f"<item>\n<title> EQ {i} \n</title><description>{'d' * 600}\nx</description><pubDate>Tue, 02 Jan 2024 03:04:05 GMT</pubDate>{extra}"
@@ -67,21 +79,21 @@ def rss(n, extra=""):
     ) + "</rss>"
 
 
-@pytest.mark.parametrize("n,expected", [(0, 0), (1, 1), (201, 200)])
+@pytest.mark.parametrize("n,expected", [(0, 0), (1, 1), (250, 250)])
 def test_catastrophe_items(raw, n, expected):
     assert payloads.catastrophes(raw("catastrophes", rss(n))).count() == expected
 
 
 def test_catastrophe_fields(raw):
     row = payloads.catastrophes(raw("catastrophes", rss(1, "<geo:lat> 1.5 </geo:lat><geo:long>x</geo:long>"))).first()
-    assert (row.title, row.event_type, len(row.description), row.latitude, row.longitude) == ("EQ 0", "Earthquake", 500, 1.5, None)
+    assert (row.title, row.event_type, len(row.description), row.latitude, row.longitude) == ("EQ 0", "Earthquake", 602, 1.5, None)
     again = payloads.catastrophes(raw("catastrophes", rss(1))).first()
     assert again.event_id == row.event_id  # a re-fetched item keeps its key
     assert again.latitude is None
 
 
 def test_news_items(raw):
-    assert payloads.news(raw("news", rss(101))).count() == 100
+    assert payloads.news(raw("news", rss(250))).count() == 250
     row = payloads.news(raw("news", "<item><title><![CDATA[War]]></title></item>")).first()
     assert (row.title, row.category, row.summary, row.link) == ("<![CDATA[War]]>", "Conflict", "", "")
 

@@ -1,12 +1,15 @@
 """Silver and gold on literal rows: the cases the generated tables cannot show."""
 
+import os
+import random
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from pcmarts.plans import extras, questions, reports, rules  # noqa: F401
-from pcmarts.workspace import CATALOG, build_order, downstream
+from pcmarts.plans import extras, gold, library, questions, reports, rules  # noqa: F401
+from pcmarts.sources.tables import current, publish
+from pcmarts.workspace import CATALOG, Workspace, build_order, downstream
 
 GEO = [
     {"geo_id": "g1", "state_code": "TX", "state_name": "Texas", "region": "South", "cresta_zone": "Z1", "latitude": 30.0},
@@ -174,16 +177,40 @@ def test_alerts_and_catastrophes_against_states(frames, rows):
     ]
 
 
-def test_long_state_lists_take_the_keyed_way(frames, rows):
-    tables = dict(
-        geography=GEO, policies=[policy("p1"), policy("p2", geo_id="g1")],
-        noaa_alerts=[{"alert_id": "1", "area_desc": "TX and Florida"}],
-        catastrophe_events=[{"event_id": "e1", "event_type": "Flood"}],
+def test_worst_pml_is_the_head_of_the_whole_product(frames, monkeypatch):
+    geo = [{"geo_id": f"g{k}", "state_code": f"S{k}", "state_name": f"State {k}"} for k in range(9)]
+    ws = frames(
+        geography=geo, policies=[policy(f"p{k}", geo_id=f"g{k % 9}", sum_insured_usd=float(100 + k % 4)) for k in range(30)],
+        catastrophe_events=[{"event_id": f"e{k}", "event_type": t} for k, t in enumerate(["Flood", "Earthquake", "Odd", "Wildfire", "Other"] * 4)],
     )
-    short, long = frames(**tables), frames(**tables)
-    long._facts["short_states"] = False
-    for mart in ("event_risk_correlation", "cat_event_pml"):
-        assert rows(short.table(mart)) == rows(long.table(mart))
+    every = sorted(((-r.pml_estimate_usd, r.event_id, r.state_code) for r in ws.table("cat_event_pml").collect() if r.pml_estimate_usd is not None))
+    products = []
+    real = gold.with_every
+    monkeypatch.setattr(gold, "with_every", lambda left, right: products.append(real(left, right)) or products[-1])
+    for n in (1, 3, 7, 15):
+        assert [(-r.pml_estimate_usd, r.event_id, r.state_code) for r in gold.worst_pml(ws, n).collect()] == every[:n]
+        assert products[-1].count() <= 7 * n * n
+
+
+@pytest.mark.parametrize("width", [1, 13])
+def test_p95_is_exact_for_any_shuffle_width(spark, frames, width):
+    rng = random.Random(width)
+    amounts = [round(rng.choice((rng.random() * 100, rng.random() * 1e9, -5.0)), 2) for _ in range(777)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    try:
+        ws = frames(claims=[claim(str(k), "p", a) for k, a in enumerate(amounts)] + [claim("x", "p", None)])
+        assert one(ws.table("peril_loss_summary"), peril="Wind")["p95_severity_usd"] == sorted(amounts)[-(-777 * 95 // 100) - 1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_millions_are_not_rounded(spark, frames):
+    usd = frames()
+    eur = spark.createDataFrame([("XL", "R", "L", 0.004, 0.1234567, 1.0)] * 1000, "treaty_type string, reinsurer string, line_of_business string, limit_eur_m double, ceded_premium_eur_m double, cession_pct double")
+    ws = Workspace(spark, lambda name: eur if name == "pc_reinsurance_treaties" else usd.bronze(name), as_of=date(2024, 6, 15))
+    got = [r for r in library.QUERIES["sql_08_reinsurance_recoveries"](ws).collect() if r.source == "EUR_pc"]
+    assert [(r.total_limit_musd, r.ceded_premium_musd) for r in got] == [(4.0, 123.5)]
 
 
 def test_exposure_totals_equal_the_book(frames):
@@ -258,6 +285,30 @@ def test_refresh_writes_and_reads_back(frames, rows, tmp_path):
     assert rows(again.attach(["book_health"]).table("book_health")) == before
 
 
+def test_a_table_can_be_refreshed_again(frames, rows, tmp_path):
+    ws = frames(claims=[claim("1", "p", 5.0)], policies=[policy("p"), policy(None)])
+    ws.root = str(tmp_path)
+    ws.refresh(["claims_summary", "dim_policy"])
+    first = rows(ws.table("claims_summary"))
+    reader = ws.table("book_health")
+    ws.refresh(["fact_claim", "dim_policy"])
+    assert rows(ws.table("claims_summary")) == first and reader.count() == 1
+    counts = ws.spark.read.parquet(f"{tmp_path}/rule_counts").filter("table_name = 'dim_policy'").collect()
+    assert len({r.run for r in counts}) == 2 and max(r.failed for r in counts) == 1
+
+
+def test_a_failed_write_leaves_the_table_readable(spark, tmp_path):
+    folder = f"{tmp_path}/t"
+    publish(spark.range(3).toDF("n"), folder)
+    with pytest.raises(Exception, match="DIVIDE|divide"):
+        publish(spark.range(3).selectExpr("1 / (id - 1) as n"), folder)
+    assert spark.read.parquet(current(spark, folder)).count() == 3
+    for k in range(4):
+        publish(spark.range(k).toDF("n"), folder)
+    assert spark.read.parquet(current(spark, folder)).count() == 3
+    assert len([d for d in os.listdir(folder) if d.startswith("version=") and os.path.exists(f"{folder}/{d}/_SUCCESS")]) == 2
+
+
 def test_hourly_refresh_touches_only_the_event_marts(frames, rows, tmp_path):
     from pcmarts.workspace import EVENT_TABLES
 

@@ -10,23 +10,23 @@ from pcmarts.operators.quality import DROP, Rule, enforce, report
 from pcmarts.sources.tables import exists
 
 
-@pytest.mark.parametrize("short", [True, False])
-def test_with_every_is_the_product(spark, rows, short):
+@pytest.mark.parametrize("size", [shapes.LIST, 2])
+def test_with_every_is_the_product(spark, rows, monkeypatch, size):
+    monkeypatch.setattr(shapes, "LIST", size)
     left = spark.createDataFrame([(i % 3, f"e{i}") for i in range(7)], "k int, e string")
     right = spark.createDataFrame([(f"s{i}", float(i)) for i in range(5)], "s string, v double")
     expected = sorted([(i % 3, f"e{i}", f"s{j}", float(j)) for i in range(7) for j in range(5)], key=repr)
-    assert rows(shapes.with_every(left, right, short, shares=3)) == expected
+    assert rows(shapes.with_every(left, right)) == expected
 
 
 def test_with_every_of_nothing(spark):
     left = spark.createDataFrame([(1,)], "k int")
     empty = spark.createDataFrame([], "s string")
-    assert shapes.with_every(left, empty, True).count() == 0
-    assert shapes.with_every(left, empty, False).count() == 0
+    assert shapes.with_every(left, empty).count() == 0
+    assert shapes.with_every(empty, left).count() == 0
 
 
-@pytest.mark.parametrize("short", [True, False])
-def test_mentions_equals_brute_force(spark, rows, short):
+def test_mentions_equals_brute_force(spark, rows):
     rng = random.Random(7)
     texts = [" ".join(rng.choice(["NATION_1", "NATION_10", "N01", "N10", "TX", "Texas", "x"]) for _ in range(rng.randint(0, 4))) for _ in range(60)]
     texts += [None, "", "NATION_1", "NATION_1"]  # equal rows stay two rows
@@ -37,15 +37,10 @@ def test_mentions_equals_brute_force(spark, rows, short):
         (i, t, c, n) for i, t in enumerate(texts) if t is not None for c, n in names
         if (n is not None and n in t) or (c is not None and c in t)
     ]
-    got = shapes.mentions(left, "t", right, "name", "code", short).select("i", "t", "code", "name")
+    got = shapes.mentions(left, "t", right, "name", "code").select("i", "t", "code", "name")
     assert rows(got) == sorted(expected, key=repr)
 
 
-def test_is_short(spark):
-    assert shapes.is_short(spark.range(5), 5)
-    assert not shapes.is_short(spark.range(6), 5)
-
-
 def test_stack_fills_missing_columns(spark, rows):
     a = spark.createDataFrame([(1, "x")], "n int, a string")
     b = spark.createDataFrame([(2, 0.5)], "n int, b double")
