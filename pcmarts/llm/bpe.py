@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-LEAF, PIECE, BIG, CACHE, ROWS_OUT = 32, 1 << 14, 1 << 20, 1 << 17, 250
+LEAF, PIECE, BIG, CACHE, ROWS_OUT = 32, 1 << 14, 1 << 20, 1 << 17, 400
 NO_RANK, UNRANKED = (1 << 60, 0), 1 << 60
 
 # White space of the vocabulary's normaliser, as a character class.
@@ -51,6 +51,7 @@ class Bpe:
         model, cut = spec["model"], spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.vocab, self.end = model["vocab"], model["end_of_word_suffix"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.numbers = {i: _u4([i]) for i in self.special.values()}
         self.name = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.rank = {}
         for k, (a, b) in enumerate(model["merges"]):
@@ -130,8 +131,8 @@ class Bpe:
             if part in self.special:
                 out.append(self.special[part])
                 continue
-            part = unicodedata.normalize("NFC", part)
-            out += [w for x in (self.spaces.split(part) if self.rare.search(part) else part.split()) for w in [_lower(x)] if w]
+            part = _lower(unicodedata.normalize("NFC", part))
+            out += [x for x in self.spaces.split(part) if x] if self.rare.search(part) else part.split()
         return out
 
     def merge_all(self, words: list[str]) -> list[bytes]:
@@ -183,7 +184,7 @@ class Bpe:
     def ids_of(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks that the cache does not hold; the first CACHE chunks, among them all frequent ones, are remembered."""
         words = {c: (c,) if c.isalpha() else tuple(self.words.findall(c)) for c in chunks}
-        distinct = sorted({w for ws in words.values() for w in ws}, key=len)
+        distinct = list({w for ws in words.values() for w in ws})
         short = [w for w in distinct if 4 * len(w) <= LEAF or len(w.encode("utf-8", "surrogatepass")) <= LEAF]
         ids = dict(zip(short, self.merge_all(short), strict=True))
         ids |= {w: _u4(self.run(self.symbols(w))) for w in distinct if w not in ids}
@@ -195,10 +196,9 @@ class Bpe:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         chunks = [self.chunks(t or "") for t in texts]
-        cache = self.cache
-        new = self.ids_of({c for x in chunks for c in x if c.__class__ is str and c not in cache})
-        get = cache.get
-        return [b"".join([(get(c) or new.get(c, b"")) if c.__class__ is str else _u4([c]) for c in x]) for x in chunks]
+        known = dict(self.cache) | self.numbers
+        known |= self.ids_of(set().union(*chunks) - known.keys())
+        return [b"".join(map(known.__getitem__, x)) for x in chunks]
 
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.name.__getitem__, np.frombuffer(ids, "<u4").tolist()))
