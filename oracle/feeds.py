@@ -149,7 +149,6 @@ QUERIES: dict[str, str] = {
     ),
     "stm_feed_ingest": "select * from x_newest_alerts",
     "stm_alert_exposure": "select * from g_alerts",
-    "stm_alerts_hourly": """select date_trunc('hour', effective_utc) as hour_start, severity, count(*) as alerts from b_alert
-      where date_trunc('hour', effective_utc) + interval 1 hour <= (select date_trunc('milliseconds', max(effective_utc)) - interval 1 hour from b_alert) group by 1, 2""",
-    "stm_dedupe": "select cast(alert_id as varchar) as alert_id, event_type, severity from b_alert",
+    "stm_alerts_hourly": "select date_trunc('hour', effective_utc) as hour_start, severity, count(*) as alerts from b_alert group by 1, 2",
+    "stm_dedupe": "select cast(alert_id as varchar) as alert_id, event_type, severity, effective_utc as delivered_utc from b_alert",
 }

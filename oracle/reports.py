@@ -12,7 +12,7 @@ def m(expr: str) -> str:
 
 def fine(expr: str) -> str:
     """Exact total of a column in millions."""
-    return f"cast(sum(cast({expr} as decimal(28,10))) as double)"
+    return f"cast(cast(sum(cast({expr} as decimal(28,10))) as varchar) as double)"
 
 
 def half_up(expr: str, digits: int) -> str:
@@ -34,10 +34,10 @@ CTES["x_steps"] = """select l.accident_year, l.line_of_business, l.last_paid,
     list_prepend(l.last_paid, coalesce(list(f.factor order by f.development_period) filter (where f.factor is not null), [])) as steps
   from x_latest l left join x_factor f on f.line_of_business = l.line_of_business and f.development_period >= l.last_dev
   group by l.accident_year, l.line_of_business, l.last_paid"""
-CTES["g_triangle"] = """select t.accident_year, t.development_period, t.line_of_business, cast(incremental_paid_eur_m as double) as incremental_paid_eur_m,
+CTES["g_triangle"] = f"""select t.accident_year, t.development_period, t.line_of_business, cast(incremental_paid_eur_m as double) as incremental_paid_eur_m,
     cast(paid as double) as cumulative_paid_eur_m, cast(case_reserves_eur_m as double) as case_reserves_eur_m, u.ult as ultimate_loss_eur_m,
-    round(u.ult - cast(paid as double) - cast(case_reserves_eur_m as double), 6) as ibnr_eur_m
-  from x_tri t join (select accident_year, line_of_business, round(list_reduce(steps, lambda a, f: a * f), 6) as ult from x_steps) u
+    {half_up('(u.ult - cast(paid as double) - cast(case_reserves_eur_m as double))', 6)} as ibnr_eur_m
+  from x_tri t join (select accident_year, line_of_business, {half_up('list_reduce(steps, lambda a, f: a * f)', 6)} as ult from x_steps) u
     on t.accident_year = u.accident_year and t.line_of_business = u.line_of_business"""
 CTES["x_newest"] = """select accident_year, line_of_business, arg_max(ibnr_eur_m, development_period) as ibnr, arg_max(ultimate_loss_eur_m, development_period) as ult from g_triangle group by 1, 2"""
 
@@ -167,8 +167,11 @@ QUERIES: dict[str, str] = {
       from g_triangle group by 1, 2""",
     "snp_non_ig_share": f"""select round({m("case when rating in ('BB','B','CCC','NotRated') then market_value_usd else 0 end")} * 100 / {m('market_value_usd')}, 2) as pct_non_ig from g_assets""",
     "faq_latest_quarter": "select sub_line, combined_ratio_pct from b_pc_combined where reporting_quarter = (select max(reporting_quarter) from b_pc_combined)",
-    "faq_ytd_vs_pytd": f"""select case when month >= date '2001-01-01' then 'YTD' else 'PYTD' end as period, line_of_business, {m('gross_written_premium_usd')} as gwp_usd, {m('incurred_loss_usd')} as incurred_usd,
-        cast(sum(claim_count) as bigint) as claims from g_kpis where month between date '2001-01-01' and {AS_OF} or month between date '2000-01-01' and date '2000-11-04' group by 1, 2""",
+    "faq_ytd_vs_pytd": f"""select case when d >= date '2001-01-01' then 'YTD' else 'PYTD' end as period, line_of_business, coalesce(cast(sum(p) as double), 0.0::double) as gwp_usd,
+        coalesce(cast(sum(i) as double), 0.0::double) as incurred_usd, count(c) as claims
+      from (select billing_month as d, line_of_business, gross_premium_usd as p, null as i, null as c from s_prem
+        union all select loss_date, line_of_business, null, incurred_amount_usd, 1 from s_clm) t
+      where d between date '2001-01-01' and {AS_OF} or d between date '2000-01-01' and date '2000-11-04' group by 1, 2""",
     # questions
     "cq_01": f"""select line_of_business, round((inc + com) / gwp * 100, 1) as combined_ratio_pct, 101.0::double as benchmark_pct, round(round((inc + com) / gwp * 100, 1) - 101.0::double, 1) as delta_pts
       from (select line_of_business, {m('gross_written_premium_usd')} as gwp, {m('incurred_loss_usd')} as inc, {m('commission_usd')} as com from g_kpis where month between date '2001-10-01' and date '2001-12-31' group by 1) t""",

@@ -24,8 +24,8 @@ CTES["x_cycle"] = """select line_of_business, cast(date_trunc('quarter', loss_da
 
 PERIODS = {
     "current_year": "month between date '2001-01-01' and date '2001-12-31'",
-    "ytd": f"month between date '2001-01-01' and {AS_OF}",
-    "pytd": "month between date '2000-01-01' and date '2000-11-04'",
+    "ytd": "month between date '2001-01-01' and date '2001-10-31'",
+    "pytd": "month between date '2000-01-01' and date '2000-10-31'",
     "this_quarter": "month between date '2001-10-01' and date '2001-12-31'",
     "last_quarter": "month between date '2001-08-01' and date '2001-10-31'",
     "last_12_months": "month >= date '2000-11-04'",

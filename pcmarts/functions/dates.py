@@ -49,9 +49,12 @@ def since_months(c: Column | str, as_of: date, months: int) -> Column:
     return c >= F.add_months(day(as_of), -months)
 
 
-def period_filter(c: Column | str, period: str, as_of: date) -> Column:
+def period_filter(c: Column | str, period: str, as_of: date, months: bool = False) -> Column:
     """Rows of a reporting period, relative to an explicit date.
 
+    A column of months cannot be cut within a month: with ``months`` the two periods that are
+    compared with each other, ytd and pytd, are the complete months before the one of the date.
+
     current_year    calendar year of the date (the default window)
     ytd / pytd      year start up to the date, this year / the same days last year
     this_quarter    calendar quarter of the date
@@ -60,7 +63,10 @@ def period_filter(c: Column | str, period: str, as_of: date) -> Column:
     """
     c = F.col(c) if isinstance(c, str) else c
     at = day(as_of)
-    year_start = F.trunc(at, "year")
+    if months and period in ("ytd", "pytd"):
+        this_month, back = F.trunc(at, "month"), 0 if period == "ytd" else -12
+        return (c >= F.add_months(F.trunc(at, "year"), back)) & (c < F.add_months(this_month, back))
+    year_start = F.trunc(day(as_of), "year")
     if period == "current_year":
         return (c >= year_start) & (c < F.add_months(year_start, 12))
     if period == "ytd":

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pcmarts.sources.tables import create_empty_like, exists
+from pcmarts.sources.tables import create_empty_like, exists, remove, scratch
 
 
 @dataclass(frozen=True)
@@ -41,27 +41,30 @@ def unseen(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return batch.join(known, key, "left_anti")
 
 
-def merge_new(spark: SparkSession, incoming: DataFrame, target: str, key: str, reject_to: str | None = None) -> IngestCounts:
+def merge_new(spark: SparkSession, incoming: DataFrame, target: str, key: str, reject_to: str) -> IngestCounts:
     """Append the rows with unseen keys; existing rows are never changed. Safe to repeat.
 
-    Rows without a key cannot be recognised on a second run: they go to ``reject_to`` (or nowhere)
-    instead of being appended again and again.
+    The batch is read once: counted and reduced to a row per key on the way to a staging table, which
+    the key lookups then read. Rows without a key cannot be recognised on a second run: they go to
+    ``reject_to`` instead of being appended again and again (a second pass, only if there are any).
     """
     if not exists(spark, target):
         create_empty_like(incoming, target)
     held = spark.read.parquet(target)
-    sizes = incoming.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("keyed")).first()
-    if sizes.n == 0:
-        return IngestCounts(0, 0, 0, held.count())
     before = held.count()  # from the file footers
-    batch = latest_per_key(incoming.filter(F.col(key).isNotNull()), key)
-    written = Observation("merge_new")
-    fresh = unseen(batch, held, key).select(*held.columns).observe(written, F.count(F.lit(1)).alias("n"))
-    fresh.write.mode("append").parquet(target)
-    if reject_to is not None and sizes.n > sizes.keyed:
+    seen, written, staging = Observation("merge_seen"), Observation("merge_new"), f"{scratch(spark, 'merge')}/batch"
+    counted = incoming.observe(seen, F.count(F.lit(1)).alias("n"), F.count(key).alias("keyed"))
+    latest_per_key(counted.filter(F.col(key).isNotNull()), key).write.parquet(staging)
+    n, keyed = int(seen.get["n"]), int(seen.get["keyed"])
+    appended = 0
+    if keyed:
+        fresh = unseen(spark.read.parquet(staging), held, key).select(*held.columns)
+        fresh.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(target)
+        appended = int(written.get["n"])
+    if n > keyed:
         incoming.filter(F.col(key).isNull()).write.mode("append").parquet(reject_to)
-    appended = int(written.get["n"])
-    return IngestCounts(sizes.n, sizes.n - sizes.keyed, appended, before + appended)
+    remove(spark, staging)
+    return IngestCounts(n, n - keyed, appended, before + appended)
 
 
 def freshness(parts: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -247,17 +247,20 @@ def latest_quarter(ws: Workspace) -> DataFrame:
 
 @query("faq_ytd_vs_pytd")
 def ytd_vs_pytd(ws: Workspace) -> DataFrame:
-    """The running year and the same days of the year before, by line of business."""
+    """The running year and the same days of the year before, by line of business: facts by day, in one pass each."""
 
-    def window(name: str) -> DataFrame:
-        rows = ws.table("underwriting_kpis").filter(period_filter("month", name, ws.as_of))
-        return rows.select(F.lit(name.upper()).alias("period"), "line_of_business", "gross_written_premium_usd",
-                           "incurred_loss_usd", "claim_count")
+    def dated(name: str, day: str, amount: str, result: str) -> DataFrame:
+        period = F.when(period_filter(day, "ytd", ws.as_of), "YTD").when(period_filter(day, "pytd", ws.as_of), "PYTD")
+        rows = ws.table(name).select(period.alias("period"), "line_of_business", F.col(amount).alias(result))
+        return rows.filter(F.col("period").isNotNull())
 
+    premium = dated("fact_premium", "billing_month", "gross_premium_usd", "premium")
+    claims = dated("fact_claim", "loss_date", "incurred_amount_usd", "incurred").withColumn("claimed", F.lit(1))
+    zero = F.lit(0).cast("double")
     return (
-        stack(window("ytd"), window("pytd")).groupBy("period", "line_of_business")
+        stack(premium, claims).groupBy("period", "line_of_business")
         .agg(
-            retotal("gross_written_premium_usd").alias("gwp_usd"), retotal("incurred_loss_usd").alias("incurred_usd"),
-            F.sum("claim_count").alias("claims"),
+            F.coalesce(total("premium"), zero).alias("gwp_usd"), F.coalesce(total("incurred"), zero).alias("incurred_usd"),
+            F.count("claimed").alias("claims"),
         )
     )

@@ -131,7 +131,7 @@ def merged_alerts(ws: Workspace) -> DataFrame:
     _, key = FEEDS["noaa_alerts"]
     runs = _two_runs(ws, root)
     for batch in (*runs, runs[0]):
-        merge_new(ws.spark, batch, f"{root}/bronze/noaa_alerts", key)
+        merge_new(ws.spark, batch, f"{root}/bronze/noaa_alerts", key, f"{root}/rejected/noaa_alerts")
     return ws.spark.read.parquet(f"{root}/bronze/noaa_alerts")
 
 
@@ -144,7 +144,7 @@ def merge_counts(ws: Workspace) -> DataFrame:
         incoming = ws.bronze("deliveries" if feed == "noaa_alerts" else table)
         number = F.coalesce(F.col(key).cast("bigint"), F.lit(0))
         for run, batch in enumerate((incoming.filter(number % 4 != 0), incoming), start=1):
-            c = merge_new(ws.spark, batch, f"{root}/bronze/{table}", key)
+            c = merge_new(ws.spark, batch, f"{root}/bronze/{table}", key, f"{root}/rejected/{table}")
             rows.append((feed, run, c.scanned, c.rejected, c.appended, c.total))
     per_feed = ws.spark.createDataFrame(
         rows, "feed string, run int, scanned bigint, rejected bigint, appended bigint, total bigint"
@@ -308,7 +308,9 @@ def streamed_exposure(ws: Workspace) -> DataFrame:
 
 @query("stm_alerts_hourly")
 def streamed_hours(ws: Workspace) -> DataFrame:
-    return _drained(ws, "hourly", streams.hourly_alerts(streaming(ws).table("noaa_alerts")))
+    root = scratch(ws.spark, "hourly")
+    hours = streams.hourly_alerts(streaming(ws).table("noaa_alerts"))
+    return streams.drain_by_key(hours, ("hour_start", "severity"), f"{root}/out", f"{root}/checkpoint")
 
 
 @query("stm_dedupe")
@@ -319,4 +321,4 @@ def streamed_first_deliveries(ws: Workspace) -> DataFrame:
         "delivered_utc", F.col("effective_utc") + F.col("delivery") * F.expr("interval 20 minutes")
     )
     kept = streams.first_delivery(again, "alert_id", "delivered_utc")
-    return _drained(ws, "dedupe", kept.select("alert_id", "event_type", "severity"))
+    return _drained(ws, "dedupe", kept.select("alert_id", "event_type", "severity", "delivered_utc"))

@@ -148,7 +148,7 @@ def premium_by_period(ws: Workspace) -> DataFrame:
     month = F.col("month")
     aggregates = []
     for p in PERIODS:
-        inside = period_filter(month, p, ws.as_of)
+        inside = period_filter(month, p, ws.as_of, months=True)
         aggregates += [
             F.count(F.when(inside, 1)).alias(f"{p}_rows"), F.min(F.when(inside, month)).alias(f"{p}_from"),
             F.max(F.when(inside, month)).alias(f"{p}_to"),

@@ -151,11 +151,17 @@ select s_suppkey as treaty_id, case s_suppkey%4 when 0 then 'QuotaShare' when 1
   cast(date_add(date '2001-01-01', cast(s_suppkey%200 as int)) as string) as inception_date, cast(date_add(date '2002-01-01', cast(s_suppkey%200 as int)) as string) as expiry_date
 from {supplier}""",
     "b_pc_solvency": """
-select date_add(date '2000-03-31', cast(q*91 as int)) as reporting_date, cast(1000+q*10 as double) as scr_market_risk, cast(800+q*7 as double) as scr_underwriting_non_life,
-  cast(300+q*3 as double) as scr_underwriting_life, cast(150+q as double) as scr_underwriting_health, cast(250+q*2 as double) as scr_credit_risk, cast(120+q as double) as scr_operational_risk,
-  cast(-600-q*5 as double) as diversification_benefit, cast(2020+q*19 as double) as total_scr_eur_m, cast(1500+q*q*60 as double) as own_funds_eur_m, cast(900+q*8 as double) as mcr_eur_m,
-  cast(1500+q*q*60 as double)/cast(2020+q*19 as double)*100 as solvency_ratio_pct
-from (select n_nationkey as q from {nation} where n_nationkey<12) t""",
+select reporting_date, market as scr_market_risk, nonlife as scr_underwriting_non_life, life as scr_underwriting_life, health as scr_underwriting_health, credit as scr_credit_risk,
+  operational as scr_operational_risk, 0e0-modules*0.25e0 as diversification_benefit, modules*0.75e0 as total_scr_eur_m, own as own_funds_eur_m, modules*0.3375e0 as mcr_eur_m,
+  case when modules>0 then own/(modules*0.75e0)*100 end as solvency_ratio_pct
+from (select *, market+nonlife+life+health+credit+operational as modules
+  from (select last_day(make_date(cast(y as int), cast(q*3 as int), 1)) as reporting_date, premium*0.0625e0 as market, premium*0.125e0+loss*0.25e0 as nonlife, loss*0.0625e0 as life,
+      tax*0.5e0 as health, discount*0.25e0 as credit, premium*0.03125e0 as operational, (premium-loss-loss)*0.75e0 as own
+    from (select year(l_shipdate) as y, quarter(l_shipdate) as q, cast(sum(cast(l_extendedprice as decimal(18,2))) as double)/1000000e0 as premium,
+        cast(sum(case when l_returnflag='R' then cast(l_extendedprice as decimal(18,2)) else 0 end) as double)/1000000e0 as loss,
+        cast(sum(cast(l_extendedprice as decimal(18,2))*cast(l_tax as decimal(4,2))) as double)/1000000e0 as tax,
+        cast(sum(cast(l_extendedprice as decimal(18,2))*cast(l_discount as decimal(4,2))) as double)/1000000e0 as discount
+      from {lineitem} where l_shipdate is not null group by 1, 2) sums) charges) t""",
     "b_pc_pol": """
 select o_orderkey as policy_id, line_of_business, product as sub_line, cast(o_totalprice as decimal(18,2)) as gwp_eur, cast(o_orderkey%100 as int) as risk_score,
   cast(cast(o_orderdate as date) as string) as inception_date, cast(date_add(cast(o_orderdate as date), 365) as string) as expiry_date

@@ -69,6 +69,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making, with all that is in it."""
+    home = spark._jvm.org.apache.hadoop.fs.Path(path)
+    home.getFileSystem(spark._jsc.hadoopConfiguration()).delete(home, True)
+
+
 def _versions(spark: SparkSession, folder: str) -> list:
     """Complete versions of a published table, oldest first."""
     home = spark._jvm.org.apache.hadoop.fs.Path(folder)

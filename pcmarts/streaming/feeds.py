@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pcmarts.operators.ingest import merge_new
 from pcmarts.sources.landing import feed_folder
 from pcmarts.sources.schemas import FEEDS, SCHEMAS
+from pcmarts.sources.tables import current, publish
 
 
 def ingest_feed(spark: SparkSession, root: str, feed: str, schema=None, files_per_batch: int | None = None) -> str:
@@ -39,7 +40,7 @@ def ingest_feed(spark: SparkSession, root: str, feed: str, schema=None, files_pe
 
 
 def hourly_alerts(alerts: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Alerts per clock hour and severity; an hour is final once the watermark has passed it."""
+    """Alerts per clock hour and severity; an alert that comes after the watermark has passed its hour is not counted."""
     return (
         alerts.withWatermark("effective_utc", lateness)
         .groupBy(F.window("effective_utc", "1 hour").alias("hour"), "severity")
@@ -61,3 +62,25 @@ def drain(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
     query.awaitTermination()
     return query
+
+
+def drain_by_key(df: DataFrame, keys: tuple[str, ...], path: str, checkpoint: str) -> DataFrame:
+    """Run an aggregating stream over everything that is available now; return the table of its groups as they stand.
+
+    Every batch brings the groups it changed, also those the watermark has not closed. They replace the rows of the same
+    keys in a new version of the table, so a replayed batch changes nothing and readers always see a whole version.
+    """
+    schema = df.schema
+
+    def upsert(batch: DataFrame, _: int) -> None:
+        changed = batch.select(*[F.col(c).alias(f"_{c}") for c in keys])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+        try:
+            held = batch.sparkSession.read.schema(schema).parquet(current(batch.sparkSession, path))
+        except FileNotFoundError:
+            held = batch.sparkSession.createDataFrame([], schema)
+        publish(held.join(changed, same, "left_anti").unionByName(batch), path)
+
+    query = df.writeStream.foreachBatch(upsert).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return df.sparkSession.read.schema(schema).parquet(current(df.sparkSession, path))

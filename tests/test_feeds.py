@@ -160,6 +160,15 @@ def test_hourly_counts_drop_late_rows(spark, rows, tmp_path):
     assert got == [("00", 2), ("05", 1)]  # the late row is gone, hour 09 is not final yet
 
 
+def test_hours_inside_the_watermark_are_published(spark, rows, tmp_path):
+    path = str(tmp_path / "in")
+    query = lambda: streams.drain_by_key(streams.hourly_alerts(source(spark, path)), ("hour_start", "severity"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    timed(spark, path, "1", ("a", "2024-01-01 00:10:00"), ("b", "2024-01-01 05:00:00"))
+    assert rows(query().select(F.date_format("hour_start", "HH"), "alerts")) == [("00", 1), ("05", 1)]
+    timed(spark, path, "2", ("c", "2024-01-01 05:30:00"), ("d", "2024-01-01 09:30:00"))
+    assert rows(query().select(F.date_format("hour_start", "HH"), "alerts")) == [("00", 1), ("05", 2), ("09", 1)]
+
+
 def test_redelivery_inside_the_watermark(spark, rows, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     timed(spark, path, "1", ("a", "2024-01-01 00:10:00"), ("a", "2024-01-01 00:20:00"), ("b", "2024-01-01 00:30:00"))

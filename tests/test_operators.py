@@ -86,14 +86,14 @@ def test_merge_new_is_idempotent(spark, rows, tmp_path):
     assert (c.appended, c.total) == (1, 3)
     assert rows(spark.read.parquet(target)) == [("a", "2", 2), ("b", "1", 3), ("c", "1", 4)]
     assert spark.read.parquet(rejected).count() == 2
-    empty = merge_new(spark, first.limit(0), target, "k")
+    empty = merge_new(spark, first.limit(0), target, "k", rejected)
     assert (empty.scanned, empty.appended, empty.total) == (0, 0, 3)
 
 
 def test_merge_of_nothing_creates_the_table(spark, tmp_path):
     target = str(tmp_path / "t")
     assert not exists(spark, target)
-    merge_new(spark, spark.createDataFrame([], "k string, v int"), target, "k")
+    merge_new(spark, spark.createDataFrame([], "k string, v int"), target, "k", str(tmp_path / "rejected"))
     assert spark.read.parquet(target).columns == ["k", "v"]
 
 
