@@ -12,7 +12,7 @@ def m(expr: str) -> str:
 
 def fine(expr: str) -> str:
     """Exact total of a column in millions."""
-    return f"cast(cast(sum(cast({expr} as decimal(28,10))) as varchar) as double)"
+    return f"cast(cast(sum(cast(cast({expr} as varchar) as decimal(28,10))) as varchar) as double)"
 
 
 def half_up(expr: str, digits: int) -> str:
