@@ -199,8 +199,13 @@ def states_of(ws: Workspace) -> DataFrame:
     return ws.table("dim_geography").select("state_code", "state_name").distinct()
 
 
-def alert_exposure(ws: Workspace, alerts: DataFrame) -> DataFrame:
-    """Alerts (batch or stream) with each state their area text names and the exposure there."""
+def alert_exposure(ws: Workspace, alerts: DataFrame, at: Column | None = None) -> DataFrame:
+    """Alerts (batch or stream) with each state their area text names and the exposure there.
+
+    With an instant ``at``, alerts that had expired by then are left out; one without an end never expires.
+    """
+    if at is not None:
+        alerts = alerts.filter(F.coalesce(F.col("expires_utc") > at, F.lit(True)))
     exposure = ws.table("exposure_by_state").select(
         "state_code", F.col("state_tiv_usd").alias("exposed_tiv_usd"),
         F.col("state_policy_count").alias("exposed_policy_count"),

@@ -6,7 +6,7 @@ have for a column.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,8 +63,9 @@ JOINS: dict[str, JoinSpec] = {
     "pml_exposure": JoinSpec("cat_event_pml", "exposure_accumulation", "state_code", "N:M"),
 }
 
-# Words users have for a column that its name does not give away. Plain forms of the
-# name itself (without unit, with spaces, as initials) are derived by rule in ``terms_for``.
+# Words users have for a column that its name does not give away, a start to which a deployment adds its own
+# (``words`` of ``resolve`` and ``metric_query``). Plain forms of the name itself (without unit, with spaces, as
+# initials) are derived by rule in ``terms_for``.
 USER_WORDS: dict[str, tuple[str, ...]] = {
     "gross_written_premium_usd": ("premium",),
     "incurred_loss_usd": ("losses", "incurred"),
@@ -95,8 +96,8 @@ USER_WORDS: dict[str, tuple[str, ...]] = {
     "is_cat": ("cat claim",),
     "effective_date": ("start date", "inception date"),
     "expiration_date": ("expiry date",),
-    "loss_date": ("date of loss",),
-    "report_date": ("notification date",),
+    "loss_date": ("date of loss", "DOL"),
+    "report_date": ("notification date", "DOR"),
     "report_lag_days": ("reporting lag",),
     "rating": ("credit rating",),
     "avg_yield_pct": ("yield", "return"),
@@ -111,6 +112,9 @@ USER_WORDS: dict[str, tuple[str, ...]] = {
     "expires_utc": ("alert end",),
     "pml_estimate_usd": ("PML", "probable maximum loss"),
     "policy_id": ("policy number", "contract number"),
+    "reinsured": ("RI",),
+    "underwriter_score": ("UW score",),
+    "p95_severity_usd": ("p95",),
     "claim_id": ("claim number",),
     "customer_id": ("client id",),
     "agent_id": ("broker id",),
@@ -123,28 +127,32 @@ def _key(term: str) -> str:
     return " ".join(term.lower().replace("_", " ").replace("-", " ").split())
 
 
-def terms_for(column: str) -> set[str]:
+Words = Mapping[str, Sequence[str]]
+
+
+def terms_for(column: str, words_of: Words | None = None) -> set[str]:
     """The words a column answers to: its name, its name without unit, its initials, user words."""
     words = column.split("_")
     bare = words[:-1] if words[-1] in _UNITS and len(words) > 1 else words
-    forms = {" ".join(words), " ".join(bare), *USER_WORDS.get(column, ())}
+    forms = {" ".join(words), " ".join(bare), *USER_WORDS.get(column, ()), *(words_of or {}).get(column, ())}
     if len(bare) > 1:
         forms.add("".join(w[0] for w in bare))
     return {_key(f) for f in forms}
 
 
-def resolve(term: str, columns: Sequence[str]) -> str:
+def resolve(term: str, columns: Sequence[str], words: Words | None = None) -> str:
     """The one column of a mart a term means; an exact column name always wins."""
     if term in columns:
         return term
-    hits = [c for c in columns if _key(term) in terms_for(c)]
+    hits = [c for c in columns if _key(term) in terms_for(c, words)]
     if len(hits) != 1:
         raise ValueError(f"{term!r} means {hits or 'no column'} here")
     return hits[0]
 
 
 def metric_query(
-    ws: Workspace, mart: str, measures: Sequence[str], by: Sequence[str] = (), filters: Sequence[str] = ()
+    ws: Workspace, mart: str, measures: Sequence[str], by: Sequence[str] = (), filters: Sequence[str] = (),
+    words: Words | None = None,
 ) -> DataFrame:
     """Measures of one mart, grouped and filtered. All names are checked against the mart first."""
     for kind, names, registry in (("measure", measures, MEASURES), ("filter", filters, FILTERS)):
@@ -152,7 +160,7 @@ def metric_query(
             if registry[n].mart != mart:
                 raise ValueError(f"{kind} {n!r} belongs to {registry[n].mart}, not {mart}")
     rows = ws.table(mart)
-    keys = [resolve(b, rows.columns) for b in by]
+    keys = [resolve(b, rows.columns, words) for b in by]
     for f in filters:
         rows = rows.filter(FILTERS[f].build(ws.as_of))
     return rows.groupBy(*keys).agg(*[MEASURES[m].build().alias(m) for m in measures])

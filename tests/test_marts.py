@@ -177,6 +177,14 @@ def test_alerts_and_catastrophes_against_states(frames, rows):
     ]
 
 
+def test_alerts_that_have_expired_can_be_left_out(frames, rows):
+    alerts = [{"alert_id": str(k), "area_desc": "Texas", "expires_utc": e} for k, e in enumerate(["2024-01-01T00:00:00Z", "2024-01-03T00:00:00Z", None])]
+    ws = frames(geography=GEO, policies=[policy("p", geo_id="g1")], noaa_alerts=alerts)
+    at = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    assert rows(gold.alert_exposure(ws, ws.table("noaa_alerts"), at), "alert_id") == [("1",), ("2",)]
+    assert ws.table("event_risk_correlation").count() == 3
+
+
 def test_worst_pml_is_the_head_of_the_whole_product(frames, monkeypatch):
     geo = [{"geo_id": f"g{k}", "state_code": f"S{k}", "state_name": f"State {k}"} for k in range(9)]
     ws = frames(

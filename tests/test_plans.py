@@ -120,6 +120,13 @@ def test_user_words(term, columns, expected):
     assert semantic.resolve(term, columns) == expected
 
 
+def test_a_deployment_adds_its_words():
+    with pytest.raises(ValueError):
+        semantic.resolve("booked", ["gross_written_premium_usd", "peril"])
+    assert semantic.resolve("booked", ["gross_written_premium_usd", "peril"], {"gross_written_premium_usd": ("booked",)}) == "gross_written_premium_usd"
+    assert semantic.resolve("DOL", ["loss_date", "report_date"]) == "loss_date"
+
+
 def test_declared_join_checks_its_cardinality(spark, frames):
     rows = [{"policy_id": "p1"}, {"policy_id": "p1"}]
     work = frames(policies=rows, claims=[{"claim_id": "1", "policy_id": "p1"}])
