@@ -31,7 +31,7 @@ from pcmarts.llm.common import saved
 
 TRAIN_ROWS, BUCKETS, THRESHOLD, RATES = 16000, 1 << 18, 0.5, (0.2, 0.98)
 EPOCHS, STEPS, RATE, DECAY, BATCH, SEED = 10, 1000, 0.3, 1e-4, 48, 11
-DENSE, PREFIXES, CACHE = 6, (4, 5), 1 << 18
+DENSE, PREFIXES, CACHE, ROWS_READ = 6, (4, 5), 1 << 17, 500
 DENSE_SCALE, MIN_TEXTS = 4.0, 4  # words that fewer texts of the sample have get no weight
 
 
@@ -103,7 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[H
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality", "toxic")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
+        for x in (b.iloc[k : k + ROWS_READ] for b in batches for k in range(0, len(b), ROWS_READ)):
             found = [features(t) for t in x["text"]]
             yield pd.DataFrame({"doc_id": x["doc_id"], "quality": x["quality"], "toxic": x["toxic"], "buckets": [b.tobytes() for b, _ in found], "dense": [d.tobytes() for _, d in found]})
 
@@ -122,7 +122,7 @@ def with_evidence(docs: DataFrame, model: tuple[Head, Head, float]) -> DataFrame
     silent, base = all(not h.w.any() for h in model[:2]), math.log(model[2] / (1 - model[2]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
+        for x in (b.slice(k, ROWS_READ) for b in batches for k in range(0, b.num_rows, ROWS_READ)):
             found = [features(t) for t in x.column("_text").to_pylist()]
             buckets, dense = [b for b, _ in found], np.array([d for _, d in found], np.float32).reshape(-1, DENSE)
             bad, toxic = (1 / (1 + np.exp(-np.clip(h.margin(buckets, dense), -30, 30))) if h.w.any() else np.zeros(len(found)) for h in model[:2])
