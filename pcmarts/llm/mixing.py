@@ -18,12 +18,14 @@ drawn together.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pcmarts.llm.common import WORD, let, saved
 
-LIMIT, BLOCK_WORDS, SHARD_LEVELS, SEED = 3, 1 << 18, 4, 7
+LIMIT, BLOCK_WORDS, SHARD_LEVELS, SHARD_WORDS, SEED = 3, 1 << 18, 4, 1 << 25, 7
 WEIGHTS = (1, 2, 3)
 SPREAD = 12  # standard deviations around the mean in which the hypergeometric distribution has all its mass in double precision
 
@@ -136,7 +138,7 @@ def _deal(level: int):
 
 
 def split_tree(quotas: DataFrame, levels: int = SHARD_LEVELS) -> DataFrame:
-    """(source_no, ends) from (source_no, quota): ends[i] is the number of a source's blocks in the shards 0..i, of 2 ** levels.
+    """(source_no, shard, n) from (source_no, quota): how many of a source's blocks go to each of 2 ** levels shards.
 
     A node is one row with an array of its sources' quotas. Its left half gets half of its blocks; source after source, that half's
     number is drawn given what is left of both, so the numbers follow the multivariate hypergeometric distribution.
@@ -154,23 +156,36 @@ def split_tree(quotas: DataFrame, levels: int = SHARD_LEVELS) -> DataFrame:
         right = F.zip_with("q", "left", lambda x, y: F.struct(x["no"].alias("no"), (x["n"] - y["n"]).alias("n")).cast(ENTRY))
         halves = F.array(F.struct((2 * F.col("node")).alias("node"), F.col("left").alias("q")), F.struct((2 * F.col("node") + 1).alias("node"), right.alias("q")))
         nodes = nodes.select(F.explode(halves).alias("h")).select("h.node", "h.q")
-    cells = nodes.select("node", F.explode("q").alias("c")).select("node", "c.no", "c.n")
-    cells = cells.groupBy(F.col("no").alias("source_no")).agg(F.array_sort(F.collect_list(F.struct("node", "n"))).alias("cells"))
-    last = lambda a: F.coalesce(F.get(a, F.size(a) - 1), F.lit(0).cast("bigint"))
-    return cells.select("source_no", F.aggregate("cells", F.array().cast("array<bigint>"), lambda a, x: F.concat(a, F.array(last(a) + x["n"]))).alias("ends"))
+        if level % 6 == 5:
+            nodes = nodes.repartition("node")  # the next levels' nodes are worked on side by side
+    return nodes.select("node", F.explode("q").alias("c")).select(F.col("c.no").alias("source_no"), F.col("node").alias("shard"), "c.n")
+
+
+def places(cells: DataFrame) -> DataFrame:
+    """(source_no, at, shard): a row per drawn block; a shard has the next interval of a source's permuted blocks."""
+    upto = F.sum("n").over(Window.partitionBy("source_no").orderBy("shard"))
+    cells = cells.withColumn("upto", upto).where("n > 0")
+    return cells.select("source_no", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1)).alias("at"), "shard")
+
+
+def shard_levels(words: int) -> int:
+    """Levels of the tree for a mix of so many words: shards of about SHARD_WORDS, 2 ** SHARD_LEVELS of them at least."""
+    return max(SHARD_LEVELS, math.ceil(math.log2(max(1, words) / SHARD_WORDS)))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, levels: int = SHARD_LEVELS, block_words: int = BLOCK_WORDS, text: str = "text", source: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, levels: int | None = None, block_words: int = BLOCK_WORDS, text: str = "text", source: str = "source") -> DataFrame:
     """docs with size, source_size, target and draws: an array of (pass, shard), a row's place in the mix for each time it is drawn."""
     sizes = saved(docs.select(F.col("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sizes")
     blocks = saved(_blocks(sizes, weights, block_words), "blocks")
     quota = F.sum(F.col("passes") + F.when(F.col("drawn") == "none", 0).otherwise(1))
     quotas = blocks.groupBy("source").agg(quota.alias("quota")).withColumn("source_no", F.row_number().over(Window.orderBy(F.isnull("source"), "source")))
-    ends = quotas.join(split_tree(quotas.select("source_no", "quota"), levels), "source_no").select(F.col("source").alias("name"), "ends")
+    if levels is None:
+        levels = shard_levels(sizes.agg(F.sum("size")).first()[0] or 0)
     units = blocks.select("source", "block", F.explode(F.filter(F.sequence(F.lit(0), F.col("passes")), lambda p: (p < F.col("passes")) | (F.col("drawn") != "none"))).alias("pass"))
     order = Window.partitionBy("source").orderBy(_hash(F.lit("unit"), F.col("source"), F.col("block"), F.col("pass")), "block", "pass")
-    units = units.withColumn("at", F.row_number().over(order) - 1).join(ends, F.col("source").eqNullSafe(F.col("name")))
-    units = units.withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("at"))))
+    names = quotas.select(F.col("source").alias("name"), "source_no")
+    units = units.withColumn("at", (F.row_number().over(order) - 1).cast("bigint")).join(names, F.col("source").eqNullSafe(F.col("name")))
+    units = units.join(places(split_tree(quotas.select("source_no", "quota"), levels)), ["source_no", "at"])
     units = units.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("units"))
     units = units.select(F.col("source").alias("u_source"), F.col("block").alias("u_block"), "units")
     plan = blocks.join(units, F.col("source").eqNullSafe(F.col("u_source")) & (F.col("block") == F.col("u_block")), "left")

@@ -237,10 +237,14 @@ def test_mix_meets_its_targets(spark):
 
 def test_split_tree_is_exact_and_hypergeometric(spark):
     quotas = {1: 500, 2: 0, 3: 37, 4: 1200}
-    ends = {r.source_no: r.ends for r in mixing.split_tree(spark.createDataFrame(list(quotas.items()), "source_no int, quota long"), 4).collect()}
-    assert {k: v[-1] for k, v in ends.items()} == quotas and all(len(v) == 16 for v in ends.values())
-    totals = np.diff([0, *np.sum(list(ends.values()), axis=0)])
-    assert totals.max() - totals.min() <= 4
+    for levels in (4, 7):
+        cells = mixing.split_tree(spark.createDataFrame(list(quotas.items()), "source_no int, quota long"), levels)
+        got = cells.toPandas().pivot(index="shard", columns="source_no", values="n")
+        assert len(got) == 2**levels and got.sum().to_dict() == quotas
+        assert got.sum(axis=1).max() - got.sum(axis=1).min() <= levels
+    places = mixing.places(cells).collect()
+    assert sorted((r.source_no, r.at) for r in places) == [(s, k) for s, n in quotas.items() for k in range(n)]
+    assert mixing.shard_levels(10) == 4 and mixing.shard_levels(10**12) == 15
     draws = spark.range(4000).select(mixing._hypergeometric(F.lit(50), F.lit(20), F.lit(10), (F.col("id") + 0.5) / 4000).alias("k")).groupBy("k").count().collect()
     for r in draws:
         exact = math.comb(20, r.k) * math.comb(30, 10 - r.k) / math.comb(50, 10)
