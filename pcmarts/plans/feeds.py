@@ -189,10 +189,9 @@ def landed_runs(ws: Workspace) -> DataFrame:
     """Runs found by listing a landing folder, and a feed that never landed."""
     root = scratch(ws.spark, "listing")
     _two_runs(ws, root)
-    found = {feed: {f.split("/")[-2] for f in list_landing(ws.spark, root, feed)} for feed in ("noaa_alerts", "news")}
     sizes = landed(ws.spark, root, "noaa_alerts").agg(F.count(F.lit(1)).alias("n"))
-    runs = [F.struct(F.lit(f).alias("feed"), F.lit(len(r)).alias("runs")) for f, r in found.items()]
-    return sizes.select(F.inline(F.array(*runs)), F.col("n").alias("landed_rows"))
+    runs = [list_landing(ws.spark, root, f).agg(F.lit(f).alias("feed"), F.countDistinct("run").cast("int").alias("runs")) for f in ("noaa_alerts", "news")]
+    return stack(*runs).select("feed", "runs", sizes.scalar().alias("landed_rows"))
 
 
 @query("snk_create_empty_like")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pcmarts.sources.tables import exists
 
@@ -31,13 +32,13 @@ def landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").parquet(feed_folder(root, feed))
 
 
-def list_landing(spark: SparkSession, root: str, feed: str) -> list[str]:
-    """Parquet files of a feed, none if its folder does not exist. File contents are not read."""
+def list_landing(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """(feed, run, path) of the Parquet files of a feed, empty if its folder does not exist. File contents are not read."""
     folder = feed_folder(root, feed)
     if not exists(spark, folder):
-        return []
+        return spark.createDataFrame([], "feed string, run string, path string")
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet").load(folder)
     )
-    return sorted(r.path for r in files.select("path").collect())  # names only, a few per run
+    return files.select(F.lit(feed).alias("feed"), F.element_at(F.split("path", "/"), -2).alias("run"), "path")
