@@ -10,7 +10,7 @@ fixed model. Contexts stop at the space before a word, so a word's code length d
 How the work is spread
 1. Word counts: each task counts words, partial sums are shuffled. Training words and words that only held-out documents have form the
    lexicon (count 0 for the latter).
-2. Grams (context and byte) of the lexicon, summed likewise. They are grouped by the last two context bytes: each group is a subtree.
+2. Grams (context and byte) of the lexicon, summed likewise. They are dealt out by the last two context bytes: each value is a subtree.
    Only the subtrees' root values, 65,280 nodes at depth one and 255 at depth zero at most, go to the driver and back.
 3. A gram's log probability needs its subtree and those top nodes. Words are sums over their grams, texts over their words. The most
    frequent grams and words (at most TOP_GRAMS, TOP_WORDS, a bound on memory, not on what is scored) are looked up in the task;
@@ -40,6 +40,7 @@ FOLDS, HELD_OUT = 5, 1
 TOP_WORDS, TOP_GRAMS = 1 << 18, 1 << 20
 FLUSH_WORDS, FLUSH_ROWS = 200_000, 100_000
 SPACE, END = 0x20, 0x0A
+PART_SHIFT = 8 * (DEPTH - SPLIT + 1)  # what is above are the last SPLIT context bytes
 LN2, LN10 = math.log(2), math.log(10)
 
 
@@ -214,27 +215,44 @@ def grams(words: DataFrame, texts: int) -> DataFrame:
     return words.mapInArrow(run, "gram long, n long").union(ends).groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(grams, counts) in portions of about FLUSH_ROWS rows that hold whole subtrees; rows of a subtree stand together."""
+    gram = n = np.zeros(0, np.int64)
+    for x in batches:
+        gram, n = np.concatenate([gram, x.column("gram").to_numpy()]), np.concatenate([n, x.column("n").to_numpy()])
+        if len(gram) >= FLUSH_ROWS:
+            part = gram >> PART_SHIFT
+            other = np.flatnonzero(part != part[-1])  # the last subtree may go on in the next batch
+            if other.size:
+                cut = int(other[-1]) + 1
+                yield gram[:cut], n[:cut]
+                gram, n = gram[cut:].copy(), n[cut:].copy()
+    if len(gram):
+        yield gram, n
+
+
 def gram_logs(counted: DataFrame) -> DataFrame:
     """(gram, n, log10): the model's log10 probability of each gram's byte in its context."""
-    shift = 8 * (DEPTH - SPLIT + 1)
-    parts = counted.withColumn("part", F.shiftright("gram", shift))
+    part = F.shiftright("gram", PART_SHIFT)
+    parts = counted.repartition(part).sortWithinPartitions(part).select("gram", "n")
 
-    def roots(x: pd.DataFrame) -> pd.DataFrame:
-        x = x[x["n"] > 0]
-        if x.empty:
-            return pd.DataFrame({"key": [], "n0": [], "n1": [], "log": []})
-        root = subtree(x["gram"].to_numpy(), x["n"].to_numpy())[-1]
-        return pd.DataFrame({"key": parents(root.key), "n0": root.n0, "n1": root.n1, "log": root.log})
+    def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, n in _whole(batches):
+            if (n > 0).any():
+                low = subtree(gram[n > 0], n[n > 0])[-1]
+                key, n0, n1, log = summed(parents(low.key), low.n0, low.n1, low.log)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n0), pa.array(n1), pa.array(log)], ["key", "n0", "n1", "log"])
 
     # At most 256 contexts of one byte and 255 nodes each: the bound of what the driver gets.
-    sums = parts.groupBy("part").applyInPandas(roots, "key long, n0 double, n1 double, log double").groupBy("key")
+    sums = parts.mapInArrow(roots, "key long, n0 double, n1 double, log double").groupBy("key")
     top = top_levels(sums.agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "log"))).toPandas())
 
-    def scored(x: pd.DataFrame) -> pd.DataFrame:
-        gram, n = x["gram"].to_numpy(), x["n"].to_numpy()
-        return pd.DataFrame({"gram": gram, "n": n, "log10": log10_of(gram, subtree(gram[n > 0], n[n > 0]), top)})
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gram, n in _whole(batches):
+            logs = log10_of(gram, subtree(gram[n > 0], n[n > 0]), top)
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n), pa.array(logs)], ["gram", "n", "log10"])
 
-    return parts.groupBy("part").applyInPandas(scored, "gram long, n long, log10 double")
+    return parts.mapInArrow(scored, "gram long, n long, log10 double")
 
 
 def frequent(rows: DataFrame, most: int) -> Column:
