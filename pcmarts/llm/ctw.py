@@ -37,7 +37,7 @@ from pcmarts.llm.common import saved
 
 DEPTH, SPLIT = 6, 2
 FOLDS, HELD_OUT = 5, 1
-TOP_WORDS, TOP_GRAMS = 1 << 18, 1 << 20
+TOP_WORDS, TOP_GRAMS = 1 << 16, 1 << 18
 FLUSH_WORDS, FLUSH_ROWS = 200_000, 100_000
 SPACE, END = 0x20, 0x0A
 PART_SHIFT = 8 * (DEPTH - SPLIT + 1)  # what is above are the last SPLIT context bytes
@@ -269,8 +269,8 @@ def frequent(rows: DataFrame, most: int) -> Column:
 
 def word_logs(words: DataFrame, logs: DataFrame) -> DataFrame:
     """(word, n, log10): the model's log10 probability of each word of the lexicon with its closing space."""
-    top = logs.where(frequent(logs, TOP_GRAMS)).select("gram", "log10").toPandas().sort_values("gram")
-    known, value = top["gram"].to_numpy(np.int64), top["log10"].to_numpy(float)
+    top = logs.where(frequent(logs, TOP_GRAMS)).select("gram", "log10").toArrow().sort_by("gram")
+    known, value = top["gram"].to_numpy(), top["log10"].to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = 0
@@ -309,10 +309,13 @@ def score(docs: DataFrame) -> DataFrame:
     end_log = logs.where(F.col("gram") == end_gram()).first()["log10"]
     scale = n_all + 0.5 * (v_all + 1)
     base = lambda n: math.log10((n + 0.5) / scale)
-    top = scored.where(frequent(scored, TOP_WORDS)).toPandas()
-    near = {bytes(w): (base(n), v) for w, n, v in zip(top["word"], top["n"], top["log10"], strict=True)}
+    top = scored.where(frequent(scored, TOP_WORDS)).toArrow()
+    # Compact on the driver and on the way; a task makes its own lookup table. No word has a space.
+    near_words, near_counts, near_logs = b" ".join(top["word"].to_pylist()), top["n"].to_numpy(), top["log10"].to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = zip([base(n) for n in near_counts.tolist()], near_logs.tolist(), strict=True)
+        near = dict(zip(near_words.split(b" "), both, strict=False))
         row, get = TaskContext.get().partitionId() << 40, near.get
         names, kinds = ["row", "word", "times", "doc_id", "n_tokens", "n_known", "base", "part", "n_bytes"], [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         far: list[list] = [[], [], []]
