@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pcmarts.llm.common import least_hash
+
 SAMPLE_PAGES, LAYOUTS, SEED = 240, 1200, 5
 PATH_DIM, TAG_DIM, WORD_DIM, NUMBERS, HIDDEN = 512, 32, 64, 8, 24
 EPOCHS, PAGES_AT_ONCE, LEARNING = 8, 24, 0.01
@@ -437,8 +439,9 @@ def training_pages(pages: list[str]) -> list[tuple[list, list[int]]]:
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Labeller:
     """A labeller from at most `sample` pages, those with the least hash of page_id."""
-    rows = pages.where("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample).collect()
-    return Labeller().fit(training_pages([r["html"] for r in rows]))
+    rows = least_hash(pages.select("page_id", "html"), "page_id", sample).where("html is not null").collect()
+    found = sorted(((r["page_id"] is None, r["page_id"], r["html"]) for r in rows), key=lambda x: (x[0], x[1] or 0, x[2]))
+    return Labeller().fit(training_pages([html for _, _, html in found]))
 
 
 def extract(pages: DataFrame, labeller: Labeller) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pcmarts.llm.common import saved
+from pcmarts.llm.common import least_hash, saved
 
 TRAIN_ROWS, BUCKETS, THRESHOLD, RATES = 16000, 1 << 18, 0.5, (0.2, 0.98)
 EPOCHS, STEPS, RATE, DECAY, BATCH, SEED = 10, 1000, 0.3, 1e-4, 48, 11
@@ -99,7 +99,7 @@ class Head:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[Head, Head, float]:
     """(low-quality head, toxic head, share of good documents), from at most `rows` labelled documents with the least hash of the id."""
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
-    picked = marks.select(F.col("doc_id").alias("_id"), "quality", "toxic").orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    picked = least_hash(marks.select(F.col("doc_id").alias("_id"), "quality", "toxic"), "_id", rows)
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality", "toxic")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pcmarts.llm import ctw, mixing, queries, quality, simhash, sketch, warc
+from pcmarts.llm import common, ctw, mixing, queries, quality, simhash, sketch, warc
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -348,3 +348,10 @@ def test_pipeline_stages(spark):
     assert set(mix.doc_id) <= set(hidden.doc_id) and mix.doc_id.value_counts().max() <= 3
     assert sorted(coded.doc_id) == sorted(mix.doc_id)
     assert corpus_pipeline.run(spark, SMALL).count() == len(coded)
+
+
+def test_samples_are_the_least_hashes(spark):
+    ids = spark.range(20000).withColumn("h", F.xxhash64("id"))
+    want = [r.id for r in ids.orderBy("h").limit(300).collect()]
+    assert [r.id for r in common.least_hash(ids, "id", 300).collect()] == want
+    assert common.least_hash(ids.limit(10), "id", 300).count() == 10 and common.least_hash(ids.limit(0), "id", 3).count() == 0
