@@ -184,7 +184,9 @@ def read(archives: DataFrame, folder: str) -> DataFrame:
                             rows = []
                 yield _frame(rows)
 
-    return archives.repartition("archive").mapInPandas(run, READ)
+    # A stated number of partitions: the list is small, and adaptive execution would read all archives in one task.
+    tasks = min(max(1, archives.count()), 4 * int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return archives.repartition(tasks).mapInPandas(run, READ)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
