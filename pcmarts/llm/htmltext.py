@@ -38,6 +38,7 @@ PAGES_READ = 128
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 UNSEEN = frozenset("script style template noscript svg math iframe object head title textarea select audio video canvas map datalist".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 RAW = frozenset("script style title textarea iframe noscript template svg math select".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table tbody thead tfoot div section article main aside nav header footer body html form fieldset blockquote figure td th".split())
@@ -113,6 +114,9 @@ def leaves(page: str | None) -> list[tuple[str, frozenset[str], str, float]]:
     while at < end:
         m = TOKEN.search(page, at)
         start = m.start() if m else end
+        if start > at and stack[-1][0] == "head" and not page[at:start].isspace():
+            stack.pop()  # text may not stand in a head: </head> is left out
+            unseen -= 1
         if start > at and not unseen:
             piece = page[at:start]
             if current is None and not piece.isspace():
@@ -140,6 +144,9 @@ def leaves(page: str | None) -> list[tuple[str, frozenset[str], str, float]]:
                 if tag in INLINE and stack[k][0] in SCOPES:
                     break
             continue
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            stack.pop()
+            unseen -= 1
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
@@ -151,10 +158,11 @@ def leaves(page: str | None) -> list[tuple[str, frozenset[str], str, float]]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in shut:
                     for x, _, _ in stack[k:]:
+                        unseen -= x in UNSEEN
                         anchors -= x == "a"
                     del stack[k:]
                     break
-                if stack[k][0] in SCOPES and stack[k][0] not in shut:
+                if stack[k][0] == "object" or stack[k][0] in SCOPES and stack[k][0] not in shut:
                     break
         names, above = _names(tag, m[3]), stack[-1]
         path = above[1] if above[1].issuperset(names) else above[1].union(names)
