@@ -2,7 +2,10 @@
 
 Every kind has a pattern and a validator. Places follow from cutting the text at the matches: a match starts where the pieces and
 matches before it end, counted in code points. Patterns are possessive and begin at the start of a run (or where the last match
-ended), so a run of a million digits or letters is read once and nothing is retried.
+ended), so a run of a million digits or letters is read once and nothing is retried. An IBAN has the length of its country
+(IBAN_LENGTHS), so its match ends where the IBAN ends; other countries' are as long as the run. IBANs are looked for from every start
+of a word, each at most 34 characters ahead: one that the checksum rejects hides none that begins within it, and if two overlap and
+both are confirmed, both count.
 
 The kinds email, ip, card and phone are the base: a confirmed base span always counts. The method adds IBANs (mod-97): their score
 is CONFIRMED plus NEARBY for a word that speaks of an account within WINDOW code points; a span counts from THRESHOLD on. Scores of
@@ -23,6 +26,21 @@ WINDOW, THRESHOLD, CONFIRMED, NEARBY = 40, 0.5, 0.6, 0.3
 PREFIX_BLOCK = 256
 
 # What each kind looks like, what must occur in a text before the pattern is tried, and words that speak for it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """An IBAN by country and length, single spaces anywhere after the check digits; of other countries, groups of four or one run."""
+    known = "|".join(f"(?:{'|'.join(names.split())})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{size - 4}}}" for size, names in IBAN_LENGTHS.items())
+    names = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    other = rf"(?!{names})[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20[A-Z0-9]{{4}}){{2,7}}(?:\x20[A-Z0-9]{{1,4}})?|[A-Z0-9]{{11,30}})"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{known}|{other})(?![A-Za-z0-9])))"
+
+
 KINDS = ("email", "ip", "card", "phone", "iban")
 BASE = KINDS[:4]
 PATTERN = {
@@ -30,7 +48,7 @@ PATTERN = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,4})?|[A-Z0-9]{11,30})(?![A-Za-z0-9])",
+    "iban": _iban(),
 }
 OCCURS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "iban": r"[A-Z]{2}[0-9]{2}"}
 WORDS = {
@@ -119,11 +137,38 @@ def _spans_of(kind: str, text: Column) -> Column:
 
         return let(ends, lambda es: F.filter(F.transform(matches, lambda m, i: span(m, i, es)), lambda s: s.isNotNull() & ((s["kind_no"] < len(BASE)) | (s["score"] >= THRESHOLD))))
 
+    if kind == "iban":
+        return F.when(text.rlike(OCCURS[kind]), let(_candidates(text), _ibans)).otherwise(none)
     found = F.struct(F.regexp_extract_all(text, F.lit(PATTERN[kind]), F.lit(0)).alias("matches"), F.split(text, PATTERN[kind], -1).alias("pieces"))
     seen = text.contains("@") if kind == "email" else text.rlike(OCCURS[kind])
     return F.when(seen, let(found, placed)).otherwise(none)
 
 
+def _candidates(text: Column) -> Column:
+    """What may be an IBAN, overlapping ones too: matches, and the pieces of the text that start with them, after the piece before all."""
+    pieces = F.split(text, PATTERN["iban"], -1)
+    matches = F.regexp_extract_all(text, F.lit(PATTERN["iban"]), F.lit(1))
+    # A match at the very start of the text cuts off no empty piece.
+    led = let(pieces, lambda ps: F.when(F.size(ps) > F.size(matches), ps).otherwise(F.concat(F.array(F.lit("")), ps)))
+    return F.struct(matches.alias("matches"), led.alias("pieces"))
+
+
+def _ibans(found: Column) -> Column:
+    """Confirmed spans of the candidates that reach the threshold, overlapping ones too."""
+    matches, pieces = found["matches"], found["pieces"]
+    starts = _running(F.transform(matches, lambda m, i: F.length(F.get(pieces, i)).cast("bigint")))
+
+    def span(m: Column, i: Column, ss: Column) -> Column:
+        near = F.lower(F.concat_ws(" ", F.right(F.get(pieces, i), F.lit(WINDOW)), F.substr(F.get(pieces, i + 1), F.length(m) + 1, F.lit(WINDOW))))
+        score = F.lit(CONFIRMED) + F.when(near.rlike(WORDS["iban"]), NEARBY).otherwise(0.0)
+        return F.when(confirmed("iban", m), F.struct(
+            F.lit(KINDS.index("iban")).alias("kind_no"), F.lit("iban").alias("kind"), F.get(ss, i).alias("start"), (F.get(ss, i) + F.length(m)).alias("end"),
+            score.alias("score"),
+        ).cast(SPAN))
+
+    return let(starts, lambda ss: F.filter(F.transform(matches, lambda m, i: span(m, i, ss)), lambda s: s.isNotNull() & (s["score"] >= THRESHOLD)))
+
+
 def with_spans(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
     """docs with an array of (kind_no, kind, start, end, score), by start, then kind; places in code points, end exclusive."""
     each = F.concat(*(_spans_of(kind, F.coalesce(F.col(text), F.lit(""))) for kind in KINDS))
