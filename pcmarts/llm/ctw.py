@@ -5,9 +5,17 @@ decision has a context tree over the DEPTH bytes before it. A node holds counts
 Krichevsky-Trofimov estimate; its weighted probability is half its own estimate and half the product of its children's. A decision is
 predicted by the mixture along its context path, at each node with the weight that the counts have given the node against its subtree;
 a context that training never met ends the path at the node above it. The score is the log10 probability of the text by the trained,
-fixed model. Contexts stop at the space before a word, so a word's code length depends on the word alone and is computed once.
+fixed model. With `across`, which the query uses, contexts are the true DEPTH bytes, earlier words included; a text begins after a
+space and end bytes. Without, contexts stop at the space before a word, so a word's code length depends on the word alone.
 
-How the work is spread
+How the work is spread, across words
+1. Word counts (for the base score and n_known) and grams (context and byte) of the texts: each task sums what it reads, up to
+   HELD_GRAMS grams at once, partial sums are shuffled. Grams of held-out documents have count 0.
+2. Subtrees as in 2 below. A text's score is the sum over its grams: the most frequent ones (TOP_CONTEXTS, a bound on memory) are
+   looked up in the task, all others are joined by key with the words in one shuffle. Texts are counted in portions of COUNTED bytes
+   and looked up in portions of LOOKED_UP bytes; of a long text, PIECE bytes at once.
+
+How the work is spread, word by word
 1. Word counts: each task counts words, partial sums are shuffled. Training words and words that only held-out documents have form the
    lexicon (count 0 for the latter).
 2. Grams (context and byte) of the lexicon, summed likewise. They are dealt out by the last two context bytes: each value is a subtree.
@@ -22,6 +30,7 @@ Rows are scored one by one, so repeated rows stay. Without training documents ev
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -39,6 +48,7 @@ DEPTH, SPLIT = 6, 2
 FOLDS, HELD_OUT = 5, 1
 TOP_WORDS, TOP_GRAMS = 1 << 16, 1 << 18
 FLUSH_WORDS, FLUSH_ROWS = 200_000, 100_000
+TOP_CONTEXTS, HELD_GRAMS, COUNTED, LOOKED_UP, PIECE = 1 << 21, 1 << 21, 1 << 22, 1 << 20, 1 << 20
 SPACE, END = 0x20, 0x0A
 PART_SHIFT = 8 * (DEPTH - SPLIT + 1)  # what is above are the last SPLIT context bytes
 LN2, LN10 = math.log(2), math.log(10)
@@ -60,6 +70,30 @@ def grams_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return gram, np.repeat(np.arange(len(words)), size)
 
 
+START = bytes([END] * (DEPTH - 1) + [SPACE])  # what stands before a text; no word has an end byte
+
+
+def pieces_of(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(grams, numbers of the text) of all bytes of texts given as words, with the DEPTH bytes before them, PIECE bytes at once."""
+    if not texts:
+        return
+    data = np.frombuffer(bytes([END]) + b"".join(START + b" ".join([*words, b""]) + bytes([END]) for words in texts), np.uint8)
+    size = np.fromiter((sum(map(len, words)) + len(words) + 1 + DEPTH for words in texts), np.int64, len(texts))
+    begin = np.cumsum(size) - size + 1
+    eight = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (max(0, len(data) - 7),), (1,))  # a byte is the highest of the eight up to it
+    for lo in range(1 + DEPTH, len(data), PIECE):
+        hi = min(lo + PIECE, len(data))
+        value = eight[lo - 7 : hi - 7].copy()
+        gram = value << np.uint64(8) >> np.uint64(8 * (7 - DEPTH)) & np.uint64((1 << 64) - 256) | value >> np.uint64(56)
+        first, last = np.searchsorted(begin, lo, "right"), np.searchsorted(begin, hi, "left")
+        step, own = np.zeros(hi - lo, np.int32), np.ones(hi - lo, bool)
+        step[begin[first:last] - lo] = 1
+        for k in range(DEPTH):  # START is not coded
+            at = begin[max(0, first - 1) : last] + k - lo
+            own[at[(at >= 0) & (at < hi - lo)]] = False
+        yield gram.view(np.int64)[own], (np.cumsum(step, dtype=np.int32) + np.int32(first - 1))[own]
+
+
 def end_gram() -> int:
     return SPACE << (8 * DEPTH) | END
 
@@ -215,6 +249,74 @@ def grams(words: DataFrame, texts: int) -> DataFrame:
     return words.mapInArrow(run, "gram long, n long").union(ends).groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def text_grams(docs: DataFrame) -> DataFrame:
+    """(gram, n): grams of all texts with contexts across words, counted in training documents, 0 for those of held-out ones only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, fresh = (np.zeros(0, np.int64), np.zeros(0, np.int64)), []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            parts = [held, *fresh]
+            fresh.clear()
+            key, n = np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])
+            parts.clear()
+            order = np.argsort(key)
+            key, n = key[order], n[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+            return key[first], np.add.reduceat(n, first) if len(key) else n
+
+        def counted(grams_: list[np.ndarray], times: int) -> tuple[np.ndarray, np.ndarray]:
+            key, n = np.unique(np.concatenate(grams_), return_counts=True)
+            grams_.clear()
+            return key, n * times
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(held[0]), FLUSH_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(v[lo : lo + FLUSH_ROWS]) for v in held], ["gram", "n"])
+
+        for texts, aside in _portions(batches, COUNTED):
+            for kind in (False, True):
+                held_back: list[np.ndarray] = []
+                for gram, _ in pieces_of([t for t, a in zip(texts, aside, strict=True) if a == kind]):
+                    held_back.append(gram)
+                    if sum(map(len, held_back)) >= COUNTED:
+                        fresh.append(counted(held_back, not kind))
+                if held_back:
+                    fresh.append(counted(held_back, not kind))
+            if sum(len(k) for k, _ in fresh) >= max(HELD_GRAMS // 2, len(held[0])):
+                held = merged()
+                if len(held[0]) >= HELD_GRAMS:
+                    yield from out()
+                    held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held = merged()
+        yield from out()
+
+    rows = docs.select("text", held_out(F.col("doc_id")).alias("aside")).mapInArrow(run, "gram long, n long")
+    return rows.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def _portions(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list[list[bytes]], list]]:
+    """(texts as words, values of the second column) in portions of about `most` bytes."""
+    texts, values, size = [], [], 0
+    for x in batches:
+        for text, value in zip(x.column(0), x.column(1), strict=True):
+            text = text.as_py()
+            texts.append(_tokens(text))
+            values.append(value.as_py())
+            size += len(text or "") + DEPTH + 1
+            if size >= most:
+                yield texts, values
+                texts, values, size = [], [], 0
+    if texts:
+        yield texts, values
+
+
+def gram_keys(gram: np.ndarray) -> pa.Array:
+    """Grams as binary keys that are no words: seven bytes and a space."""
+    data = (gram.astype(np.uint64) << np.uint64(8) | np.uint64(SPACE)).astype(">u8").tobytes()
+    return pa.Array.from_buffers(pa.binary(), len(gram), [None, pa.py_buffer(np.arange(0, 8 * len(gram) + 1, 8, dtype=np.int32)), pa.py_buffer(data)])
+
+
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(grams, counts) in portions of about FLUSH_ROWS rows that hold whole subtrees; rows of a subtree stand together."""
     gram = n = np.zeros(0, np.int64)
@@ -297,16 +399,28 @@ def word_logs(words: DataFrame, logs: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"), F.sum(F.col("part") + F.coalesce("log10", F.lit(0.0))).alias("log10"))
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes), a row per row of docs."""
+def score(docs: DataFrame, across: bool = False) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes), a row per row of docs.
+
+    across: contexts go on over the spaces into the words before.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     words = saved(lexicon(docs), "lexicon")
     texts = docs.where(~held_out(F.col("doc_id"))).count()
     total = words.agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     n_all, v_all = (total["n"] or 0) + texts, total["v"] + (texts > 0)
-    logs = saved(gram_logs(saved(grams(words, texts), "grams")), "gramlogs")
-    scored = saved(word_logs(words, logs), "wordlogs")
-    end_log = logs.where(F.col("gram") == end_gram()).first()["log10"]
+    logs = saved(gram_logs(saved(text_grams(docs) if across else grams(words, texts), "grams")), "gramlogs")
+    known_grams = gram_values = np.zeros(0)
+    if across:
+        common = frequent(logs, TOP_CONTEXTS)
+        table = logs.where(common).select("gram", "log10").toArrow().sort_by("gram")
+        known_grams, gram_values, end_log = table["gram"].to_numpy(), table["log10"].to_numpy(), 0.0
+        scored = words.withColumn("log10", F.lit(0.0))  # words count for the base only
+        key = F.unhex(F.concat(F.lpad(F.hex("gram"), F.lit(14), F.lit("0")), F.lit(f"{SPACE:02x}")))
+        joined = scored.union(logs.where(~common).select(key, F.lit(None).cast("long"), "log10"))
+    else:
+        scored = joined = saved(word_logs(words, logs), "wordlogs")
+        end_log = logs.where(F.col("gram") == end_gram()).first()["log10"]
     scale = n_all + 0.5 * (v_all + 1)
     base = lambda n: math.log10((n + 0.5) / scale)
     top = scored.where(frequent(scored, TOP_WORDS)).toArrow()
@@ -314,8 +428,8 @@ def score(docs: DataFrame) -> DataFrame:
     near_words, near_counts, near_logs = b" ".join(top["word"].to_pylist()), top["n"].to_numpy(), top["log10"].to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = zip([base(n) for n in near_counts.tolist()], near_logs.tolist(), strict=True)
-        near = dict(zip(near_words.split(b" "), both, strict=False))
+        near_base = np.log10((near_counts + 0.5) / scale)
+        near = dict(zip(near_words.split(b" "), range(len(near_counts)), strict=False))
         row, get = TaskContext.get().partitionId() << 40, near.get
         names, kinds = ["row", "word", "times", "doc_id", "n_tokens", "n_known", "base", "part", "n_bytes"], [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         far: list[list] = [[], [], []]
@@ -327,33 +441,47 @@ def score(docs: DataFrame) -> DataFrame:
                 c.clear()
             return pa.RecordBatch.from_arrays(columns, names)
 
-        for x in batches:
-            own = []
-            for doc_id, text in zip(x.column("doc_id").to_pylist(), x.column("text").to_pylist(), strict=True):
-                found, tokens, known, lower, part = Counter(_tokens(text)), 1, int(texts > 0), base(texts), end_log
-                size = 1
-                for word, times in found.items():
-                    tokens += times
-                    size += times * (len(word) + 1)
-                    hit = get(word)
-                    if hit:
-                        known += times
-                        lower += times * hit[0]
-                        part += times * hit[1]
-                    else:
-                        far[0].append(row)
-                        far[1].append(word)
-                        far[2].append(times)
-                own.append((row, b" %d" % row, 0, doc_id, tokens, known, lower, part, size))  # no word has a space
-                row += 1
-                if len(far[0]) >= FLUSH_ROWS:
-                    yield rest()
-            if own:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*own, strict=True), kinds, strict=True)], names)
+        def looked_up(parts: np.ndarray, gram: np.ndarray, number: np.ndarray, first: int) -> Iterator[pa.RecordBatch]:
+            """Adds known grams to the texts' parts; rows of the others, to be joined."""
+            order = np.argsort(gram)
+            gram, number = gram[order], number[order]
+            at = np.minimum(np.searchsorted(known_grams, gram), max(0, len(known_grams) - 1))
+            there = known_grams[at] == gram if len(known_grams) else np.zeros(len(gram), bool)
+            parts += np.bincount(number[there], gram_values[at[there]], len(parts))
+            gram, number = gram[~there], number[~there].astype(np.int64) + first
+            for lo in range(0, len(gram), FLUSH_ROWS):
+                key, rows_ = gram_keys(gram[lo : lo + FLUSH_ROWS]), pa.array(number[lo : lo + FLUSH_ROWS])
+                times = pa.array(np.ones(len(key), np.int64))
+                yield pa.RecordBatch.from_arrays([rows_, key, times, *(pa.nulls(len(key), k) for k in kinds[3:])], names)
+
+        for held, ids in _portions(batches, LOOKED_UP):
+            parts = np.zeros(len(held))
+            if across:
+                for gram, number in pieces_of(held):
+                    yield from looked_up(parts, gram, number, row)
+            size = np.fromiter(map(len, held), np.int64, len(held))
+            flat = list(itertools.chain.from_iterable(held))
+            at = np.fromiter(map(get, flat, itertools.repeat(-1)), np.int64, len(flat))
+            number, there = np.repeat(np.arange(len(held)), size), at >= 0
+            hit, of = at[there], number[there]
+            known = np.bincount(of, minlength=len(held)) + int(texts > 0)
+            lower = np.bincount(of, near_base[hit], len(held)) + base(texts)
+            parts += np.bincount(of, near_logs[hit], len(held)) + end_log
+            length = np.bincount(number, np.fromiter(map(len, flat), np.int64, len(flat)), len(held)).astype(np.int64) + size + 1
+            for (k, word), times in Counter((k, flat[i]) for i, k in zip(np.flatnonzero(~there).tolist(), number[~there].tolist(), strict=True)).items():
+                far[0].append(row + k)
+                far[1].append(word)
+                far[2].append(times)
+            numbers = np.arange(row, row + len(held))
+            own = [numbers, [b" %d" % k for k in numbers.tolist()], np.zeros(len(held), np.int64), ids, size + 1, known, lower, parts, length]  # no word has a space
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(own, kinds, strict=True)], names)
+            row += len(held)
+            if len(far[0]) >= FLUSH_ROWS:
+                yield rest()
         yield rest()
 
-    rows = docs.mapInArrow(run, "row long, word binary, times long, doc_id long, n_tokens long, n_known long, base double, part double, n_bytes long")
-    rows = rows.join(scored.select("word", "n", "log10"), "word", "left")
+    rows = docs.select("text", "doc_id").mapInArrow(run, "row long, word binary, times long, doc_id long, n_tokens long, n_known long, base double, part double, n_bytes long")
+    rows = rows.join(joined.select("word", "n", "log10"), "word", "left")
     low = F.log10((F.col("n") + 0.5) / F.lit(float(scale)))
     rows = rows.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.max("n_bytes").alias("n_bytes"),

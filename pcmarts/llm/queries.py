@@ -62,7 +62,7 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def model_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return ctw.score(table(spark, folder, "documents"))
+    return ctw.score(table(spark, folder, "documents"), across=True)
 
 
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
