@@ -3,7 +3,8 @@
 1. Each source gets a target in words: shares of the total by weight, no target above LIMIT times its source, the excess shared again.
 2. A target is q whole passes over its source and a rest. The documents of a source are dealt into blocks by a hash; the rest is a
    number of whole blocks in permuted order, then documents of one more block in permuted order while they
-   fit, then the document of that block that comes nearest to what is left.
+   fit, then the document of that block that comes nearest to what is left. If that misses the rest by as much as a document of the
+   block (a very long one stood in the way), documents that do not fit are skipped, and the nearest one more is added to those that do.
 3. The drawn blocks of a source are its exact quota. From the root on, a node's quotas are split between two halves of the shards:
    for each source the left half's number is drawn from the hypergeometric distribution, given what is left of the node.
 4. A shard's share of a source is the next interval of the source's permuted blocks: shards are disjoint and complete. Within a
@@ -65,8 +66,39 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int = L
     return found.select("source", "source_size", target.alias("target"))
 
 
-def _blocks(sizes: DataFrame, weights: tuple[int, ...], block_words: int) -> DataFrame:
-    """A row per block of a source: its words, what is drawn of it in the extra pass, and of a part the last key that fits and one more."""
+RUN = "array<struct<lo:string,hi:string>>"
+
+
+def _within(key: Column, runs: Column) -> Column:
+    return F.exists(runs, lambda r: (key >= r["lo"]) & (key <= r["hi"]))
+
+
+def _skipping(groups: Column, need: Column) -> Column:
+    """(runs of keys, words missed): of (key, w) in order, those that fit into what is left; then the one that comes nearest to the rest."""
+
+    def step(a: Column, g: Column) -> Column:
+        fits, runs = g["w"] <= a["left"], a["runs"]
+        longer = F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(F.struct(F.get(runs, F.size(runs) - 1)["lo"].alias("lo"), g["key"].alias("hi"))))
+        added = F.concat(runs, F.array(F.struct(g["key"].alias("lo"), g["key"].alias("hi"))))
+        return F.struct(
+            F.when(fits, a["left"] - g["w"]).otherwise(a["left"]).alias("left"),
+            F.when(~fits, runs).when(a["open"], longer).otherwise(added).cast(RUN).alias("runs"), fits.alias("open"),
+        )
+
+    start = F.struct(need.cast("double").alias("left"), F.array().cast(RUN).alias("runs"), F.lit(False).alias("open"))
+
+    def one_more(a: Column) -> Column:
+        off = lambda g: F.abs(g["w"] - a["left"])
+        others = F.filter(groups, lambda g: ~_within(g["key"], a["runs"]) & (off(g) < a["left"]))
+        nearest = F.array_min(F.transform(others, lambda g: F.struct(off(g).alias("off"), g["key"].alias("key"))))
+        last = lambda o: F.when(o.isNull(), a["runs"]).otherwise(F.concat(a["runs"], F.array(F.struct(o["key"].alias("lo"), o["key"].alias("hi"))).cast(RUN)))
+        return let(nearest, lambda o: F.struct(last(o).alias("runs"), F.coalesce(o["off"], a["left"]).alias("missed")))
+
+    return let(F.aggregate(groups, start, step), one_more)
+
+
+def _blocks(sizes: DataFrame, weights: tuple[int, ...], block_words: int, skip: bool) -> DataFrame:
+    """A row per block of a source: its words, what is drawn of it in the extra pass, and of a part the last key that fits and one more, or runs of keys."""
     wanted = targets(sizes, weights)
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     wanted = wanted.withColumn("passes", passes).withColumn("rest", F.col("target") - passes * F.col("source_size"))
@@ -85,15 +117,29 @@ def _blocks(sizes: DataFrame, weights: tuple[int, ...], block_words: int) -> Dat
     inside = inside.withColumn("upto", F.sum("size").over(whole.orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)))
     inside = inside.withColumn("fits", F.col("upto") <= F.col("need"))
     inside = inside.withColumn("left", F.col("need") - F.coalesce(F.max(F.when(F.col("fits"), F.col("upto"))).over(whole), F.lit(0)))
+    if skip:
+        inside = inside.withColumn("w", F.sum("size").over(Window.partitionBy("source", "block", "key")))  # equal keys are drawn together
     off = F.abs(F.col("size") - F.col("left"))
     last = inside.groupBy("source", "block").agg(
         F.max(F.when(F.col("fits"), F.col("key"))).alias("last_key"),
         F.min(F.when(~F.col("fits") & (off < F.col("left")), F.struct(off.alias("off"), "key"))).alias("one"),
-    ).select(F.col("source").alias("name"), F.col("block").alias("in_block"), "last_key", F.col("one.key").alias("one_key"))
+        *([F.first("need").alias("need"), F.array_sort(F.collect_set(F.when(F.col("w") > 0, F.struct("key", "w")))).alias("groups")] if skip else []),
+    ).withColumn("one_key", F.col("one.key"))
+    last = _runs(last) if skip else last.withColumn("runs", F.lit(None).cast(RUN))
+    last = last.select(F.col("source").alias("name"), F.col("block").alias("in_block"), "last_key", "one_key", "runs")
     same = F.col("source").eqNullSafe(F.col("name")) & (F.col("block") == F.col("in_block"))
     return blocks.join(last, same, "left").drop("name", "in_block")
 
 
+def _runs(last: DataFrame) -> DataFrame:
+    """last with runs: the keys that are drawn with documents skipped, where that is needed and comes nearer; null elsewhere."""
+    fitting = lambda g: F.coalesce(g["key"] <= F.col("last_key"), F.lit(False)) | F.coalesce(g["key"] == F.col("one_key"), F.lit(False))
+    missed = F.abs(F.col("need") - F.aggregate("groups", F.lit(0).cast("bigint"), lambda a, g: a + F.when(fitting(g), g["w"]).otherwise(0)))
+    last = last.withColumn("missed", missed).withColumn("least", F.array_min(F.transform("groups", lambda g: g["w"])))
+    last = last.withColumn("skipping", F.when(F.col("missed") >= F.col("least"), _skipping(F.col("groups"), F.col("need"))))
+    return last.withColumn("runs", F.when(F.col("skipping.missed") < F.col("missed"), F.col("skipping.runs")))
+
+
 def _hypergeometric(total: Column, good: Column, taken: Column, u: Column) -> Column:
     """The number of good ones among `taken` of `total`, by inversion at u in [0, 1): weights around the mean, in logarithms."""
     mean = taken * good / total
@@ -173,10 +219,13 @@ def shard_levels(words: int) -> int:
     return max(SHARD_LEVELS, math.ceil(math.log2(max(1, words) / SHARD_WORDS)))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, levels: int | None = None, block_words: int = BLOCK_WORDS, text: str = "text", source: str = "source") -> DataFrame:
-    """docs with size, source_size, target and draws: an array of (pass, shard), a row's place in the mix for each time it is drawn."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, levels: int | None = None, block_words: int = BLOCK_WORDS, text: str = "text", source: str = "source", skip: bool = True) -> DataFrame:
+    """docs with size, source_size, target and draws: an array of (pass, shard), a row's place in the mix for each time it is drawn.
+
+    skip: documents that do not fit are skipped as in step 2; without, the cut block ends as the SQL of op8 states.
+    """
     sizes = saved(docs.select(F.col("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sizes")
-    blocks = saved(_blocks(sizes, weights, block_words), "blocks")
+    blocks = saved(_blocks(sizes, weights, block_words, skip), "blocks")
     quota = F.sum(F.col("passes") + F.when(F.col("drawn") == "none", 0).otherwise(1))
     quotas = blocks.groupBy("source").agg(quota.alias("quota")).withColumn("source_no", F.row_number().over(Window.orderBy(F.isnull("source"), "source")))
     if levels is None:
@@ -191,12 +240,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, levels: int | None
     plan = blocks.join(units, F.col("source").eqNullSafe(F.col("u_source")) & (F.col("block") == F.col("u_block")), "left")
     per_source = blocks.groupBy("source").agg(F.max("source_size").alias("_words"))
     counts = per_source.select(F.col("source").alias("_s"), F.greatest(F.lit(1), F.ceil(F.col("_words") / block_words)).cast("bigint").alias("_blocks"))
-    plan = plan.select(*(F.col(c).alias(f"_p_{c}") for c in ("source", "block", "source_size", "target", "passes", "drawn", "last_key", "one_key", "units")))
+    plan = plan.select(*(F.col(c).alias(f"_p_{c}") for c in ("source", "block", "source_size", "target", "passes", "drawn", "last_key", "one_key", "runs", "units")))
     rows = docs.withColumn("_size", word_count(F.col(text)))
     rows = rows.withColumn("_key", _hash(F.lit("doc"), F.col("doc_id"), F.col("_size")))
     rows = rows.join(counts, F.col(source).eqNullSafe(F.col("_s"))).withColumn("_block", _number(F.col("_key"), 12) % F.col("_blocks"))
     rows = rows.join(plan, F.col(source).eqNullSafe(F.col("_p_source")) & (F.col("_block") == F.col("_p_block")))
-    extra = (F.col("_p_drawn") == "whole") | ((F.col("_p_drawn") == "part") & (F.coalesce(F.col("_key") <= F.col("_p_last_key"), F.lit(False)) | F.coalesce(F.col("_key") == F.col("_p_one_key"), F.lit(False))))
+    fitting = F.coalesce(F.col("_key") <= F.col("_p_last_key"), F.lit(False)) | F.coalesce(F.col("_key") == F.col("_p_one_key"), F.lit(False))
+    extra = (F.col("_p_drawn") == "whole") | ((F.col("_p_drawn") == "part") & F.coalesce(_within(F.col("_key"), F.col("_p_runs")), fitting))
     draws = F.filter(F.coalesce("_p_units", F.array().cast("array<struct<pass:int,shard:int>>")), lambda x: (x["pass"] < F.col("_p_passes")) | extra)
     kept = [F.col(c) for c in docs.columns if c not in ("size", "source_size", "target", "draws")]
     return rows.select(*kept, F.col("_size").alias("size"), F.col("_p_source_size").alias("source_size"), F.col("_p_target").alias("target"), draws.alias("draws"))

@@ -66,7 +66,8 @@ def model_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    rows = mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    # The query's SQL ends the cut block at the first document that does not fit; the pipeline skips it.
+    rows = mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text"), skip=False)
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
 
 
