@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 SPACES = r"\x20\x09-\x0D"
 
 QUALITY_RULES = rf"""
@@ -133,9 +135,93 @@ from d left join g using (r)
 """
 
 
+HARD_NEGATIVES = """
+with e as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * x::double) for x in embedding] as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select a.r, a.vec_id as anchor_id, b.vec_id as id, a.label is not distinct from b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from e a join e b on a.r <> b.r where a.vec_id % 50 = 0
+),
+p as (select * from s where same qualify row_number() over (partition by r order by score desc, id) <= 5),
+n as (
+  select p.anchor_id, p.id as positive_id, p.score as positive_score, s.id as negative_id, s.score as negative_score,
+    row_number() over (partition by p.r, p.id order by s.score desc, s.id)::int as rank
+  from p join s on s.r = p.r and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 3
+"""
+
+
+# All pairs of different sets that share a shingle, then the least id that links reach.
+MINHASH = rf"""
+with recursive w as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^{SPACES}]+') as ws from documents
+),
+s as (
+  select r, doc_id, case when len(ws) = 0 then [] when len(ws) < 3 then [array_to_string(ws, ' ')]
+    else list_sort(list_distinct([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] for i in range(1, len(ws) - 1)])) end as sh
+  from w
+),
+k as (select sh, len(sh)::bigint as n, row_number() over () as node, min(doc_id) as first from s group by sh),
+e as materialized (select node, unnest(sh) as g from k),
+p as (select a.node as x, b.node as y, count(*) as common from e a join e b on a.g = b.g and a.node < b.node group by a.node, b.node),
+l as materialized (
+  select x, y from p join k a on a.node = x join k b on b.node = y where 100 * common >= 85 * (a.n + b.n - common)
+),
+u as (select x, y from l union all select y, x from l),
+c(node, root) as (select node, node from k union select u.y, c.root from c join u on u.x = c.node),
+i as (select c.node, min(k.first) as least from c join k on k.node = c.root group by c.node),
+f as (select s.doc_id, k.n as n_shingles, case when k.n = 0 then s.doc_id else i.least end as component_id from s join k on k.sh = s.sh join i on i.node = k.node)
+select *, doc_id is not distinct from component_id as kept from f
+"""
+
+
+def merkle_manifest(below: int = 7, above: int = 3) -> str:
+    """The manifest for trees of up to 8**below leaves and up to 8**above trees: a step per level, window by window."""
+
+    def step(k: int, tree: str) -> str:
+        run = f"partition by {tree}, pos // 8 order by pos rows between"
+        # A node's run, the others of it on both sides, and what it folds to; a tree of one node stays as it is.
+        return f"""
+g{k} as (select *, count(*) over (partition by {tree}) as n,
+    coalesce(string_agg(node, '') over ({run} unbounded preceding and 1 preceding), '') as lhs,
+    coalesce(string_agg(node, '') over ({run} 1 following and unbounded following), '') as rhs from n{k}),
+h{k} as (select *, case when n = 1 then node else sha256(lhs || node || rhs) end as up from g{k}),
+n{k + 1} as (select {tree}, pos // 8 as pos, any_value(up) as node from h{k} group by {tree}, pos // 8),"""
+
+    def climb(k: int, start: str, tree: str) -> str:
+        return f"""
+{start} as (select p.* exclude (spot, proof, folded), p.spot // 8 as spot, p.proof || case when h.n = 1 then '' else h.lhs || h.rhs end as proof,
+    case when h.n = 1 then p.folded else sha256(h.lhs || p.folded || h.rhs) end as folded
+  from p{k} p join h{k} h on h.{tree} is not distinct from p.{tree} and h.pos = p.spot),"""
+
+    field = "coalesce(octet_length(encode({0}::varchar)) || ':' || {0}, '-')".format
+    fields = " || ".join(map(field, ("doc_id", "source", "lang", "n_chars")))
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = f"xor(list_reduce(list_prepend(4294967295, [ascii(x)::bigint for x in string_split(doc_id::varchar, '')]), lambda c, b: {byte}), 4294967295)"
+    return f"""
+with d as (select doc_id, lang, sha256({fields} || {field("text")}) as leaf,
+    sha256({fields} || {field("lowered")}) as low from (select *, translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}') as lowered from documents)),
+l as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as spot from d),
+n0 as (select lang, spot as pos, leaf as node from l),{"".join(step(k, "lang") for k in range(below))}
+s as (select lang, node as subroot, row_number() over (order by lang is not null, encode(lang)) - 1 as pos from n{below}),
+n{below + 1} as (select 1 as one, pos, subroot as node from s),{"".join(step(k, "one") for k in range(below + 1, below + 1 + above))}
+r as (select node as root from n{below + 1 + above}),
+p0 as (select doc_id, lang, 1 as one, leaf, spot, '' as proof, case when {crc} % 3 = 0 then low else leaf end as folded from l),{"".join(climb(k, f"p{k + 1}", "lang") for k in range(below))}
+p{below + 1} as (select p.* exclude (spot), s.subroot, s.pos as spot from p{below} p join s on s.lang is not distinct from p.lang),{"".join(climb(k, f"p{k + 1}", "one") for k in range(below + 1, below + 1 + above))}
+z as (select 1)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, folded as folded_root, folded = root as verified from p{below + 1 + above}, r
+"""
+
+
 ORACLES: dict[str, str] = {
     "op3_quality_rules": QUALITY_RULES,
     "op6_warc": WARC,
     "op8_mix_sources": MIX_SOURCES,
     "op10_personal_data": personal_data(),
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_minhash": MINHASH,
+    "op13_merkle_manifest": merkle_manifest(),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import uuid
 from collections.abc import Callable
 
@@ -9,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pcmarts.llm import bpe, ctw, htmltext, mixing, pii, quality, rules, simhash, sketch, warc
+from pcmarts.llm import bpe, ctw, htmltext, merkle, minhash, mixing, negatives, pii, quality, rules, simhash, sketch, warc
 from pcmarts.llm.common import shared_folder, table
 from pcmarts.llm.oracles import ORACLES
 
@@ -81,6 +82,26 @@ def _count(kind: str) -> Column:
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("id") % 50 == 0)
+
+
+def minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf(*fields, lowered))
+    rows = merkle.manifest(docs, F.col("doc_id"), F.col("lang"), merkle.leaf(*fields, F.col("text")), tampered)
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return rows.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", verified)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": main_text,
     "op2_fingerprints": fingerprints,
@@ -92,4 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": mix_sources,
     "op9_ctw": model_scores,
     "op10_personal_data": personal_data,
+    "op11_hard_negatives": hard_negatives,
+    "op12_minhash": minhash_dedup,
+    "op13_merkle_manifest": merkle_manifest,
 }
