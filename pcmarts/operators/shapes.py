@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIST = 4096  # right rows that travel as one value
+GRAM = 3  # characters of the substrings by which names are found
+FLAGS = 1 << 14  # flags of the substrings that names have
 
 
 def stack(*parts: DataFrame) -> DataFrame:
@@ -33,33 +35,47 @@ def with_every(left: DataFrame, right: DataFrame) -> DataFrame:
     return spread.join(listed, "_list").select(*left.columns, F.inline("_rows"))
 
 
-def _pieces(text: Column, lengths: Column) -> Column:
-    """Distinct substrings of the text that have one of the given lengths."""
-    fitting = F.filter(lengths, lambda n: n <= F.length(text))
-    cut = F.transform(
-        fitting,
-        lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n)),
-    )
-    return F.array_distinct(F.flatten(cut))
+def _grams(text: Column, size: int) -> Column:
+    """The text's substrings of `size` characters, in one pass: a position after the other, found by looking ahead."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
-def _mention_of(left: DataFrame, text: str, names: DataFrame, needle: str) -> DataFrame:
-    lengths = names.agg(F.collect_set(F.length(needle)).alias("n"))  # as many as distinct lengths
-    cut = left.withColumn("_lengths", lengths.scalar())
-    pieces = cut.select(*left.columns, F.explode_outer(_pieces(F.col(text), F.col("_lengths"))).alias("_piece"))
-    return pieces.join(names, F.col("_piece") == F.col(needle)).drop("_piece")
+def _flag(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(FLAGS)).cast("int")
+
+
+def _by_rarest_gram(names: DataFrame, first: str, second: str) -> DataFrame:
+    """(first, second, needle, gram): for either string of a name the gram that the fewest names have.
+
+    A string of up to GRAM characters is its own gram, the empty one too.
+    """
+    needles = F.array(*[F.struct(F.lit(k).alias("needle"), F.col(c).alias("string")) for k, c in enumerate((first, second))])
+    each = names.select(first, second).distinct().select(first, second, F.inline(needles)).where(F.col("string").isNotNull())
+    grams = F.when(F.length("string") > GRAM, F.array_distinct(_grams(F.col("string"), GRAM))).otherwise(F.array("string"))
+    each = each.select(first, second, "needle", F.explode(grams).alias("gram"))
+    common = each.groupBy("gram").agg(F.count(F.lit(1)).alias("_names"))
+    rarest = F.min(F.struct("_names", "gram"))["gram"]
+    return each.join(common, "gram").groupBy(first, second, "needle").agg(rarest.alias("_gram"))
 
 
 def mentions(left: DataFrame, text: str, names: DataFrame, first: str, second: str) -> DataFrame:
     """Left rows with each name row whose ``first`` or ``second`` string occurs in the text.
 
-    Texts are matched, not rows: each distinct text is cut into its substrings of the lengths that
-    occur among the names and matched by equality, once on ``first``, once on ``second`` for the
-    pairs the first pass did not yield. A stream's rows are matched one by one, as they come.
+    Texts are matched, not rows. A text's distinct substrings of one to GRAM characters (as many as it is long, whatever the
+    names) meet the names by their rarest gram, and ``contains`` decides. Before they are unfolded, substrings are held against
+    FLAGS flags of the names' grams, so that a long text is not copied for each of its substrings. A stream's rows are
+    matched one by one, as they come.
     """
+    index = _by_rarest_gram(names, first, second)
+    used = index.agg(F.collect_set(_flag(F.col("_gram"))).alias("used"))  # FLAGS numbers at most
+    flags = used.select(F.transform(F.sequence(F.lit(0), F.lit(FLAGS - 1)), lambda k: F.array_contains("used", k)).alias("flags")).scalar()
     texts = left if left.isStreaming else left.select(text).distinct()
-    has_first = F.col(text).contains(F.col(first))
-    by_first = _mention_of(texts, text, names, first)
-    by_second = _mention_of(texts, text, names, second).filter(~F.coalesce(has_first, F.lit(False)))
-    hits = by_first.unionByName(by_second)
+    of_text = F.array_distinct(F.concat(F.array(F.lit("")), *[_grams(F.col(text), n) for n in range(1, GRAM + 1)]))
+    texts = texts.withColumn("_flags", flags)
+    met = texts.select(*left.columns if left.isStreaming else [text], F.explode(F.filter(of_text, lambda g: F.get("_flags", _flag(g)))).alias("_piece"))
+    has_first, has_second = (F.coalesce(F.col(text).contains(F.col(c)), F.lit(False)) for c in (first, second))
+    hits = met.join(index, F.col("_piece") == F.col("_gram")).where(F.when(F.col("needle") == 0, has_first).otherwise(has_second & ~has_first))
+    hits = hits.drop("_piece", "_gram", "needle").withColumnsRenamed({first: "_first", second: "_second"})
+    same = F.col("_first").eqNullSafe(F.col(first)) & F.col("_second").eqNullSafe(F.col(second))
+    hits = hits.join(names, same).drop("_first", "_second")
     return hits if left.isStreaming else left.join(hits, text)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pcmarts.functions.money import billions, rounded
+from pcmarts.operators.jobs import side_by_side
 from pcmarts.operators.shapes import stack
 from pcmarts.plans import gold
 from pcmarts.plans.registry import high, low, query, top
@@ -99,16 +101,17 @@ SECTIONS: dict[str, Callable[[Workspace], DataFrame]] = {
 def write_report(
     ws: Workspace, folder: str, sections: dict[str, Callable[[Workspace], DataFrame]] | None = None
 ) -> DataFrame:
-    """Write every section as a table under the folder; a section that fails is reported, not raised.
+    """Write every section as a table under the folder, side by side; a section that fails is reported, not raised.
 
     Returns (section, status, rows, message). The row count is observed while the section is written.
     """
-    log = []
-    for name, build in (sections or SECTIONS).items():
+    def write(name: str, build: Callable[[Workspace], DataFrame]) -> tuple:
         seen = Observation(f"report_{name}")
         try:
             build(ws).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{folder}/{name}")
-            log.append((name, "ok", int(seen.get["n"]), None))
+            return name, "ok", int(seen.get["n"]), None
         except Exception as problem:  # noqa: BLE001  (any failure of one section must not stop the report)
-            log.append((name, "failed", 0, str(problem).splitlines()[0][:500]))
+            return name, "failed", 0, str(problem).splitlines()[0]
+
+    log = list(side_by_side({name: partial(write, name, build) for name, build in (sections or SECTIONS).items()}).values())
     return ws.spark.createDataFrame(log, "section string, status string, rows bigint, message string")

@@ -16,7 +16,7 @@ from pcmarts.plans.registry import query
 from pcmarts.sources import payloads
 from pcmarts.sources.landing import land, landed, list_landing
 from pcmarts.sources.schemas import FEEDS
-from pcmarts.sources.tables import copy_tables, create_empty_like, overwrite, scratch
+from pcmarts.sources.tables import copy_tables, create_empty_like, overwrite, scratch, table_path
 from pcmarts.streaming import feeds as streams
 from pcmarts.workspace import Workspace
 
@@ -238,7 +238,7 @@ def rewritten_book(ws: Workspace) -> DataFrame:
     path = scratch(ws.spark, "overwrite")
     overwrite(ws.table("claims_summary"), path)
     overwrite(ws.table("book_health"), path)
-    return ws.spark.read.parquet(path)
+    return ws.spark.read.parquet(table_path(ws.spark, path))
 
 
 @query("snk_ctas_copy")
@@ -295,21 +295,26 @@ def streamed_ingest(ws: Workspace) -> DataFrame:
     number = F.coalesce(F.col("alert_id").cast("bigint"), F.lit(0))
     for stamp, part in (("20240101T000000Z", number % 4 != 0), ("20240101T010000Z", number % 4 < 2)):
         land(deliveries.filter(part), root, "noaa_alerts", stamp)
-        target = streams.ingest_feed(ws.spark, root, "noaa_alerts")
+        target = streams.ingest_feed(ws.spark, root, "noaa_alerts", archive=f"{root}/archive")
     return ws.spark.read.parquet(target)
 
 
 @query("stm_alert_exposure")
 def streamed_exposure(ws: Workspace) -> DataFrame:
-    """Stream of alerts against the static exposure per state."""
-    return _drained(ws, "exposure", gold.alert_exposure(ws, streaming(ws).table("noaa_alerts")))
+    """Stream of alerts against the exposure per state as it stands when a batch comes."""
+    root = scratch(ws.spark, "exposure")
+
+    def exposed(batch: DataFrame) -> DataFrame:
+        return gold.alert_exposure(ws.reopened(), batch)
+
+    return streams.drain_with(streaming(ws).table("noaa_alerts"), exposed, f"{root}/out", f"{root}/checkpoint")
 
 
 @query("stm_alerts_hourly")
 def streamed_hours(ws: Workspace) -> DataFrame:
     root = scratch(ws.spark, "hourly")
     hours = streams.hourly_alerts(streaming(ws).table("noaa_alerts"))
-    return streams.drain_by_key(hours, ("hour_start", "severity"), f"{root}/out", f"{root}/checkpoint")
+    return streams.drain_by_key(hours, ("hour_start", "severity"), F.col("hour_start"), f"{root}/out", f"{root}/checkpoint")
 
 
 @query("stm_dedupe")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pcmarts.functions.dates import month_of
 from pcmarts.functions.money import CENTS, RATE, mean, peak, ratio, total
+from pcmarts.operators import ranks
 from pcmarts.operators.shapes import mentions, stack, with_every
 from pcmarts.workspace import Workspace, table
 
@@ -420,25 +421,17 @@ def book_health(ws: Workspace) -> DataFrame:
     )
 
 
-def percentile(claims: DataFrame, key: str, amount: str, share: int) -> DataFrame:
+def percentile(ws: Workspace, name: str, claims: DataFrame, key: str, amount: str, share: int) -> DataFrame:
     """(key, percentile): the least amount that at least `share` percent of a key's amounts do not exceed. Exact.
 
-    Amounts are counted per key and cent, with partial counts, so a hot key is many groups. The rank is then narrowed in three
-    steps of 21 bits: buckets of a key are counted, the one that holds the rank is kept, and its cents go on. No step has more
-    than 2 ** 21 buckets a key, and the counted cents are shuffled once.
+    Amounts are counted per key and cent, with partial counts, so a hot amount is one row. The counts are dealt by range over key
+    and cent, once, into a table of the workspace (``name``); a hot key is many ranges, and only the one with its rank is read again.
     """
     cents = claims.where(F.col(amount).isNotNull()).select(key, (F.col(amount).cast(CENTS) * 100).cast("bigint").alias("cents"))
     cells = cents.groupBy(key, "cents").agg(F.count(F.lit(1)).alias("n"))
-    found = cells.groupBy(key).agg(F.ceil(F.sum("n") * F.lit(share) / F.lit(100)).alias("rank")).withColumnRenamed(key, "_key")
-    narrowed = cells.join(found, F.col(key).eqNullSafe(F.col("_key")))
-    for bits in (42, 21, 0):
-        bucket = F.shiftright("cents", bits)
-        sums = narrowed.groupBy(F.col("_key").alias("k"), bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.max("rank").alias("rank"))
-        upto = F.sum("n").over(Window.partitionBy("k").orderBy("bucket"))
-        step = sums.withColumn("upto", upto).where("upto >= rank and upto - n < rank").select("k", "bucket", (F.col("rank") - F.col("upto") + F.col("n")).alias("left"))
-        narrowed = narrowed.join(step, F.col("_key").eqNullSafe(F.col("k")) & (bucket == F.col("bucket")))
-        narrowed = narrowed.select("_key", "cents", "n", F.col("left").alias("rank"))
-    return narrowed.groupBy(F.col("_key").alias(key)).agg((F.min("cents").cast(CENTS) / 100).cast(CENTS).cast("double").alias("percentile"))
+    ranged = ws.staged(name, lambda folder: ranks.dealt(cells, folder, key, "cents"))
+    found = ranks.at_share(ranged, key, "cents", F.col("n"), share)
+    return found.select(key, (F.col("cents").cast(CENTS) / 100).cast(CENTS).cast("double").alias("percentile"))
 
 
 @table("peril_loss_summary", "gold", ["fact_claim"])
@@ -446,7 +439,7 @@ def peril_loss_summary(ws: Workspace) -> DataFrame:
     """Peril: frequency, severity with its 95th percentile, catastrophe share."""
     loss = "incurred_amount_usd"
     claims = ws.table("fact_claim").select("peril", loss, "is_cat", "line_of_business")
-    high = percentile(claims, "peril", loss, 95).select(F.col("peril").alias("_peril"), F.col("percentile").alias("p95_severity_usd"))
+    high = percentile(ws, "peril_loss_summary", claims, "peril", loss, 95).select(F.col("peril").alias("_peril"), F.col("percentile").alias("p95_severity_usd"))
     sums = claims.groupBy("peril").agg(
         F.count(F.lit(1)).alias("claim_count"),
         total(loss).alias("total_incurred_usd"),

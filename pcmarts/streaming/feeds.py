@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pcmarts.operators.ingest import merge_new
 from pcmarts.sources.landing import feed_folder
 from pcmarts.sources.schemas import FEEDS, SCHEMAS
-from pcmarts.sources.tables import current, publish
+from pcmarts.sources.tables import children, read_parts, upsert_parts
 
 
-def ingest_feed(spark: SparkSession, root: str, feed: str, schema=None, files_per_batch: int | None = None) -> str:
+def ingest_feed(spark: SparkSession, root: str, feed: str, schema=None, files_per_batch: int | None = None, archive: str | None = None) -> str:
     """Read the files that landed since the last run and append their unseen rows.
 
     The checkpoint remembers the files, so each is read once. A batch that is replayed after a
     failure appends nothing twice, because the merge looks at the keys the table already holds.
-    Returns the table path.
+    With a folder ``archive`` the files of finished batches move there, below their old path, so that a run
+    lists what landed lately and not every file there ever was. Returns the table path.
     """
     table, key = FEEDS[feed]
     target, rejected = f"{root}/bronze/{table}", f"{root}/rejected/{table}"
@@ -28,6 +31,8 @@ def ingest_feed(spark: SparkSession, root: str, feed: str, schema=None, files_pe
     reader = spark.readStream.schema(schema or SCHEMAS[table]).option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     query = (
         reader.parquet(feed_folder(root, feed)).writeStream
         .foreachBatch(merge)
@@ -64,23 +69,36 @@ def drain(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
-def drain_by_key(df: DataFrame, keys: tuple[str, ...], path: str, checkpoint: str) -> DataFrame:
+def drain_with(df: DataFrame, join: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> DataFrame:
+    """Run a stream over everything that is available now through ``join`` into a Parquet table; return the table.
+
+    ``join`` is called for every micro-batch, so the tables that it opens beside the batch are looked up each time and
+    a refresh between two batches shows in the second. A batch is a folder of its own that a replay overwrites.
+    """
+    spark = df.sparkSession
+
+    def append(batch: DataFrame, number: int) -> None:
+        join(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    if not children(spark, path):
+        return join(spark.createDataFrame([], df.schema)).limit(0)
+    return spark.read.option("basePath", path).parquet(path).drop("batch")
+
+
+def drain_by_key(df: DataFrame, keys: tuple[str, ...], day: Column, path: str, checkpoint: str) -> DataFrame:
     """Run an aggregating stream over everything that is available now; return the table of its groups as they stand.
 
     Every batch brings the groups it changed, also those the watermark has not closed. They replace the rows of the same
-    keys in a new version of the table, so a replayed batch changes nothing and readers always see a whole version.
+    keys in the table, a part per `day`: only the days of the batch are written anew. A replayed batch changes nothing and
+    readers always see a whole version.
     """
     schema = df.schema
 
     def upsert(batch: DataFrame, _: int) -> None:
-        changed = batch.select(*[F.col(c).alias(f"_{c}") for c in keys])
-        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-        try:
-            held = batch.sparkSession.read.schema(schema).parquet(current(batch.sparkSession, path))
-        except FileNotFoundError:
-            held = batch.sparkSession.createDataFrame([], schema)
-        publish(held.join(changed, same, "left_anti").unionByName(batch), path)
+        upsert_parts(batch, path, keys, day)
 
     query = df.writeStream.foreachBatch(upsert).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return df.sparkSession.read.schema(schema).parquet(current(df.sparkSession, path))
+    return read_parts(df.sparkSession, path, schema)

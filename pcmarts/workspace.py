@@ -12,10 +12,12 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from pcmarts.sources.tables import current, publish
+from pcmarts.operators.jobs import side_by_side
+from pcmarts.sources.tables import current, new_version, publish, remove, scratch, versions
 
 CATALOG: dict[str, "TableDef"] = {}
 
@@ -72,6 +74,7 @@ class Workspace:
     as_of: date = field(default_factory=date.today)
     root: str | None = None
     _memo: dict[str, DataFrame] = field(default_factory=dict)
+    _staged: dict[str, list[str]] = field(default_factory=dict)
 
     def __post_init__(self):
         import pcmarts.plans  # noqa: F401  (fills the catalog)
@@ -89,6 +92,26 @@ class Workspace:
             self._memo[name] = CATALOG[name].build(self)
         return self._memo[name]
 
+    def staged(self, name: str, write: Callable[[str], DataFrame]) -> DataFrame:
+        """What the plan of the named table needs written once; ``write`` fills a fresh scratch folder and reads it back.
+
+        The folder is removed when ``refresh`` has published the table, else by ``close``.
+        """
+        key = f"staged.{name}"
+        if key not in self._memo:
+            folder = scratch(self.spark, name)
+            self._staged.setdefault(name, []).append(folder)
+            self._memo[key] = write(folder)
+        return self._memo[key]
+
+    def close(self) -> None:
+        """Remove the scratch folders of this workspace. Plans of tables that read them cannot be run any more."""
+        for name, folders in self._staged.items():
+            for folder in folders:
+                remove(self.spark, folder)
+            self.forget([name])
+        self._staged.clear()
+
     def path(self, name: str) -> str:
         if not self.root:
             raise ValueError("this workspace has no root folder to write to")
@@ -97,7 +120,7 @@ class Workspace:
     def refresh(
         self, names: Iterable[str] | None = None, partition_by: dict | None = None, upstream: bool = True
     ) -> list[str]:
-        """Write tables and everything they need, in dependency order; return what was written.
+        """Write tables and everything they need, in dependency order, tables of one level side by side; return what was written.
 
         A table is written as a new version beside the ones before, which stay readable; readers take
         the newest version that is complete, so a failed write changes nothing. The versions before
@@ -114,13 +137,21 @@ class Workspace:
             order = [n for n in order if n in names]
         self.forget(order)
         run, counts = uuid.uuid4().hex, []
-        for name in order:
-            made, seen = CATALOG[name], Observation(f"rules_{name}")
-            df = self._memo[name] = made.counted(self, seen) if made.counted else self.table(name)
-            self._memo[name] = self.spark.read.parquet(publish(df, self.path(name), (partition_by or {}).get(name, ())))
-            if made.counted:
-                failed = {k.removesuffix("__failed"): n for k, n in seen.get.items() if k.endswith("__failed")}
-                counts += [(run, name, rule, seen.get["rows"] - n, n) for rule, n in failed.items()]
+        for level in levels(order):
+            frames = {}
+            for name in level:  # plans are built one after the other, written side by side
+                made, seen = CATALOG[name], Observation(f"rules_{name}")
+                frames[name] = (made.counted(self, seen) if made.counted else self.table(name), seen)
+                self._memo[name] = frames[name][0]
+            paths = side_by_side({n: partial(publish, df, self.path(n), (partition_by or {}).get(n, ())) for n, (df, _) in frames.items()})
+            for name, (_, seen) in frames.items():
+                self._memo[name] = self.spark.read.parquet(paths[name])
+                if f"staged.{name}" in self._memo:  # written in this run, and read for the last time
+                    del self._memo[f"staged.{name}"]
+                    remove(self.spark, self._staged[name].pop())
+                if CATALOG[name].counted:
+                    failed = {k.removesuffix("__failed"): n for k, n in seen.get.items() if k.endswith("__failed")}
+                    counts += [(run, name, rule, seen.get["rows"] - n, n) for rule, n in failed.items()]
         if counts:
             rows = self.spark.createDataFrame(counts, RULE_COUNTS)
             rows.coalesce(1).write.mode("append").parquet(f"{self.root.rstrip('/')}/rule_counts")
@@ -130,24 +161,62 @@ class Workspace:
         """Drop the plans of the named tables and of all that read them: they are built anew when asked for."""
         for name in downstream(names):
             self._memo.pop(name, None)
+            self._memo.pop(f"staged.{name}", None)
 
     def refresh_bucketed(self, buckets: int, names: Iterable[str] = POLICY_KEYED, key: str = "policy_id") -> list[str]:
-        """Write tables as catalog tables hashed and sorted by one key.
+        """Write tables as catalog tables hashed and sorted by one key, behind the views ``pcmarts_<name>``.
 
-        Joins and groupings on the key then read matching buckets side by side: the shuffle is paid
-        once at write time instead of in every mart.
+        Joins and groupings on the key then read matching buckets side by side: the shuffle is paid once at write time instead
+        of in every mart. Each call builds the tables from their inputs, writes new versions beside the last, and turns the views
+        to them when all are written: open readers finish, and a failure leaves everything as it was. The versions before the last go.
         """
-        names = list(names)
-        frames = {name: self.table(name) for name in names}
-        self.forget(names)
+        names, before = list(names), dict(self._memo)
+        self.forget(names)  # plans that read what an earlier call wrote
+        version = new_version().split("=")[1].replace("-", "_")
+        tables = {name: f"pcmarts_{name}_v{version}" for name in names}
+
+        def write(name: str, df: DataFrame) -> None:
+            bucketed = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+            bucketed.option("path", f"{self.path(name)}_bucketed/version={version}").saveAsTable(tables[name])
+
+        try:
+            side_by_side({name: partial(write, name, self.table(name)) for name in names})
+        except Exception:
+            self._memo = before
+            for name in names:
+                self._drop_bucketed(name, tables[name])
+            raise
         for name in names:
-            (
-                frames[name].repartition(buckets, key).write.mode("overwrite").format("parquet")
-                .bucketBy(buckets, key).sortBy(key).option("path", f"{self.path(name)}_bucketed").saveAsTable(f"pcmarts_{name}")
-            )
-            self._memo[name] = self.spark.table(f"pcmarts_{name}")
+            view = f"pcmarts_{name}"
+            if self.spark.catalog.tableExists(view) and self.spark.catalog.getTable(view).tableType != "VIEW":
+                self.spark.sql(f"ALTER TABLE {view} RENAME TO {view}_v0")  # written before there were versions
+            self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {tables[name]}")
+            self._memo[name] = self.spark.table(view)
+            for old in self._bucketed(name)[:-2]:
+                self._drop_bucketed(name, old)
         return names
 
+    def _bucketed(self, name: str) -> list[str]:
+        """The versions of a bucketed table, oldest first."""
+        return sorted(t.name for t in self.spark.catalog.listTables(pattern=f"pcmarts_{name}_v*"))
+
+    def _drop_bucketed(self, name: str, version: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {version}")
+        remove(self.spark, f"{self.path(name)}_bucketed/version={version.rsplit('_v', 1)[1]}")
+
+    def drop_bucketed(self, names: Iterable[str] = POLICY_KEYED) -> None:
+        """Drop the views of bucketed tables and all their versions."""
+        self.forget(names)
+        for name in names:
+            self.spark.sql(f"DROP VIEW IF EXISTS pcmarts_{name}")
+            for version in self._bucketed(name):
+                self._drop_bucketed(name, version)
+
+    def reopened(self) -> "Workspace":
+        """The same workspace as it stands now: tables that have been refreshed are read at their newest version, others built anew."""
+        other = Workspace(self.spark, self.bronze_reader, self.as_of, self.root)
+        return other.attach([n for n in CATALOG if versions(self.spark, self.path(n))] if self.root else [])
+
     def attach(self, names: Iterable[str]) -> "Workspace":
         """Read the named tables from the root folder instead of computing them."""
         for name in names:
@@ -171,6 +240,14 @@ def build_order(names: Iterable[str]) -> list[str]:
     return done
 
 
+def levels(order: list[str]) -> list[list[str]]:
+    """Names in build order, in groups: none needs another of its group or of a later one."""
+    depth: dict[str, int] = {}
+    for name in order:
+        depth[name] = 1 + max((depth.get(parent, 0) for parent in CATALOG[name].needs), default=0)
+    return [[n for n in order if depth[n] == d] for d in sorted(set(depth.values()))]
+
+
 def downstream(names: Iterable[str]) -> list[str]:
     """Every registered table that reads one of the names, directly or not, in build order."""
     hit = set(names)

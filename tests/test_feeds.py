@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,10 @@ from pyspark.sql import functions as F
 from pcmarts.sources import payloads
 from pcmarts.sources.landing import feed_folder, land, landed, list_landing, run_stamp
 from pcmarts.sources.schemas import RAW_PAYLOAD, SCHEMAS
-from pcmarts.sources.tables import Layers, ParquetBronze, copy_tables, create_empty_like, drop_source_schema, overwrite
+from pcmarts.plans import gold
+from pcmarts.sources.tables import (
+    Layers, ParquetBronze, copy_tables, create_empty_like, drop_source_schema, overwrite, publish, read_parts, table_path, upsert_parts,
+)
 from pcmarts.streaming import feeds as streams
 
 
@@ -162,13 +166,68 @@ def test_hourly_counts_drop_late_rows(spark, rows, tmp_path):
 
 def test_hours_inside_the_watermark_are_published(spark, rows, tmp_path):
     path = str(tmp_path / "in")
-    query = lambda: streams.drain_by_key(streams.hourly_alerts(source(spark, path)), ("hour_start", "severity"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    query = lambda: streams.drain_by_key(streams.hourly_alerts(source(spark, path)), ("hour_start", "severity"), F.col("hour_start"), str(tmp_path / "out"), str(tmp_path / "cp"))
     timed(spark, path, "1", ("a", "2024-01-01 00:10:00"), ("b", "2024-01-01 05:00:00"))
     assert rows(query().select(F.date_format("hour_start", "HH"), "alerts")) == [("00", 1), ("05", 1)]
     timed(spark, path, "2", ("c", "2024-01-01 05:30:00"), ("d", "2024-01-01 09:30:00"))
     assert rows(query().select(F.date_format("hour_start", "HH"), "alerts")) == [("00", 1), ("05", 2), ("09", 1)]
 
 
+def test_a_batch_writes_the_days_it_touches(spark, rows, tmp_path):
+    """A table of 30 days; a batch of one hour writes the files of one day, readers of before keep theirs."""
+    path = str(tmp_path / "t")
+    month = spark.range(30 * 24).select((F.lit("2024-01-01 00:00:00").cast("timestamp") + F.col("id") * F.expr("interval 1 hour")).alias("h"), F.lit("x").alias("s"), F.lit(1).alias("n"))
+    assert len(upsert_parts(month, path, ("h", "s"), F.col("h"), grace=0)) == 30
+    before = read_parts(spark, path, month.schema)
+    files = lambda: {str(f) for f in (tmp_path / "t" / "parts").rglob("*.parquet")}
+    old = files()
+    hour = month.filter("h = '2024-01-07 05:00:00'").withColumn("n", F.lit(9)).union(month.filter("h = '2024-01-07 06:00:00'").withColumn("s", F.lit("new")))
+    assert upsert_parts(hour, path, ("h", "s"), F.col("h"), grace=0) == ["2024-01-07"]
+    assert before.count() == 720 and before.filter("n = 9").count() == 0  # the manifest before the last one is still whole
+    assert upsert_parts(hour, path, ("h", "s"), F.col("h"), grace=0) == ["2024-01-07"]  # a replay changes nothing
+    new = files() - old
+    assert new and all("_part=2024-01-07" in f for f in new)
+    now = read_parts(spark, path, month.schema)
+    assert now.count() == 721 and now.filter("n = 9").count() == 1 and now.filter("s = 'new'").count() == 1
+    assert len(read_parts(spark, path, month.schema, ["2024-01-07"]).inputFiles()) < len(now.inputFiles())
+    upsert_parts(hour.withColumn("h", F.lit(None).cast("timestamp")), path, ("h", "s"), F.col("h"), grace=0)
+    assert read_parts(spark, path, month.schema, ["none"]).count() == 2
+    assert not [f for f in old if "_part=2024-01-07" in f and f in files()]  # what no manifest names any more is gone
+    assert upsert_parts(month.limit(0), path, ("h", "s"), F.col("h")) == []
+
+
+def test_archived_files_are_not_listed_again(spark, rows, tmp_path):
+    root = str(tmp_path)
+    listed = []
+    for run in range(6):
+        land(alerts(spark, alert(str(run))), root, "noaa_alerts", f"r{run}")
+        target = streams.ingest_feed(spark, root, "noaa_alerts", archive=f"{root}/archive")
+        time.sleep(0.5)  # files are moved by a thread of their own
+        listed.append(len(list((tmp_path / "external").rglob("*.parquet"))))
+    assert max(listed[2:]) <= listed[1] + 1 and listed[5] < 6
+    assert rows(spark.read.parquet(target), "alert_id") == [(str(run),) for run in range(6)]
+
+
+def test_a_refresh_between_two_batches_shows_in_the_second(spark, rows, frames, tmp_path):
+    def book(tiv):
+        ws = frames(geography=[{"geo_id": "g1", "state_code": "TX", "state_name": "Texas"}])
+        ws.root = str(tmp_path / "lake")
+        exposure = spark.createDataFrame([("TX", tiv, 1)], "state_code string, state_tiv_usd double, state_policy_count long")
+        publish(exposure, ws.path("exposure_by_state"))
+        return ws
+
+    path = str(tmp_path / "in")
+    schema = "alert_id string, event_type string, severity string, urgency string, effective_utc timestamp, expires_utc timestamp, area_desc string"
+    got = []
+    for run, tiv in enumerate((100.0, 250.0)):
+        ws = book(tiv)
+        spark.createDataFrame([(str(run), None, None, None, None, None, "parts of Texas")], schema).coalesce(1).write.parquet(f"{path}/{run}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+        out = streams.drain_with(stream, lambda batch: gold.alert_exposure(ws.reopened(), batch), str(tmp_path / "out"), str(tmp_path / "cp"))  # noqa: B023
+        got = rows(out, "alert_id", "exposed_tiv_usd")
+    assert got == [("0", 100.0), ("1", 250.0)]
+
+
 def test_redelivery_inside_the_watermark(spark, rows, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     timed(spark, path, "1", ("a", "2024-01-01 00:10:00"), ("a", "2024-01-01 00:20:00"), ("b", "2024-01-01 00:30:00"))
@@ -204,9 +263,23 @@ def test_copy_and_empty_tables(spark, rows, tmp_path):
     tables = {"a": spark.range(3), "b": spark.range(0)}
     for _ in range(2):  # idempotent
         assert rows(copy_tables(spark, tables, root)) == [("a", 3), ("b", 0)]
+        assert rows(spark.read.parquet(table_path(spark, f"{root}/a"))) == [(0,), (1,), (2,)]
     assert spark.read.parquet(create_empty_like(spark.range(3), f"{root}/e")).columns == ["id"]
 
 
+def test_overwrite_keeps_the_table_before(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(2).write.parquet(path)  # written before there were versions
+    first = spark.read.parquet(path)
+    overwrite(first.selectExpr("id + 10 as id"), path)  # reads what it replaces
+    second = spark.read.parquet(table_path(spark, path))
+    with pytest.raises(Exception, match="no data"):
+        overwrite(spark.range(1).select(F.raise_error(F.lit("no data")).alias("id")), path)
+    overwrite(spark.range(1), path)
+    assert rows(second) == [(10,), (11,)] and rows(spark.read.parquet(table_path(spark, path))) == [(0,)]
+    assert [f.name for f in (tmp_path / "t").iterdir() if not f.name.startswith("version=")] == []
+
+
 def test_a_schema_is_only_dropped_on_demand(spark, tmp_path):
     spark.sql(f"create database if not exists migrated location '{tmp_path}/migrated'")
     assert not drop_source_schema(spark, "migrated")

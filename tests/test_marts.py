@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pcmarts.plans import extras, gold, library, questions, reports, rules  # noqa: F401
-from pcmarts.sources.tables import current, publish
+from pcmarts.sources.tables import current, exists, publish
 from pcmarts.workspace import CATALOG, Workspace, build_order, downstream
 
 GEO = [
@@ -351,5 +351,44 @@ def test_bucketed_tables_join_without_a_shuffle(spark, frames, rows, tmp_path):
             assert rows(bucketed.table(mart)) == rows(plain.table(mart))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        for t in ("dim_policy", "fact_premium", "fact_claim", "fact_exposure"):
-            spark.sql(f"drop table if exists pcmarts_{t}")
+        bucketed.drop_bucketed()
+        assert not spark.catalog.listTables(pattern="pcmarts_*")
+
+
+def test_bucketed_tables_are_replaced_behind_their_views(spark, frames, rows, tmp_path, monkeypatch):
+    ws = frames(policies=[policy(f"p{i}") for i in range(20)], claims=[claim("1", "p1", 5.0)], geography=GEO, customers=CUSTOMERS)
+    ws.root = str(tmp_path)
+    names = ("dim_policy", "fact_claim")
+    try:
+        ws.refresh_bucketed(4, names)
+        reader = ws.table("fact_claim").select("claim_id", "incurred_amount_usd")
+        real = ws.bronze_reader
+        ws.bronze_reader = lambda name: real(name).union(real(name).withColumn("claim_id", F.lit("2"))) if name == "claims" else real(name)
+        ws._memo.clear()
+        ws.refresh_bucketed(4, names)  # reads the inputs, not the tables that it replaces
+        assert rows(ws.table("fact_claim"), "claim_id") == [("1",), ("2",)] == rows(spark.table("pcmarts_fact_claim"), "claim_id")
+        assert rows(reader) == [("1", 5.0)]  # opened before, read after
+
+        def broken(name):
+            return real(name).withColumn("policy_id", F.raise_error(F.lit("gone"))) if name == "claims" else real(name)
+
+        ws.bronze_reader = broken
+        ws._memo.pop("bronze.claims")
+        with pytest.raises(Exception, match="gone"):
+            ws.refresh_bucketed(4, names)
+        assert rows(ws.table("fact_claim"), "claim_id") == [("1",), ("2",)]  # as it was
+        assert len(list((tmp_path / "silver").glob("*_bucketed/version=*"))) == 4
+    finally:
+        ws.drop_bucketed(names)
+
+
+def test_staged_tables_go_when_their_table_is_written(spark, frames, tmp_path, monkeypatch):
+    ws = frames(claims=[claim(str(i), "p", float(i)) for i in range(1, 101)])
+    ws.root = str(tmp_path)
+    folders = lambda: [f for fs in ws._staged.values() for f in fs if exists(spark, f)]
+    ws.table("peril_loss_summary").collect()
+    assert len(folders()) == 1
+    ws.refresh(["peril_loss_summary"])
+    assert len(folders()) == 1 and ws.table("peril_loss_summary").first().p95_severity_usd == 95.0
+    ws.close()
+    assert folders() == [] and ws.table("peril_loss_summary").first().p95_severity_usd == 95.0
