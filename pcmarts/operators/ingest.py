@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,55 +50,68 @@ class KeyIndex:
 
     A batch's keys are looked up in the folders that its keys fall into; the table itself is not read. The table and its index
     are two writes, so what is to be appended is first written to a redo folder: a run that was interrupted is finished
-    by the next one, before anything is looked up. After COMPACT_AFTER runs the many small files become a new version.
-    One writer at a time, as for the table.
+    by the next one, before anything is looked up. After COMPACT_AFTER runs the many small files become a new version, dealt into
+    as many folders as its keys fill; a version's column is named by that number. One writer at a time, as for the table.
     """
 
-    BUCKET = "_bucket"
     NOTES = "run string, n bigint"
     COMPACT_AFTER = 200
+    BUCKETS, MOST_BUCKETS, BUCKET_ROWS = 16, 4096, 1 << 20
 
-    def __init__(self, spark: SparkSession, target: str, key: str, buckets: int = 64):
-        self.spark, self.target, self.key, self.buckets = spark, table_path(spark, target.rstrip("/")), key, buckets
+    def __init__(self, spark: SparkSession, target: str, key: str):
+        self.spark, self.target, self.key = spark, table_path(spark, target.rstrip("/")), key
         home = f"{target.rstrip('/')}_keys"
         if self.target != target.rstrip("/"):  # a table that was replaced starts a new index
             home = f"{home}/{self.target.rsplit('=', 1)[1]}"
-        self.keys, self.runs, self.redo = f"{home}/of_{buckets}", f"{home}/runs", f"{home}/redo"
+        self.keys, self.runs, self.redo = f"{home}/keys", f"{home}/runs", f"{home}/redo"
 
-    def dealt(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.BUCKET, F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
+    @cached_property
+    def schema(self) -> T.StructType:
+        return self.spark.read.parquet(self.target).schema
+
+    @property
+    def bucket(self) -> str:
+        """The name of the folders' column: _bucket and how many there are."""
+        dealt = [d.split("=")[0] for d in children(self.spark, current(self.spark, self.keys)) if d.startswith("_bucket")]
+        return dealt[0] if dealt else f"_bucket{self.BUCKETS}"
+
+    def _dealt(self, df: DataFrame, bucket: str) -> DataFrame:
+        return df.withColumn(bucket, F.pmod(F.xxhash64(self.key), F.lit(int(bucket.removeprefix("_bucket")))).cast("int"))
 
     def open(self) -> None:
         """Make the index of a table that has none yet, finish the run that was interrupted, compact."""
         if not versions(self.spark, self.runs):
             held = self.spark.read.parquet(self.target).select(self.key)
-            self._publish(self.dealt(held.where(F.col(self.key).isNotNull())), held.count())
+            self._publish(held.where(F.col(self.key).isNotNull()), held.count())
         for run in children(self.spark, self.redo):
             if exists(self.spark, f"{self.redo}/{run}/_SUCCESS"):
                 self._finish(run)
             remove(self.spark, f"{self.redo}/{run}")
         if len(children(self.spark, current(self.spark, self.runs))) > self.COMPACT_AFTER:
-            self._publish(self.held(range(self.buckets)), self.total())
+            self._publish(self.held(), self.total())
 
-    def held(self, buckets: Iterable[int]) -> DataFrame:
+    def held(self, buckets: Iterable[int] | None = None) -> DataFrame:
         """(key, bucket) of the keys in these buckets; no other folder is read."""
-        kind = self.spark.read.parquet(self.target).schema[self.key].dataType
-        schema = T.StructType([T.StructField(self.key, kind), T.StructField(self.BUCKET, T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(current(self.spark, self.keys)).where(F.col(self.BUCKET).isin(list(buckets)))
+        bucket, kind = self.bucket, self.schema[self.key].dataType
+        schema = T.StructType([T.StructField(self.key, kind), T.StructField(bucket, T.IntegerType())])
+        held = self.spark.read.schema(schema).parquet(current(self.spark, self.keys))
+        return held if buckets is None else held.where(F.col(bucket).isin(list(buckets)))
 
     def unseen(self, batch: DataFrame) -> DataFrame:
-        """Rows of a dealt and written batch whose key the table does not hold; its buckets are at most as many as there are."""
-        buckets = [r[0] for r in batch.select(self.BUCKET).distinct().collect()]
-        known = self.held(buckets).join(batch.select(self.BUCKET, self.key), [self.BUCKET, self.key], "left_semi")
-        return batch.join(known, [self.BUCKET, self.key], "left_anti")
+        """Rows of a written batch whose key the table does not hold. At most as many buckets are asked for as there are."""
+        bucket = self.bucket
+        batch = self._dealt(batch, bucket)
+        buckets = [r[0] for r in batch.select(bucket).distinct().collect()]
+        known = self.held(buckets).join(batch.select(bucket, self.key), [bucket, self.key], "left_semi")
+        return batch.join(known, [bucket, self.key], "left_anti").drop(bucket)
 
     def append(self, batch: DataFrame) -> int:
-        """Append the unseen rows of a dealt and written batch with one row per key; return their number."""
+        """Append the unseen rows of a written batch with one row per key; return their number."""
         run, new = uuid.uuid4().hex, Observation("merge_new")
         self.unseen(batch).observe(new, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.redo}/{run}")
         n = int(new.get["n"])
         if n:
-            rows = self.spark.read.parquet(f"{self.redo}/{run}")
+            rows = self.spark.read.schema(batch.schema).parquet(f"{self.redo}/{run}")
             self._to_target(rows)
             self._to_keys(rows)
             self._note(run, n)
@@ -110,20 +124,24 @@ class KeyIndex:
         return notes.distinct().agg(F.sum("n")).first()[0] or 0
 
     def _publish(self, keys: DataFrame, total: int) -> None:
-        publish(keys.select(self.key, self.BUCKET).repartition(self.BUCKET), self.keys, (self.BUCKET,))
-        publish(self.spark.createDataFrame([(uuid.uuid4().hex, total)], self.NOTES).coalesce(1), self.runs)
+        full = 1 << max(0, (total // self.BUCKET_ROWS - 1).bit_length())  # a power of two
+        bucket = f"_bucket{min(self.MOST_BUCKETS, max(self.BUCKETS, full))}"
+        publish(self._dealt(keys.select(self.key), bucket).repartition(bucket), self.keys, (bucket,))
+        publish(self._noted(uuid.uuid4().hex, total), self.runs)
 
     def _to_target(self, rows: DataFrame) -> None:
-        columns = self.spark.read.parquet(self.target).columns
-        rows.select(*columns).write.mode("append").parquet(self.target)
+        rows.select(*self.schema.names).write.mode("append").parquet(self.target)
 
     def _to_keys(self, rows: DataFrame) -> None:
-        keys = rows.select(self.key, self.BUCKET).repartition(self.BUCKET)
-        keys.write.mode("append").partitionBy(self.BUCKET).parquet(current(self.spark, self.keys))
+        bucket = self.bucket
+        keys = self._dealt(rows.select(self.key), bucket).repartition(bucket)
+        keys.write.mode("append").partitionBy(bucket).parquet(current(self.spark, self.keys))
 
     def _note(self, run: str, n: int) -> None:
-        note = self.spark.createDataFrame([(run, n)], self.NOTES).coalesce(1)
-        note.write.mode("append").parquet(current(self.spark, self.runs))
+        self._noted(run, n).write.mode("append").parquet(current(self.spark, self.runs))
+
+    def _noted(self, run: str, n: int) -> DataFrame:
+        return self.spark.range(0, 1, 1, 1).select(F.lit(run).alias("run"), F.lit(n).cast("bigint").alias("n"))
 
     def _finish(self, run: str) -> None:
         """Append what the interrupted run did not get to append. Only here the table's key column is read."""
@@ -140,9 +158,9 @@ class KeyIndex:
 def merge_new(spark: SparkSession, incoming: DataFrame, target: str, key: str, reject_to: str) -> IngestCounts:
     """Append the rows with unseen keys; existing rows are never changed. Safe to repeat.
 
-    The batch is read once: counted, reduced to a row per key and dealt into the buckets of the table's key index on the way to a
-    staging table. The index is read for those buckets only, the table not at all. Rows without a key cannot be recognised on a
-    second run: they go to ``reject_to`` instead of being appended again and again (a second pass, only if there are any).
+    The batch is read once: counted and reduced to a row per key on the way to a staging table. The table's key index is
+    read for the buckets of these keys only, the table not at all. Rows without a key cannot be recognised on a second run:
+    they go to ``reject_to`` instead of being appended again and again (a second pass, only if there are any).
     """
     if not exists(spark, target):
         create_empty_like(incoming, target)
@@ -151,9 +169,10 @@ def merge_new(spark: SparkSession, incoming: DataFrame, target: str, key: str, r
     seen, staging = Observation("merge_seen"), f"{scratch(spark, 'merge')}/batch"
     counted = incoming.observe(seen, F.count(F.lit(1)).alias("n"), F.count(key).alias("keyed"))
     try:
-        index.dealt(latest_per_key(counted.filter(F.col(key).isNotNull()), key)).write.parquet(staging)
+        batch = latest_per_key(counted.filter(F.col(key).isNotNull()), key)
+        batch.write.parquet(staging)
         n, keyed = int(seen.get["n"]), int(seen.get["keyed"])
-        appended = index.append(spark.read.parquet(staging)) if keyed else 0
+        appended = index.append(spark.read.schema(batch.schema).parquet(staging)) if keyed else 0
         if n > keyed:
             incoming.filter(F.col(key).isNull()).write.mode("append").parquet(reject_to)
     finally:

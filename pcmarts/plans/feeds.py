@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from pcmarts.functions import classify
 from pcmarts.functions.dates import as_instant, as_mail_instant
 from pcmarts.functions.money import as_public
 from pcmarts.functions.textscan import sql_lines
+from pcmarts.operators.jobs import side_by_side
 from pcmarts.operators.ingest import freshness, latest_per_key, merge_new, unseen
 from pcmarts.operators.shapes import stack
 from pcmarts.plans import event_report, gold, silver
@@ -139,13 +142,17 @@ def merged_alerts(ws: Workspace) -> DataFrame:
 def merge_counts(ws: Workspace) -> DataFrame:
     """Scanned, rejected, appended and total rows of two runs per feed, and over all feeds."""
     root = scratch(ws.spark, "counts")
-    rows = []
-    for feed, (table, key) in FEEDS.items():
+
+    def two_runs(feed: str, table: str, key: str) -> list[tuple]:
         incoming = ws.bronze("deliveries" if feed == "noaa_alerts" else table)
         number = F.coalesce(F.col(key).cast("bigint"), F.lit(0))
+        found = []
         for run, batch in enumerate((incoming.filter(number % 4 != 0), incoming), start=1):
             c = merge_new(ws.spark, batch, f"{root}/bronze/{table}", key, f"{root}/rejected/{table}")
-            rows.append((feed, run, c.scanned, c.rejected, c.appended, c.total))
+            found.append((feed, run, c.scanned, c.rejected, c.appended, c.total))
+        return found
+
+    rows = sum(side_by_side({feed: partial(two_runs, feed, *names) for feed, names in FEEDS.items()}).values(), [])
     per_feed = ws.spark.createDataFrame(
         rows, "feed string, run int, scanned bigint, rejected bigint, appended bigint, total bigint"
     )

@@ -421,35 +421,32 @@ def book_health(ws: Workspace) -> DataFrame:
     )
 
 
-def percentile(ws: Workspace, name: str, claims: DataFrame, key: str, amount: str, share: int) -> DataFrame:
-    """(key, percentile): the least amount that at least `share` percent of a key's amounts do not exceed. Exact.
-
-    Amounts are counted per key and cent, with partial counts, so a hot amount is one row. The counts are dealt by range over key
-    and cent, once, into a table of the workspace (``name``); a hot key is many ranges, and only the one with its rank is read again.
-    """
-    cents = claims.where(F.col(amount).isNotNull()).select(key, (F.col(amount).cast(CENTS) * 100).cast("bigint").alias("cents"))
-    cells = cents.groupBy(key, "cents").agg(F.count(F.lit(1)).alias("n"))
-    ranged = ws.staged(name, lambda folder: ranks.dealt(cells, folder, key, "cents"))
-    found = ranks.at_share(ranged, key, "cents", F.col("n"), share)
-    return found.select(key, (F.col("cents").cast(CENTS) / 100).cast(CENTS).cast("double").alias("percentile"))
-
-
 @table("peril_loss_summary", "gold", ["fact_claim"])
 def peril_loss_summary(ws: Workspace) -> DataFrame:
-    """Peril: frequency, severity with its 95th percentile, catastrophe share."""
-    loss = "incurred_amount_usd"
-    claims = ws.table("fact_claim").select("peril", loss, "is_cat", "line_of_business")
-    high = percentile(ws, "peril_loss_summary", claims, "peril", loss, 95).select(F.col("peril").alias("_peril"), F.col("percentile").alias("p95_severity_usd"))
-    sums = claims.groupBy("peril").agg(
-        F.count(F.lit(1)).alias("claim_count"),
-        total(loss).alias("total_incurred_usd"),
-        mean(loss).alias("avg_severity_usd"),
-        _hits("is_cat").alias("cat_claim_count"),
-        total(F.when(F.col("is_cat"), F.col(loss)).otherwise(F.lit(0))).alias("cat_incurred_usd"),
+    """Peril: frequency, severity with its 95th percentile, catastrophe share.
+
+    Claims are read once and counted per peril, line, catastrophe flag and amount; a frequent amount is one row. The counts are
+    dealt by range over peril and amount into a table of the workspace. All sums come from it, and of a peril's ranges, many if
+    it is hot, only the one that holds the rank of its percentile is read for that.
+    """
+    claims = ws.table("fact_claim").select("peril", "line_of_business", "is_cat", F.col("incurred_amount_usd").cast(CENTS).alias("amount"))
+    cells = claims.groupBy(*claims.columns).agg(F.count(F.lit(1)).alias("n"))
+    ranged = ws.staged("peril_loss_summary", lambda folder: ranks.dealt(cells, folder, "peril", "amount"))
+    known = F.when(F.col("amount").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    high = ranks.at_share(ranged, "peril", "amount", known, 95)
+    high = high.select(F.col("peril").alias("_peril"), F.col("amount").cast("double").alias("p95_severity_usd"))
+    loss = F.col("amount") * F.col("n").cast("decimal(18,0)")
+    sums = ranged.groupBy("peril").agg(
+        F.sum("n").alias("claim_count"),
+        F.sum(loss).cast("double").alias("total_incurred_usd"),
+        F.sum(known).alias("_known"),
+        F.coalesce(F.sum(F.when(F.col("is_cat"), F.col("n"))), F.lit(0)).alias("cat_claim_count"),
+        F.sum(F.when(F.col("is_cat"), loss).otherwise(F.lit(0))).cast("double").alias("cat_incurred_usd"),
         F.countDistinct("line_of_business").alias("distinct_lobs"),
     )
     return sums.join(high, F.col("peril").eqNullSafe(F.col("_peril")), "left").select(
-        "peril", "claim_count", "total_incurred_usd", "avg_severity_usd", "p95_severity_usd", "cat_claim_count", "cat_incurred_usd", "distinct_lobs",
+        "peril", "claim_count", "total_incurred_usd", F.try_divide("total_incurred_usd", "_known").alias("avg_severity_usd"), "p95_severity_usd",
+        "cat_claim_count", "cat_incurred_usd", "distinct_lobs",
         ratio("cat_incurred_usd", "total_incurred_usd").alias("cat_share_of_loss"),
     )
 

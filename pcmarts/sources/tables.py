@@ -185,8 +185,8 @@ def upsert_parts(batch: DataFrame, folder: str, keys: Iterable[str], part: Colum
         kept = held.join(changed, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in keys], "left_anti")
         kept.unionByName(new).hint("rebalance", PART).write.partitionBy(PART).parquet(f"{folder}/parts/{version}")
         paths = _parts(spark, folder) | {p: f"{folder}/parts/{version}/{PART}={p}" for p in touched}
-        rows = spark.createDataFrame(sorted(paths.items()), "part string, path string")
-        rows.coalesce(1).write.parquet(f"{folder}/manifest/{new_version()}")
+        named = [f"named_struct('part', '{p}', 'path', '{path}')" for p, path in sorted(paths.items())]  # no quotes in either
+        spark.range(0, 1, 1, 1).selectExpr(f"inline(array({', '.join(named)}))").write.parquet(f"{folder}/manifest/{new_version()}")
         _prune(spark, folder, grace)
     remove(spark, staged)
     return touched

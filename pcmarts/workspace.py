@@ -104,6 +104,10 @@ class Workspace:
             self._memo[key] = write(folder)
         return self._memo[key]
 
+    def forget_staged(self) -> None:
+        """Build the tables that have something written for their plans anew, with it, when they are asked for again."""
+        self.forget(name for name in list(self._staged) if f"staged.{name}" in self._memo)
+
     def close(self) -> None:
         """Remove the scratch folders of this workspace. Plans of tables that read them cannot be run any more."""
         for name, folders in self._staged.items():

@@ -43,12 +43,18 @@ def test_stacked_marts_shuffle_once(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(entry.workspace(spark, SMALL).table("peril_loss_summary"))
+    text = plan(entry.workspace(spark, SMALL).table("fact_claim").groupBy("peril").agg({"incurred_amount_usd": "sum"}))
     scan = next(line for line in text.splitlines() if "lineitem.parquet" in line)
     assert "EqualTo(l_returnflag,R)" in scan
     assert "l_tax" not in scan and "l_shipdate" not in scan
 
 
+def test_the_percentile_reads_the_claims_once(spark):
+    # the ranges of counted amounts are written from the claims; sums, offsets and the rank read those ranges only
+    text = plan(entry.workspace(spark, SMALL).table("peril_loss_summary"))
+    assert "lineitem.parquet" not in text and text.count("FileScan parquet") == 3
+
+
 def test_a_hot_policy_is_split_across_tasks(spark):
     """A third of all claims on one policy: the adaptive join splits that policy's partition."""
     conf = {
