@@ -50,6 +50,7 @@ QUERIES: dict[str, str] = {
     "gld_asset_portfolio_summary": "select * from g_assets",
     "gld_reinsurance_summary": "select * from g_reins",
     "gld_event_risk_correlation": "select * from g_alerts",
+    "inc_event_risk_correlation": "select * from g_alerts",
     "gld_cat_event_pml": "select * from g_pml",
     "gld_policy_customer_360": "select * from g_pol360",
     "gld_claim_360": "select * from g_clm360",

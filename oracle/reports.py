@@ -120,6 +120,7 @@ QUERIES: dict[str, str] = {
     "rpt_counts": """select 'NOAA active alerts' as source, count(*) as n from b_alert union all select 'GDACS catastrophes', count(*) from b_cat
       union all select 'USGS earthquakes', count(*) from b_quake union all select 'Weather obs', count(*) from b_weather union all select 'News items', count(*) from b_news""",
     "rpt_alerts_by_severity": "select coalesce(severity, 'Unknown') as severity, count(*) as alerts, count(distinct event_type) as distinct_event_types from b_alert group by b_alert.severity",
+    "inc_alerts_by_severity": "select coalesce(severity, 'Unknown') as severity, count(*) as alerts, count(distinct event_type) as distinct_event_types from b_alert group by b_alert.severity",
     "rpt_top_exposed_alerts": f"""select event_type, severity, state_code, state_name, round(exposed_tiv_usd/1e9, 2) as exposed_tiv_busd, exposed_policy_count, effective_utc, expires_utc
       from g_alerts {ALERT_TOP} limit 20""",
     "rpt_top_pml_events": f"select title, event_type, severity, state_code, event_time_utc, {PML_COLS} from g_pml {PML_TOP} limit 15",

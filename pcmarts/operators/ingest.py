@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pcmarts.sources.tables import children, create_empty_like, current, exists, publish, remove, scratch, table_path, versions
+from pcmarts.sources.tables import children, create_empty_like, current, exists, move, new_version, publish, remove, scratch, table_path, versions
 
 
 @dataclass(frozen=True)
@@ -50,12 +50,13 @@ class KeyIndex:
 
     A batch's keys are looked up in the folders that its keys fall into; the table itself is not read. The table and its index
     are two writes, so what is to be appended is first written to a redo folder: a run that was interrupted is finished
-    by the next one, before anything is looked up. After COMPACT_AFTER runs the many small files become a new version, dealt into
-    as many folders as its keys fill; a version's column is named by that number. One writer at a time, as for the table.
+    by the next one, before anything is looked up. What a finished run appended then stays as a change version, the last
+    CHANGES of them, for readers that only want what is new. After COMPACT_AFTER runs the many small files become a new version, dealt
+    into as many folders as its keys fill; a version's column is named by that number. One writer at a time, as for the table.
     """
 
     NOTES = "run string, n bigint"
-    COMPACT_AFTER = 200
+    COMPACT_AFTER, CHANGES = 200, 200
     BUCKETS, MOST_BUCKETS, BUCKET_ROWS = 16, 4096, 1 << 20
 
     def __init__(self, spark: SparkSession, target: str, key: str):
@@ -64,6 +65,7 @@ class KeyIndex:
         if self.target != target.rstrip("/"):  # a table that was replaced starts a new index
             home = f"{home}/{self.target.rsplit('=', 1)[1]}"
         self.keys, self.runs, self.redo = f"{home}/keys", f"{home}/runs", f"{home}/redo"
+        self.log = f"{home}/changes"
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -86,7 +88,8 @@ class KeyIndex:
         for run in children(self.spark, self.redo):
             if exists(self.spark, f"{self.redo}/{run}/_SUCCESS"):
                 self._finish(run)
-            remove(self.spark, f"{self.redo}/{run}")
+            else:
+                remove(self.spark, f"{self.redo}/{run}")
         if len(children(self.spark, current(self.spark, self.runs))) > self.COMPACT_AFTER:
             self._publish(self.held(), self.total())
 
@@ -107,7 +110,7 @@ class KeyIndex:
 
     def append(self, batch: DataFrame) -> int:
         """Append the unseen rows of a written batch with one row per key; return their number."""
-        run, new = uuid.uuid4().hex, Observation("merge_new")
+        run, new = new_version(), Observation("merge_new")
         self.unseen(batch).observe(new, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.redo}/{run}")
         n = int(new.get["n"])
         if n:
@@ -115,14 +118,29 @@ class KeyIndex:
             self._to_target(rows)
             self._to_keys(rows)
             self._note(run, n)
-        remove(self.spark, f"{self.redo}/{run}")
+            self._log(run)
+        else:
+            remove(self.spark, f"{self.redo}/{run}")
         return n
 
+    def changes(self) -> list[str]:
+        """Names of the change versions that are there, oldest first: the rows that each run appended lie in log/<name>."""
+        return children(self.spark, self.log)
+
+    def pruned(self) -> bool:
+        """Have changes been removed already?"""
+        return len(self.changes()) >= self.CHANGES
+
     def total(self) -> int:
         """Rows of the table, by the notes of the runs that wrote it (a run that was finished later may have two equal notes)."""
         notes = self.spark.read.schema(self.NOTES).parquet(current(self.spark, self.runs))
         return notes.distinct().agg(F.sum("n")).first()[0] or 0
 
+    def _log(self, run: str) -> None:
+        move(self.spark, f"{self.redo}/{run}", f"{self.log}/{run}")
+        for old in self.changes()[: -self.CHANGES]:
+            remove(self.spark, f"{self.log}/{old}")
+
     def _publish(self, keys: DataFrame, total: int) -> None:
         full = 1 << max(0, (total // self.BUCKET_ROWS - 1).bit_length())  # a power of two
         bucket = f"_bucket{min(self.MOST_BUCKETS, max(self.BUCKETS, full))}"
@@ -153,6 +171,7 @@ class KeyIndex:
         if not unlisted.isEmpty():
             self._to_keys(unlisted)
         self._note(run, rows.count())
+        self._log(run)
 
 
 def merge_new(spark: SparkSession, incoming: DataFrame, target: str, key: str, reject_to: str) -> IngestCounts:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pcmarts.functions.money import as_public
 from pcmarts.plans import gold, silver
 from pcmarts.plans import dashboard, event_report, examples, extras, questions, reports, rules, semantic  # noqa: F401
-from pcmarts.plans import feeds  # noqa: F401
+from pcmarts.plans import feeds, increments  # noqa: F401
 from pcmarts.plans.registry import QUERIES, query
 from pcmarts.workspace import Workspace
 

@@ -78,6 +78,15 @@ def remove(spark: SparkSession, path: str) -> None:
     home.getFileSystem(spark._jsc.hadoopConfiguration()).delete(home, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder of this library's own making."""
+    here, there = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(there.getParent())
+    if not files.rename(here, there):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def children(spark: SparkSession, folder: str) -> list[str]:
     """Names of what lies directly in a folder, sorted; none if it does not exist."""
     home = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pcmarts.sources import payloads
 from pcmarts.sources.landing import feed_folder, land, landed, list_landing, run_stamp
 from pcmarts.sources.schemas import RAW_PAYLOAD, SCHEMAS
-from pcmarts.plans import gold
+from pcmarts.operators.ingest import KeyIndex, merge_new
+from pcmarts.plans import event_report, gold, increments, silver
 from pcmarts.sources.tables import (
     Layers, ParquetBronze, copy_tables, create_empty_like, drop_source_schema, overwrite, publish, read_parts, table_path, upsert_parts,
 )
+from pcmarts.workspace import Workspace
 from pcmarts.streaming import feeds as streams
 
 
@@ -228,6 +230,37 @@ def test_a_refresh_between_two_batches_shows_in_the_second(spark, rows, frames,
     assert got == [("0", 100.0), ("1", 250.0)]
 
 
+def test_hourly_increments_equal_the_full_run(spark, rows, frames, tmp_path, monkeypatch):
+    monkeypatch.setattr(increments, "COMPACT_AFTER", 2)
+    feeds = {t: f"{tmp_path}/bronze/{silver.TABLES[t].bronze}" for t in event_report.COUNTED.values()}
+    literal = frames(geography=[{"geo_id": f"g{k}", "state_code": c, "state_name": n} for k, (c, n) in enumerate((("TX", "Texas"), ("OK", "Oklahoma"), ("XX", None)))])
+    stored = ParquetBronze(spark, str(tmp_path))
+    read = lambda t: stored(t) if f"{tmp_path}/bronze/{t}" in feeds.values() else literal.bronze(t)
+    ws = Workspace(spark, read, literal.as_of, str(tmp_path))
+    for t, feed in feeds.items():
+        create_empty_like(spark.createDataFrame([], SCHEMAS[silver.TABLES[t].bronze]), feed)
+    levels = ["Severe", None, "Minor"]
+    for run in range(4):
+        batch = [alert(str(i), severity=levels[i % 3], event_type="Flood" if i % 4 else "Heat", area_desc=f"parts of {'Texas, OK' if i % 2 else 'Oklahoma'}") for i in range(run * 3, run * 10 + 5)]
+        merge_new(spark, alerts(spark, *batch), feeds["noaa_alerts"], "alert_id", str(tmp_path / "rejected"))
+        if run:  # what is computed reads the changes since the last increment only
+            step, _ = increments.delta(ws, increments.SEVERITIES, feeds["noaa_alerts"])
+            assert {f.split("/")[-3] for f in step.inputFiles()} == {"changes"} and len({f.split("/")[-2] for f in step.inputFiles()}) == 1
+        full = Workspace(spark, read, literal.as_of)
+        assert rows(increments.alerts_by_severity(ws, feeds["noaa_alerts"])) == rows(event_report.alerts_by_severity(full))
+        assert rows(increments.event_risk(ws, feeds["noaa_alerts"])) == rows(full.table("event_risk_correlation"))
+        assert rows(increments.counts(ws, feeds)) == rows(event_report.counts(full))
+    assert increments.delta(ws, increments.STATES, feeds["noaa_alerts"]) is None  # nothing new
+    assert any(p.name.endswith("+") for p in (tmp_path / "partials" / "alerts_by_severity").iterdir())
+    monkeypatch.setattr(KeyIndex, "CHANGES", 1)
+    for k in range(2):
+        merge_new(spark, alerts(spark, alert(f"late{k}")), feeds["noaa_alerts"], "alert_id", str(tmp_path / "rejected"))
+    with pytest.raises(LookupError, match="rebuild"):
+        increments.alerts_by_severity(ws, feeds["noaa_alerts"])
+    again = increments.advance(ws, increments.SEVERITIES, feeds["noaa_alerts"], rebuild=True)
+    assert again.agg({"n": "sum"}).first()[0] == stored("noaa_alerts").count()
+
+
 def test_redelivery_inside_the_watermark(spark, rows, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     timed(spark, path, "1", ("a", "2024-01-01 00:10:00"), ("a", "2024-01-01 00:20:00"), ("b", "2024-01-01 00:30:00"))

@@ -184,7 +184,7 @@ def test_merge_reads_the_buckets_of_the_batch_only(spark, tmp_path):
     assert [r.k for r in fresh.collect()] == ["new"]
 
 
-@pytest.mark.parametrize("step", ["_to_target", "_to_keys", "_note"])
+@pytest.mark.parametrize("step", ["_to_target", "_to_keys", "_note", "_log"])
 @pytest.mark.parametrize("late", [False, True])
 def test_an_interrupted_merge_is_finished_by_the_next(spark, rows, tmp_path, monkeypatch, step, late):
     target, schema, _ = _index_after(spark, tmp_path, [[("a", "1", 1)]])
