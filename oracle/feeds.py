@@ -152,3 +152,9 @@ QUERIES: dict[str, str] = {
     "stm_alerts_hourly": "select date_trunc('hour', effective_utc) as hour_start, severity, count(*) as alerts from b_alert group by 1, 2",
     "stm_dedupe": "select cast(alert_id as varchar) as alert_id, event_type, severity, effective_utc as delivered_utc from b_alert",
 }
+
+QUERIES["feed_accepted"] = " union all ".join(
+    f"""select '{feed}' as feed, (select count(*) from ({QUERIES[name]})) as item_rows,
+    coalesce((select sum(answers) from ({QUERIES["feed_payload_guard"]}) where feed = '{feed}'), 0)::bigint as quarantined"""
+    for feed, name in (("weather", "feed_weather_parse"), ("earthquakes", "feed_earthquake_parse"), ("catastrophes", "feed_gdacs_parse"), ("noaa_alerts", "feed_noaa_parse"), ("news", "feed_news_parse"))
+)

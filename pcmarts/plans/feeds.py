@@ -63,6 +63,20 @@ def unusable_answers(ws: Workspace) -> DataFrame:
     )
 
 
+@query("feed_accepted")
+def accepted_answers(ws: Workspace) -> DataFrame:
+    """Rows and quarantined answers of each feed, both from one parse of its answers."""
+    root = scratch(ws.spark, "accepted")
+    parts = side_by_side({f: lambda f=f: payloads.accepted(ws.bronze(f"raw_payloads/{f}"), f, f"{root}/{f}") for f in payloads.PARSERS})
+    sizes = [
+        stack(rows.select(F.lit(1).alias("accepted")), bad.select(F.lit(1).alias("refused"))).agg(
+            F.lit(feed).alias("feed"), F.count("accepted").alias("item_rows"), F.count("refused").alias("quarantined")
+        )
+        for feed, (rows, bad) in parts.items()
+    ]
+    return stack(*sizes)
+
+
 @query("feed_page_tags")
 def page_tags(ws: Workspace) -> DataFrame:
     """The tag patterns on whole web pages."""

@@ -7,6 +7,8 @@ no rows, and ``quarantine`` lists it with the reason.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,9 +67,14 @@ def _unfolded(df: DataFrame, items: Column, name: str) -> DataFrame:
     return df.select("fetched_at_utc", F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
 
 
-def _features(raw: DataFrame, feed: str) -> DataFrame:
+def _parsed(raw: DataFrame, feed: str) -> DataFrame:
+    """(request, fetched_at_utc, doc) of the answers with a good status: the document, or the items of a feed document."""
+    doc = _document(feed) if feed in JSON_SCHEMAS else F.regexp_extract_all("payload", F.lit("(?s)<item>(.*?)</item>"), F.lit(1))
+    return _answers(raw, feed).select("request", "fetched_at_utc", doc.alias("doc"))
+
+
+def _features(docs: DataFrame) -> DataFrame:
     """All features of the well-formed answers; a malformed answer is quarantined as a whole and yields none."""
-    docs = _answers(raw, feed).select("fetched_at_utc", _document(feed).alias("doc"))
     return _unfolded(docs, F.when(F.col(f"doc.{_BROKEN}").isNull(), F.col("doc.features")), "f")
 
 
@@ -76,7 +83,7 @@ def digest(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]), 256)
 
 
-def weather(raw: DataFrame) -> DataFrame:
+def _weather(docs: DataFrame) -> DataFrame:
     """The ``current`` block per requested city; the place comes from the list, not the answer."""
     places = F.create_map(
         *[
@@ -84,10 +91,9 @@ def weather(raw: DataFrame) -> DataFrame:
             for c in (F.lit(city), F.struct(F.lit(lat).alias("lat"), F.lit(lon).alias("lon"), F.lit(zone).alias("zone")))
         ]
     )
-    docs = _answers(raw, "weather").select("request", "fetched_at_utc", _document("weather").alias("doc"))
     place = F.try_element_at(places, F.col("request"))
     now = F.col("doc.current")
-    return docs.filter(F.col(f"doc.{_BROKEN}").isNull()).select(
+    return docs.filter(F.col("doc").isNotNull() & F.col(f"doc.{_BROKEN}").isNull()).select(
         digest(F.col("request"), now["time"]).alias("observation_id"), F.col("request").alias("city"),
         place["zone"].alias("cresta_zone"), place["lat"].alias("latitude"), place["lon"].alias("longitude"),
         now["time"].alias("observed_time_utc"), now["temperature_2m"].alias("temperature_f"),
@@ -98,11 +104,11 @@ def weather(raw: DataFrame) -> DataFrame:
     )
 
 
-def earthquakes(raw: DataFrame) -> DataFrame:
+def _earthquakes(docs: DataFrame) -> DataFrame:
     """GeoJSON features; coordinates are longitude, latitude, depth; a missing time is the epoch."""
     p, at = F.col("f.properties"), F.col("f.geometry.coordinates")
     when = F.timestamp_millis(F.coalesce(p["time"], F.lit(0)))
-    return _features(raw, "earthquakes").select(
+    return _features(docs).select(
         F.col("f.id").alias("event_id"), F.lit("Earthquake").alias("event_type"), p["mag"].alias("magnitude"),
         p["place"].alias("place"), F.get(at, 0).alias("longitude"), F.get(at, 1).alias("latitude"),
         F.get(at, 2).alias("depth_km"), F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time_utc"),
@@ -111,9 +117,9 @@ def earthquakes(raw: DataFrame) -> DataFrame:
     )
 
 
-def alerts(raw: DataFrame) -> DataFrame:
+def _alerts(docs: DataFrame) -> DataFrame:
     p = F.col("f.properties")
-    return _features(raw, "noaa_alerts").select(
+    return _features(docs).select(
         F.col("f.id").alias("alert_id"), p["event"].alias("event_type"), p["severity"].alias("severity"),
         p["certainty"].alias("certainty"), p["urgency"].alias("urgency"), p["areaDesc"].alias("area_desc"),
         p["headline"].alias("headline"), p["sent"].alias("sent_utc"), p["effective"].alias("effective_utc"),
@@ -127,11 +133,6 @@ def tag(text: Column | str, name: str) -> Column:
     return F.regexp_replace(inner, r"^\s+|\s+$", "")
 
 
-def _items(raw: DataFrame, feed: str) -> DataFrame:
-    found = F.regexp_extract_all("payload", F.lit("(?s)<item>(.*?)</item>"), F.lit(1))
-    return _unfolded(_answers(raw, feed), found, "item")
-
-
 def _natural() -> Column:
     """What tells an item apart: its link, else its title and date; without all three, all of its text."""
     named = F.concat("title", "pubDate")
@@ -142,9 +143,9 @@ def _number(text: Column) -> Column:
     return F.nullif(text, F.lit("")).try_cast("double")
 
 
-def catastrophes(raw: DataFrame) -> DataFrame:
+def _catastrophes(docs: DataFrame) -> DataFrame:
     fields = {n: tag("item", n) for n in ("title", "description", "pubDate", "link")}
-    items = _items(raw, "catastrophes").withColumns(
+    items = _unfolded(docs, F.col("doc"), "item").withColumns(
         fields | {"lat": tag("item", "geo:lat"), "lon": tag("item", "geo:long")}
     )
     return items.select(
@@ -155,8 +156,8 @@ def catastrophes(raw: DataFrame) -> DataFrame:
     )
 
 
-def news(raw: DataFrame) -> DataFrame:
-    items = _items(raw, "news").withColumns(
+def _news(docs: DataFrame) -> DataFrame:
+    items = _unfolded(docs, F.col("doc"), "item").withColumns(
         {n: tag("item", n) for n in ("title", "description", "pubDate", "link")}
     )
     return items.select(
@@ -166,16 +167,19 @@ def news(raw: DataFrame) -> DataFrame:
     )
 
 
-PARSERS = {
-    "weather": weather, "earthquakes": earthquakes, "catastrophes": catastrophes, "noaa_alerts": alerts, "news": news,
-}
+_SHAPES = {"weather": _weather, "earthquakes": _earthquakes, "catastrophes": _catastrophes, "noaa_alerts": _alerts, "news": _news}
 
 
-def verdict() -> Column:
+def _parser(feed: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda raw: _SHAPES[feed](_parsed(raw, feed))
+
+
+PARSERS = {feed: _parser(feed) for feed in _SHAPES}
+weather, earthquakes, catastrophes, alerts, news = PARSERS.values()
+
+
+def _verdict(broken: Column) -> Column:
     """Why an answer is unusable, NULL if it is fine."""
-    broken = F.lit(None).cast("string")
-    for feed in JSON_SCHEMAS:
-        broken = F.when(F.col("feed") == feed, _document(feed)[_BROKEN]).otherwise(broken)
     tagged = F.col("feed").isin(*RSS_FEEDS) & ~F.col("payload").rlike("<rss|<item>")
     return (
         F.when(~_answered(), "bad status").when(F.col("payload").isNull(), "no payload")
@@ -183,6 +187,31 @@ def verdict() -> Column:
     )
 
 
+def verdict() -> Column:
+    broken = F.lit(None).cast("string")
+    for feed in JSON_SCHEMAS:
+        broken = F.when(F.col("feed") == feed, _document(feed)[_BROKEN]).otherwise(broken)
+    return _verdict(broken)
+
+
 def quarantine(raw: DataFrame) -> DataFrame:
     """Answers that yield no rows because they are unusable, with the reason."""
     return raw.withColumn("reason", verdict()).filter(F.col("reason").isNotNull())
+
+
+def accepted(raw: DataFrame, feed: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantined answers) of a feed, from one parse of each answer.
+
+    The parsed answers are written once to ``folder``: typed documents as they are, with the verdict, and the payload of the
+    unusable ones only. What is returned reads that table; its columns are typed, so each side reads no more than it shows.
+    """
+    answers = raw.filter(F.col("feed") == feed)
+    doc = _document(feed) if feed in JSON_SCHEMAS else F.regexp_extract_all("payload", F.lit("(?s)<item>(.*?)</item>"), F.lit(1))
+    judged = answers.withColumn("doc", doc)  # a column of its own: what uses it does not parse again
+    broken = F.col(f"doc.{_BROKEN}") if feed in JSON_SCHEMAS else F.lit(None)
+    judged = judged.withColumn("reason", _verdict(broken))
+    judged = judged.withColumn("payload", F.when(F.col("reason").isNotNull(), F.col("payload")))
+    judged.write.parquet(folder)
+    written = raw.sparkSession.read.schema(judged.schema).parquet(folder)
+    good = written.filter(F.col("reason").isNull()).select("request", "fetched_at_utc", "doc")
+    return _SHAPES[feed](good), written.filter(F.col("reason").isNotNull()).select(*raw.columns, "reason")

@@ -72,6 +72,21 @@ def test_a_malformed_answer_is_quarantined_and_yields_nothing(raw):
     assert payloads.quarantine(raw("earthquakes", body)).first().reason == "malformed json"
 
 
+@pytest.mark.parametrize("feed", ["weather", "earthquakes", "catastrophes", "noaa_alerts", "news"])
+def test_rows_and_quarantine_come_from_one_parse(raw, rows, tmp_path, monkeypatch, feed):
+    fine = json.dumps({"features": [feature(1, mag=5.0)], "current": {"time": "t"}}) if feed in payloads.JSON_SCHEMAS else rss(3)
+    answers = raw(feed, fine, None, "{broken", "<html>busy</html>", request="Miami, FL").unionByName(raw(feed, fine, status=503)).unionByName(raw("other", fine))
+    parses = []
+    real = payloads.F.from_json
+    monkeypatch.setattr(payloads.F, "from_json", lambda *a: parses.append(a) or real(*a))
+    got, bad = payloads.accepted(answers, feed, str(tmp_path / "a"))
+    assert len(parses) == (feed in payloads.JSON_SCHEMAS)
+    monkeypatch.undo()
+    assert rows(got) == rows(payloads.PARSERS[feed](answers)) != []
+    assert rows(bad) == rows(payloads.quarantine(answers.filter(F.col("feed") == feed))) and bad.count() == 4
+    assert "from_json" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_items_without_link_title_and_date_keep_apart(raw):
     body = "<rss><item><description>a</description></item><item><description>b</description></item></rss>"
     assert payloads.news(raw("news", body)).select("news_id").distinct().count() == 2
