@@ -9,8 +9,10 @@ The labeller is trained on the driver from SAMPLE_PAGES pages of the table (thos
 are, with labels from what their markup states (STATED below), and as raw material: their blocks are set into generated layouts with
 menus, headers, sidebars, notices, adverts, forms, footers and reader comments of known labels. Seeds are fixed, so reruns agree.
 
-A null or empty html gives an empty text, as does a page without main blocks. Broken markup is read as far as it goes. Repeated rows,
-null ids and null urls stay as they are.
+A null or empty html gives an empty text, as does a page without main blocks. Broken markup is read as far as it goes: a quote in a tag
+opens a value after = only, a raw element that is closed in its own tag or never ends (other than script and style) hides nothing, and an end
+tag without its element is passed over. Time grows with the page's length, however its elements are nested. Repeated rows, null ids and null urls
+stay as they are.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 UNSEEN = frozenset("script style template noscript svg math iframe object head title textarea select audio video canvas map datalist".split())
 IN_HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 RAW = frozenset("script style title textarea iframe noscript template svg math select".split())
+CODE = frozenset("script style".split())  # without an end tag, the rest of the page is code; other elements of RAW then hold nothing
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table tbody thead tfoot div section article main aside nav header footer body html form fieldset blockquote figure td th".split())
 
@@ -69,8 +73,9 @@ PHRASES = {
     "share": "Share|Tweet|Share on Facebook|Email this|Print|Follow us|By|min read|Posted on",
 }
 
+# In a tag a quote opens a value after = only; elsewhere, and where it is never closed, it is a character like others.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-zA-Z/!?][^>]*+(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))*+)>|<[a-zA-Z/!?][^>]*+(?:>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -90,7 +95,7 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 out.append(".hidden")
         else:
-            out += ["." + p.lower() for p in PARTS.findall(value)[:12]]
+            out += ["." + p.lower() for p in PARTS.findall(value)]
     return tuple(out)
 
 
@@ -108,23 +113,35 @@ def leaves(page: str | None) -> list[tuple[str, frozenset[str], str, float]]:
     page = page or ""
     out: list[Leaf] = []
     stack: list[tuple[str, frozenset[str], str]] = [("", frozenset(), "")]
+    # Open elements by tag: on the whole page, and since the innermost scope, so that a search that must fail is not begun.
+    opened: Counter[str] = Counter()
+    scopes: list[tuple[str, Counter[str]]] = [("", Counter())]
+    endless: set[str] = set()  # raw elements that have no end tag any more
     current: Leaf | None = None
-    unseen = anchors = at = 0
-    end = len(page)
+    at, end = 0, len(page)
+
+    def close(k: int) -> None:
+        for tag, _, _ in reversed(stack[k:]):
+            opened[tag] -= 1
+            opened[".unseen"] -= tag in UNSEEN
+            if tag in SCOPES or tag == "object":
+                scopes.pop()
+            scopes[-1][1][tag] -= 1
+        del stack[k:]
+
     while at < end:
         m = TOKEN.search(page, at)
         start = m.start() if m else end
         if start > at and stack[-1][0] == "head" and not page[at:start].isspace():
-            stack.pop()  # text may not stand in a head: </head> is left out
-            unseen -= 1
-        if start > at and not unseen:
+            close(len(stack) - 1)  # text may not stand in a head: </head> is left out
+        if start > at and not opened[".unseen"]:
             piece = page[at:start]
             if current is None and not piece.isspace():
                 current = Leaf(stack[-1][1], stack[-1][2])
                 out.append(current)
             if current is not None:
                 current.text.append(piece)
-                current.links += len(piece) if anchors else 0
+                current.links += len(piece) if opened["a"] else 0
         if m is None:
             break
         at = m.end()
@@ -134,41 +151,36 @@ def leaves(page: str | None) -> list[tuple[str, frozenset[str], str, float]]:
         if tag not in INLINE:
             current = None
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    for x, _, _ in stack[k:]:
-                        unseen -= x in UNSEEN
-                        anchors -= x == "a"
-                    del stack[k:]
-                    break
-                if tag in INLINE and stack[k][0] in SCOPES:
-                    break
+            if (scopes[-1][1] if tag in INLINE else opened)[tag] > 0:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag))
             continue
         if stack[-1][0] == "head" and tag not in IN_HEAD:
-            stack.pop()
-            unseen -= 1
+            close(len(stack) - 1)
+        empty = m[3].endswith("/")
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else end
+            if not (empty and tag not in CODE) and tag not in endless:
+                found = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                if found:
+                    at = found.end()
+                else:
+                    endless.add(tag)
+                    at = end if tag in CODE and not empty else at
             continue
         if tag in VOID:
             continue
         shut = CLOSES.get(tag) or (frozenset() if tag in INLINE else {"p", "h1", "h2", "h3", "h4", "h5", "h6"} if tag == "p" or tag[0] == "h" and len(tag) == 2 else {"p"})
-        if shut:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in shut:
-                    for x, _, _ in stack[k:]:
-                        unseen -= x in UNSEEN
-                        anchors -= x == "a"
-                    del stack[k:]
-                    break
-                if stack[k][0] == "object" or stack[k][0] in SCOPES and stack[k][0] not in shut:
-                    break
+        scope, within = scopes[-1]
+        if scope in shut or any(within[x] > 0 for x in shut):
+            close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in shut))
         names, above = _names(tag, m[3]), stack[-1]
         path = above[1] if above[1].issuperset(names) else above[1].union(names)
         stack.append((tag, path, above[2] if tag in INLINE else tag))
-        unseen += tag in UNSEEN
-        anchors += tag == "a"
+        opened[tag] += 1
+        opened[".unseen"] += tag in UNSEEN
+        within = scopes[-1][1]
+        within[tag] += 1
+        if tag in SCOPES or tag == "object":
+            scopes.append((tag, Counter()))
     done = []
     for leaf in out:
         raw = "".join(leaf.text)
@@ -435,7 +447,7 @@ def training_pages(pages: list[str]) -> list[tuple[list, list[int]]]:
         if found and None not in labels:
             out.append((found, labels))
     rng = random.Random(SEED)
-    blocks = [b if len(b) < 600 else b[:600].rpartition(" ")[0] or b[:600] for b in blocks] or ["Lorem ipsum dolor sit amet."]  # generated layouts only
+    blocks = blocks or ["Lorem ipsum dolor sit amet."]
     pool = sorted({w for b in rng.sample(blocks, min(len(blocks), 400)) for w in b.split()})
     for _ in range(LAYOUTS):
         page, labels = layout(rng, [rng.choice(blocks) for _ in range(rng.choice((1, 1, 2, 3, 4, 6, 9, 14)))], pool)
