@@ -22,7 +22,7 @@ import math
 import random
 import re
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +46,7 @@ RAW = frozenset("script style title textarea iframe noscript template svg math s
 CODE = frozenset("script style".split())  # without an end tag, the rest of the page is code; other elements of RAW then hold nothing
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table tbody thead tfoot div section article main aside nav header footer body html form fieldset blockquote figure td th".split())
+PARAGRAPH, HEADINGS, OWNERS = frozenset({"p"}), frozenset("p h1 h2 h3 h4 h5 h6".split()), SCOPES | {"object"}
 
 # Words of markup that state what a block is, by kind; used to label the sample and to generate layouts.
 STATED = {
@@ -114,8 +115,8 @@ def leaves(page: str | None) -> list[tuple[str, frozenset[str], str, float]]:
     out: list[Leaf] = []
     stack: list[tuple[str, frozenset[str], str]] = [("", frozenset(), "")]
     # Open elements by tag: on the whole page, and since the innermost scope, so that a search that must fail is not begun.
-    opened: Counter[str] = Counter()
-    scopes: list[tuple[str, Counter[str]]] = [("", Counter())]
+    opened: dict[str, int] = defaultdict(int)
+    scopes: list[tuple[str, dict[str, int]]] = [("", defaultdict(int))]
     endless: set[str] = set()  # raw elements that have no end tag any more
     current: Leaf | None = None
     at, end = 0, len(page)
@@ -123,8 +124,9 @@ def leaves(page: str | None) -> list[tuple[str, frozenset[str], str, float]]:
     def close(k: int) -> None:
         for tag, _, _ in reversed(stack[k:]):
             opened[tag] -= 1
-            opened[".unseen"] -= tag in UNSEEN
-            if tag in SCOPES or tag == "object":
+            if tag in UNSEEN:
+                opened[".unseen"] -= 1
+            if tag in OWNERS:
                 scopes.pop()
             scopes[-1][1][tag] -= 1
         del stack[k:]
@@ -168,19 +170,19 @@ def leaves(page: str | None) -> list[tuple[str, frozenset[str], str, float]]:
             continue
         if tag in VOID:
             continue
-        shut = CLOSES.get(tag) or (frozenset() if tag in INLINE else {"p", "h1", "h2", "h3", "h4", "h5", "h6"} if tag == "p" or tag[0] == "h" and len(tag) == 2 else {"p"})
+        shut = CLOSES.get(tag) or (frozenset() if tag in INLINE else HEADINGS if tag == "p" or tag[0] == "h" and len(tag) == 2 else PARAGRAPH)
         scope, within = scopes[-1]
-        if scope in shut or any(within[x] > 0 for x in shut):
+        if scope in shut or shut is PARAGRAPH and within["p"] or shut is not PARAGRAPH and any([within[x] for x in shut]):
             close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in shut))
         names, above = _names(tag, m[3]), stack[-1]
         path = above[1] if above[1].issuperset(names) else above[1].union(names)
         stack.append((tag, path, above[2] if tag in INLINE else tag))
         opened[tag] += 1
-        opened[".unseen"] += tag in UNSEEN
-        within = scopes[-1][1]
-        within[tag] += 1
-        if tag in SCOPES or tag == "object":
-            scopes.append((tag, Counter()))
+        if tag in UNSEEN:
+            opened[".unseen"] += 1
+        scopes[-1][1][tag] += 1
+        if tag in OWNERS:
+            scopes.append((tag, defaultdict(int)))
     done = []
     for leaf in out:
         raw = "".join(leaf.text)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+from pcmarts.llm.pii import IBAN_LENGTHS
+
 SPACES = r"\x20\x09-\x0D"
 
 QUALITY_RULES = rf"""
@@ -96,20 +98,35 @@ _KINDS = (
     ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"),
     ("card", r"[0-9](?:[ -]?[0-9])+"),
     ("phone", r"\+[0-9][ ().0-9-]+[0-9]"),
-    ("iban", r"\b[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?|[A-Z0-9]{11,30})\b"),
+    ("iban", r"[A-Z]{2}[0-9]{2}"),  # how one begins; how long it is depends on the country
 )
+_COUNTRIES = " ".join(IBAN_LENGTHS.values()).split()
+_KNOWN = "|".join(f"(?:{'|'.join(names.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{size - 4}}}" for size, names in IBAN_LENGTHS.items())
+_OTHER = "[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?|[A-Z0-9]{11,30})"
 
 
 def personal_data() -> str:
     found = " union all ".join(
-        f"select r, {no} as no, '{kind}' as kind, regexp_extract_all(t, '{pattern}') as ms, regexp_split_to_array(t, '{pattern}') as ps from d" for no, (kind, pattern) in enumerate(_KINDS)
+        f"select r, t, {no} as no, '{kind}' as kind, regexp_extract_all(t, '{pattern}') as ms, regexp_split_to_array(t, '{pattern}') as ps from d" for no, (kind, pattern) in enumerate(_KINDS)
     )
+    countries = ", ".join(f"'{c}'" for c in _COUNTRIES)
+    end = "(?:[^A-Za-z0-9]|$)"
     return rf"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
 f as ({found}),
-e as (select r, no, kind, unnest(range(1, len(ms) + 1)) as i, ms, ps from f where len(ms) > 0),
-m as (select r, no, kind, i, ms[i] as m, list_sum([length(x) for x in ps[1:i]]) + coalesce(list_sum([length(x) for x in ms[1:i - 1]]), 0) as start from e),
-n as (select *, regexp_replace(m, '[^0-9]', '', 'g') as digits, replace(m, ' ', '') as plain from m),
+e as (select r, t, no, kind, unnest(range(1, len(ms) + 1)) as i, ms, ps from f where len(ms) > 0),
+m as (
+  select r, t, no, kind, i, ms[i] as m, list_sum([length(x) for x in ps[1:i]]) + coalesce(list_sum([length(x) for x in ms[1:i - 1]]), 0) as start,
+    right(case when i > 1 and ps[i] = '' then '0' else ps[i] end, 1) as ahead
+  from e
+),
+o as (
+  select r, no, kind, start, ahead, case when kind <> 'iban' then m
+    when substr(t, start::bigint + 1, 2) in ({countries}) then regexp_extract(substr(t, start::bigint + 1, 72), '^({_KNOWN}){end}', 1)
+    else regexp_extract(substr(t, start::bigint + 1, 72), '^({_OTHER}){end}', 1) end as m
+  from m
+),
+n as (select *, regexp_replace(m, '[^0-9]', '', 'g') as digits, replace(m, ' ', '') as plain from o),
 v as (
   select r, no, kind, start::bigint as start, (start + length(m))::bigint as stop from n
   where kind = 'email'
@@ -118,7 +135,7 @@ v as (
         case when k % 2 = 0 then digits[length(digits) - k]::int else 2 * digits[length(digits) - k]::int - case when digits[length(digits) - k]::int > 4 then 9 else 0 end end
         for k in range(0, length(digits))]) % 10 = 0
     or kind = 'phone' and length(digits) between 10 and 15
-    or kind = 'iban' and length(plain) between 15 and 34 and list_reduce(
+    or kind = 'iban' and not regexp_matches(ahead, '[A-Za-z0-9]') and length(plain) between 15 and 34 and list_reduce(
         list_prepend(0, [case when ascii(c) < 58 then ascii(c) - 48 else ascii(c) - 55 end for c in string_split(plain[5:] || plain[:4], '')]),
         lambda a, x: (case when x < 10 then a * 10 + x else a * 100 + x end) % 97) = 1
 ),
