@@ -49,6 +49,12 @@ def least_hash(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(digest, key).limit(rows)
 
 
+def with_identity(docs: DataFrame) -> DataFrame:
+    """(_row_id, _row_digest, _row): id and hash of the text beside the whole row, so that no column of docs clashes with another's."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    return docs.select(F.col("doc_id").cast("long").alias("_row_id"), F.xxhash64("text").alias("_row_digest"), whole)
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value computed once however often body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -254,8 +254,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, levels: int | None
 
 def mixed(docs: DataFrame, shards: bool = True, **options: object) -> DataFrame:
     """The rows of the mix, a row for each time a document is drawn, with the columns of docs; with shards: dealt and ordered by shard."""
-    rows = mix(docs, **options).select(*docs.columns, F.explode("draws").alias("_draw"))
+    names = [options.get("text", "text"), options.get("source", "source")]
+    apart = docs.select("doc_id", *names, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))  # no column of docs meets one of the mix
+    rows = mix(apart, **options).select("doc_id", "_row", F.explode("draws").alias("_draw"))
     if shards:
         rows = rows.withColumn("_order", _hash(F.lit("order"), F.col("_draw.pass"), F.col("doc_id")))
         rows = rows.repartition("_draw.shard").sortWithinPartitions("_draw.shard", "_order")
-    return rows.select(*docs.columns)
+    return rows.select("_row.*")

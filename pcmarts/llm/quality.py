@@ -1,8 +1,8 @@
 """Quality classifier with hierarchical empirical Bayes: document evidence combined with host and path posteriors.
 
-1. Evidence. Two logistic heads (low quality, toxic) on hashed words, hashed beginnings of words and a few shares, trained on the driver from a
-   bounded sample: the TRAIN_ROWS labelled documents with the least hash of their id. Executors hash the texts; the driver gets bucket
-   numbers. A document's evidence is the log odds of being good (neither), less the log odds in the training sample.
+1. Evidence. Two logistic heads (low quality, toxic) on hashed words, hashed beginnings of words and a few shares, trained in one task from a
+   bounded sample: the TRAIN_ROWS labelled documents with the least hash of their id. All tasks hash the texts; that one gets bucket
+   numbers, and the driver only the weights. A document's evidence is the log odds of being good (neither), less the log odds in the training sample.
 2. Hierarchy. Each document's probability under the global prior is summed by host and path (grouped, with partial sums, so a hot host
    is a few rows). The global rate, the spread between hosts and the spread between paths of a host are estimated from these sums by
    moments; a host's rate is its sum shrunk to the global rate, a path's rate shrunk to its host's, each by the weight that its spread
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pcmarts.llm.common import least_hash, saved
+from pcmarts.llm.common import least_hash, saved, with_identity
 
 TRAIN_ROWS, BUCKETS, THRESHOLD, RATES = 16000, 1 << 18, 0.5, (0.2, 0.98)
 EPOCHS, STEPS, RATE, DECAY, BATCH, SEED = 10, 1000, 0.3, 1e-4, 48, 11
@@ -75,7 +75,10 @@ class Head:
         """Adagrad over shuffled batches, EPOCHS times over the rows and STEPS batches at least; a fixed seed, so reruns agree."""
         if not 0 < y.sum() < len(y):
             return self
-        common = np.bincount(np.concatenate([*buckets, np.zeros(0, np.int32)]), minlength=BUCKETS) >= MIN_TEXTS
+        count = np.zeros(BUCKETS, np.int32)
+        for b in buckets:  # distinct within a text
+            count[b] += 1
+        common = count >= MIN_TEXTS
         buckets = [b[common[b]] for b in buckets]
         rng, gw, gd = np.random.default_rng(SEED), np.full(BUCKETS, 1e-2, np.float32), np.full(DENSE, 1e-2, np.float32)
         self.d[-1] = math.log(y.mean() / (1 - y.mean()))
@@ -107,14 +110,30 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[H
             found = [features(t) for t in x["text"]]
             yield pd.DataFrame({"doc_id": x["doc_id"], "quality": x["quality"], "toxic": x["toxic"], "buckets": [b.tobytes() for b, _ in found], "dense": [d.tobytes() for _, d in found]})
 
-    got = sample.mapInPandas(run, "doc_id long, quality int, toxic int, buckets binary, dense binary").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    if got.empty:
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(batches, pa.schema(shown)).combine_chunks()
+        if not got.num_rows:
+            return
+        column = got["buckets"].chunk(0)
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset :][: len(column) + 1]
+        flat = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+        buckets = [flat[a:b].view(np.int32) for a, b in zip(ends, ends[1:], strict=False)]  # no copies
+        dense = np.stack([np.frombuffer(d, np.float32) for d in got["dense"].to_pylist()])
+        bad, toxic = ((got[c].to_numpy() == mark).astype(float) for c, mark in (("quality", 0), ("toxic", 1)))
+        heads = [Head().fit(buckets, dense, y) for y in (bad, toxic)]
+        weights = [pa.array([x.tobytes()], pa.binary()) for h in heads for x in (h.w, h.d)]
+        yield pa.RecordBatch.from_arrays([*weights, pa.array([float(((bad == 0) & (toxic == 0)).mean())])], ["w0", "d0", "w1", "d1", "good"])
+
+    shown = [("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32()), ("buckets", pa.binary()), ("dense", pa.binary())]
+    taken = sample.mapInPandas(run, "doc_id long, quality int, toxic int, buckets binary, dense binary").dropDuplicates(["doc_id"])
+    one = taken.repartition(1).sortWithinPartitions("doc_id")  # at most `rows` rows
+    found = one.mapInArrow(fit, "w0 binary, d0 binary, w1 binary, d1 binary, good double").first()
+    if found is None:
         return Head(), Head(), 0.5
-    buckets = [np.frombuffer(b, np.int32) for b in got["buckets"]]
-    dense = np.stack([np.frombuffer(d, np.float32) for d in got["dense"]])
-    bad, toxic = (got["quality"] == 0).to_numpy(float), (got["toxic"] == 1).to_numpy(float)
-    good = float(((bad == 0) & (toxic == 0)).mean())
-    return Head().fit(buckets, dense, bad), Head().fit(buckets, dense, toxic), min(max(good, 0.01), 0.99)
+    heads = [Head(), Head()]
+    for k, head in enumerate(heads):
+        head.w, head.d = np.frombuffer(found[f"w{k}"], np.float32), np.frombuffer(found[f"d{k}"], np.float32)
+    return heads[0], heads[1], min(max(found["good"], 0.01), 0.99)
 
 
 def with_evidence(docs: DataFrame, model: tuple[Head, Head, float]) -> DataFrame:
@@ -188,6 +207,5 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, row
 def keep_good(docs: DataFrame, labels: DataFrame, host: Column, path: Column, **options: object) -> DataFrame:
     """The rows of docs that the classifier keeps."""
     bad = classify(docs, labels, host, path, **options).where("not kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
-    rows = docs.withColumn("_text_digest", F.xxhash64("text"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_digest") == F.col("_digest"))
-    return rows.join(bad, same, "left_anti").drop("_text_digest")
+    same = F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_digest") == F.col("_digest"))
+    return with_identity(docs).join(bad, same, "left_anti").select("_row.*")

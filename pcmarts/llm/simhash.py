@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pcmarts.llm.common import saved
+from pcmarts.llm.common import saved, with_identity
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 HOT_BLOCK = 2048
@@ -208,7 +208,6 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
     """
     _, placed = _placed(docs, shingle, distance)
     kept = placed.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row.digest").alias("_digest"))
-    rows = docs.withColumn("_text_digest", F.xxhash64("text")).alias("d")
-    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("d._text_digest") == F.col("_digest"))
-    rows = rows.join(kept, same, "left_semi")
-    return rows.dropDuplicates(["doc_id", "_text_digest"]).drop("_text_digest")
+    rows = with_identity(docs)
+    rows = rows.join(kept, F.col("_row_id").eqNullSafe(F.col("_id")) & (F.col("_row_digest") == F.col("_digest")), "left_semi")
+    return rows.dropDuplicates(["_row_id", "_row_digest"]).select("_row.*")
