@@ -20,7 +20,7 @@ import uuid
 from collections.abc import Iterator
 from urllib.parse import quote
 
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs
 import zstandard
 from pyspark.sql import DataFrame
@@ -136,21 +136,22 @@ def roles(pages: DataFrame) -> DataFrame:
 def write(pages: DataFrame, folder: str) -> DataFrame:
     """(archive, n_records) of the archives written to folder, as a table that is there when this returns."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    fields = ("page_id", "url", "html", "digest", "refers_to")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive, done = None, []
-        for x in batches:
-            for row in x.itertuples(index=False):
+        for x in (b.slice(k, ROWS_OUT) for b in batches for k in range(0, b.num_rows, ROWS_OUT)):
+            for row in zip(*(x.column(c).to_pylist() for c in fields), strict=True):
                 archive = archive or Archive(folder)
-                number = lambda v: None if pd.isna(v) else int(v)
-                archive.add(page_record(number(row.page_id), row.url, row.html, row.digest, number(row.refers_to)))
+                archive.add(page_record(*row))
                 if archive.bytes >= ARCHIVE_BYTES:
                     done.append(archive.close())
                     archive = None
         if archive:
             done.append(archive.close())
-        yield pd.DataFrame(done, columns=["archive", "n_records"])
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["archive", "n_records"])
 
-    return saved(roles(pages).mapInPandas(run, "archive string, n_records long"), "archives")
+    return saved(roles(pages).mapInArrow(run, "archive string, n_records long"), "archives")
 
 
 READ = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary"
@@ -162,10 +163,10 @@ def read(archives: DataFrame, folder: str) -> DataFrame:
     def page(name: str | None) -> int | None:
         return int(name[10:-1]) if name and name.startswith("<urn:page:") else None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pyarrow.fs.FileSystem.from_uri(folder)
         for x in batches:
-            for name in x["archive"]:
+            for name in x.column("archive").to_pylist():
                 rows = []
                 with fs.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     for fields, block in records(stream):
@@ -180,16 +181,16 @@ def read(archives: DataFrame, folder: str) -> DataFrame:
                                 raise ValueError(f"payload of {fields['WARC-Record-ID']} in {name} is damaged")
                         rows.append((page(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), kind, stated, size, page(fields.get("WARC-Refers-To")), payload))
                         if len(rows) >= ROWS_OUT:
-                            yield _frame(rows)
+                            yield _batch(rows)
                             rows = []
-                yield _frame(rows)
+                yield _batch(rows)
 
     # A stated number of partitions: the list is small, and adaptive execution would read all archives in one task.
     tasks = min(max(1, archives.count()), 4 * int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return archives.repartition(tasks).mapInPandas(run, READ)
+    return archives.repartition(tasks).mapInArrow(run, READ)
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    names = [c.split()[0] for c in READ.split(", ")]
-    out = pd.DataFrame(rows, columns=names)
-    return out.astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    named = [c.split() for c in READ.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(named)], [n for n, _ in named])
