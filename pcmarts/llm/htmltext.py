@@ -451,8 +451,14 @@ def training_pages(pages: list[str]) -> list[tuple[list, list[int]]]:
     rng = random.Random(SEED)
     blocks = blocks or ["Lorem ipsum dolor sit amet."]
     pool = sorted({w for b in rng.sample(blocks, min(len(blocks), 400)) for w in b.split()})
+
+    def block() -> str:
+        """A block of the sample, or as many of its first words as chance has it: articles have blocks of all lengths."""
+        words = rng.choice(blocks).split(" ")
+        return " ".join(words if rng.random() < 0.3 else words[: max(3, int(len(words) * rng.random() ** 2))])
+
     for _ in range(LAYOUTS):
-        page, labels = layout(rng, [rng.choice(blocks) for _ in range(rng.choice((1, 1, 2, 3, 4, 6, 9, 14)))], pool)
+        page, labels = layout(rng, [block() for _ in range(rng.choice((1, 1, 2, 3, 4, 6, 9, 14)))], pool)
         found = leaves(page)
         if len(found) == len(labels):
             out.append((found, labels))
