@@ -49,6 +49,7 @@ FOLDS, HELD_OUT = 5, 1
 TOP_WORDS, TOP_GRAMS = 1 << 16, 1 << 18
 FLUSH_WORDS, FLUSH_ROWS = 200_000, 100_000
 TOP_CONTEXTS, HELD_GRAMS, COUNTED, LOOKED_UP, PIECE = 1 << 21, 1 << 21, 1 << 22, 1 << 20, 1 << 20
+TEXTS = 1 << 8  # looked up at once: a gram of seven bytes and the text's number are one word of 64 bits
 SPACE, END = 0x20, 0x0A
 PART_SHIFT = 8 * (DEPTH - SPLIT + 1)  # what is above are the last SPLIT context bytes
 LN2, LN10 = math.log(2), math.log(10)
@@ -442,13 +443,22 @@ def score(docs: DataFrame, across: bool = False) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names)
 
         def looked_up(parts: np.ndarray, gram: np.ndarray, number: np.ndarray, first: int) -> Iterator[pa.RecordBatch]:
-            """Adds known grams to the texts' parts; rows of the others, to be joined."""
-            order = np.argsort(gram)
-            gram, number = gram[order], number[order]
-            at = np.minimum(np.searchsorted(known_grams, gram), max(0, len(known_grams) - 1))
-            there = known_grams[at] == gram if len(known_grams) else np.zeros(len(gram), bool)
-            parts += np.bincount(number[there], gram_values[at[there]], len(parts))
-            gram, number = gram[~there], number[~there].astype(np.int64) + first
+            """Adds known grams to the texts' parts; rows of the others, to be joined. number is below TEXTS: both sort as one word."""
+            both = gram.view(np.uint64) << np.uint64(8)
+            both |= number.astype(np.uint64)
+            both.sort()
+            gram = (both >> np.uint64(8)).view(np.int64)
+            both &= np.uint64(TEXTS - 1)
+            number = both.view(np.int64)
+            begin = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
+            distinct, times_ = gram[begin], np.diff(np.append(begin, len(gram)))  # equal grams are looked up once
+            at = np.minimum(np.searchsorted(known_grams, distinct), max(0, len(known_grams) - 1))
+            there = known_grams[at] == distinct if len(known_grams) else np.zeros(len(distinct), bool)
+            value = np.zeros(len(distinct))
+            value[there] = gram_values[at[there]]
+            parts += np.bincount(number, np.repeat(value, times_), len(parts))
+            far_ = ~np.repeat(there, times_)
+            gram, number = gram[far_], number[far_] + first
             for lo in range(0, len(gram), FLUSH_ROWS):
                 key, rows_ = gram_keys(gram[lo : lo + FLUSH_ROWS]), pa.array(number[lo : lo + FLUSH_ROWS])
                 times = pa.array(np.ones(len(key), np.int64))
@@ -457,8 +467,9 @@ def score(docs: DataFrame, across: bool = False) -> DataFrame:
         for held, ids in _portions(batches, LOOKED_UP):
             parts = np.zeros(len(held))
             if across:
-                for gram, number in pieces_of(held):
-                    yield from looked_up(parts, gram, number, row)
+                for lo in range(0, len(held), TEXTS):
+                    for gram, number in pieces_of(held[lo : lo + TEXTS]):
+                        yield from looked_up(parts[lo : lo + TEXTS], gram, number, row + lo)
             size = np.fromiter(map(len, held), np.int64, len(held))
             flat = list(itertools.chain.from_iterable(held))
             at = np.fromiter(map(get, flat, itertools.repeat(-1)), np.int64, len(flat))
