@@ -13,7 +13,7 @@ How the work is spread, across words
    HELD_GRAMS grams at once, partial sums are shuffled. Grams of held-out documents have count 0.
 2. Subtrees as in 2 below. A text's score is the sum over its grams: the most frequent ones (TOP_CONTEXTS, a bound on memory) are
    looked up in the task, all others are joined by key with the words in one shuffle. Texts are counted in portions of COUNTED bytes
-   and looked up in portions of LOOKED_UP bytes; of a long text, PIECE bytes at once.
+   and looked up in portions of LOOKED_UP bytes, also of one long text. A gram or word comes to the join once per text, with its times.
 
 How the work is spread, word by word
 1. Word counts: each task counts words, partial sums are shuffled. Training words and words that only held-out documents have form the
@@ -30,14 +30,13 @@ Rows are scored one by one, so repeated rows stay. Without training documents ev
 
 from __future__ import annotations
 
-import itertools
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +47,8 @@ DEPTH, SPLIT = 6, 2
 FOLDS, HELD_OUT = 5, 1
 TOP_WORDS, TOP_GRAMS = 1 << 16, 1 << 18
 FLUSH_WORDS, FLUSH_ROWS = 200_000, 100_000
-TOP_CONTEXTS, HELD_GRAMS, COUNTED, LOOKED_UP, PIECE = 1 << 21, 1 << 21, 1 << 22, 1 << 20, 1 << 20
+TOP_CONTEXTS, HELD_GRAMS, HELD_WORDS = 1 << 21, 1 << 21, 1 << 20
+COUNTED, LOOKED_UP, PIECE = 1 << 22, 1 << 20, 1 << 16  # bytes; a piece stays in the cache
 TEXTS = 1 << 8  # looked up at once: a gram of seven bytes and the text's number are one word of 64 bits
 SPACE, END = 0x20, 0x0A
 PART_SHIFT = 8 * (DEPTH - SPLIT + 1)  # what is above are the last SPLIT context bytes
@@ -74,12 +74,12 @@ def grams_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 START = bytes([END] * (DEPTH - 1) + [SPACE])  # what stands before a text; no word has an end byte
 
 
-def pieces_of(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(grams, numbers of the text) of all bytes of texts given as words, with the DEPTH bytes before them, PIECE bytes at once."""
+def pieces_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(grams, numbers of the text) of all bytes of texts (words, a space after each), with the DEPTH bytes before them, PIECE bytes at once."""
     if not texts:
         return
-    data = np.frombuffer(bytes([END]) + b"".join(START + b" ".join([*words, b""]) + bytes([END]) for words in texts), np.uint8)
-    size = np.fromiter((sum(map(len, words)) + len(words) + 1 + DEPTH for words in texts), np.int64, len(texts))
+    data = np.frombuffer(bytes([END]) + b"".join(START + text + bytes([END]) for text in texts), np.uint8)
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1 + DEPTH
     begin = np.cumsum(size) - size + 1
     eight = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (max(0, len(data) - 7),), (1,))  # a byte is the highest of the eight up to it
     for lo in range(1 + DEPTH, len(data), PIECE):
@@ -95,6 +95,21 @@ def pieces_of(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray
         yield gram.view(np.int64)[own], (np.cumsum(step, dtype=np.int32) + np.int32(first - 1))[own]
 
 
+def grams_at_once(texts: list[bytes], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pieces of the texts put together to about `most` bytes."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for piece in pieces_of(texts):
+        held.append(piece)
+        size += len(piece[0])
+        if size >= most:
+            whole = tuple(map(np.concatenate, zip(*held, strict=True)))
+            held, size = [], 0
+            yield whole
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
 def end_gram() -> int:
     return SPACE << (8 * DEPTH) | END
 
@@ -110,35 +125,58 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y / 1680))) / x - shift
 
 
+OF_HALF, OF_ONE = (lgamma(np.arange(1 << 12) + x) for x in (0.5, 1.0))  # small counts need no series
+
+
+def lgamma_from(n: np.ndarray, more: float, table: np.ndarray) -> np.ndarray:
+    """lgamma(n + more) of whole n, small ones from the table."""
+    out, large = table[np.minimum(n, len(table) - 1).astype(np.int64)], n >= len(table)
+    if large.any():
+        out[large] = lgamma(n[large] + more)
+    return out
+
+
 def kt_log(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log probability of any one sequence of n0 zeros and n1 ones by the Krichevsky-Trofimov estimator."""
-    return lgamma(n0 + 0.5) + lgamma(n1 + 0.5) - lgamma(n0 + n1 + 1.0) - math.log(math.pi)
+    return lgamma_from(n0, 0.5, OF_HALF) + lgamma_from(n1, 0.5, OF_HALF) - lgamma_from(n0 + n1, 1.0, OF_ONE) - math.log(math.pi)
 
 
-def decisions(gram: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(node keys, bits) of the eight decisions of each gram at a depth: node = context of that depth and the bits before."""
-    context, byte = gram >> (8 * (DEPTH - depth + 1)) if depth else np.zeros_like(gram), gram & 255
-    keys = np.stack([context << 8 | (1 << j) | (byte >> (8 - j)) for j in range(8)])
+def decisions(cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node keys, bits) of the eight decisions of each gram, cut to the depth: node = its context and the bits before."""
+    byte = cut & 255
+    keys = np.stack([cut - byte | (1 << j) | (byte >> (8 - j)) for j in range(8)])
     return keys, np.stack([(byte >> (7 - j)) & 1 for j in range(8)])
 
 
 class Level:
-    """The nodes of one depth: keys ascending, counts, log KT, log of the children's product, log weighted probability."""
+    """The nodes of one depth: keys, counts, log KT, log of the children's product, log weighted probability.
 
-    def __init__(self, key: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: np.ndarray | None) -> None:
-        self.key, self.n0, self.n1, self.kt = key, n0, n1, kt_log(n0, n1)
-        total = self.kt if below is None else np.logaddexp(self.kt, below)
-        self.own = np.exp(self.kt - total)  # weight of the node against its subtree
+    of: the nodes of the eight decisions of the grams that made the level, cut to its depth, ascending.
+    """
+
+    def __init__(self, key: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: np.ndarray | None, of: np.ndarray | None = None) -> None:
+        self.key, self.n0, self.n1, self.of = key, n0, n1, of
+        kt = kt_log(n0, n1)
+        total = kt if below is None else np.logaddexp(kt, below)
+        self.own = np.exp(kt - total)  # weight of the node against its subtree
         self.log = total - (0.0 if below is None else LN2)
 
-    def mixed(self, keys: np.ndarray, bits: np.ndarray, p: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probability of the bits, node is there), given the same from the depth below."""
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(node of each key, node is there)."""
+        order = np.argsort(self.key)
+        at = order[np.minimum(np.searchsorted(self.key, keys, sorter=order), len(self.key) - 1)]
+        return at, self.key[at] == keys
+
+    def mixed(self, keys: np.ndarray, bits: np.ndarray, up: np.ndarray, p: np.ndarray, known: np.ndarray, made: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(probability of the bits, node is there), given the same from the depth below. keys, bits: of the cut grams; up: their places."""
         if not len(self.key):
             return p, np.zeros_like(known)
-        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
-        there = self.key[at] == keys
-        kt = (np.where(bits == 1, self.n1[at], self.n0[at]) + 0.5) / (self.n0[at] + self.n1[at] + 1)
-        return np.where(there, np.where(known, self.own[at] * kt + (1 - self.own[at]) * p, kt), p), there
+        at, there = (self.of, True) if made else self.find(keys)
+        n0, n1 = self.n0[at], self.n1[at]
+        there = (there & (n0 + n1 > 0))[:, up]
+        kt = ((np.where(bits == 1, n1, n0) + 0.5) / (n0 + n1 + 1))[:, up]
+        own = np.where(known, self.own[at][:, up], 1.0)
+        return np.where(there, own * kt + (1 - own) * p, p), there
 
 
 def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -153,25 +191,40 @@ def parents(key: np.ndarray) -> np.ndarray:
 
 
 def subtree(gram: np.ndarray, count: np.ndarray) -> list[Level]:
-    """Levels DEPTH..SPLIT of the trees over trained grams of one group."""
-    levels, below = [], None
+    """Levels DEPTH..SPLIT of the trees over the grams of one group. Nodes of untrained grams (count 0) only have probability one.
+
+    At a depth the cut grams are sorted once: nodes of each of the eight decisions are runs of them.
+    """
+    levels, first, cut, n = [], [], gram, count.astype(float)
     for depth in range(DEPTH, SPLIT - 1, -1):
-        keys, bits = decisions(gram, depth)
-        n = np.broadcast_to(count.astype(float), keys.shape)
-        key, n0, n1 = summed(keys, n * (1 - bits), n * bits)
-        if below is not None:
-            _, below = summed(parents(below.key), below.log)  # the same keys, as every node has a child
-        below = Level(key, n0, n1, below)
-        levels.append(below)
+        cut, up = np.unique(cut if depth == DEPTH else parents(cut), return_inverse=True)
+        n = np.bincount(up, n, len(cut))
+        of, low, first, nodes, size = np.empty((8, len(cut)), np.int64), first, [], [], 0
+        for j in range(8):
+            node = cut >> (8 - j)
+            new = np.concatenate([np.ones(min(1, len(cut)), bool), node[1:] != node[:-1]])
+            begin = np.flatnonzero(new)
+            of[j] = np.cumsum(new) + (size - 1)
+            one = n * ((cut >> (7 - j)) & 1)
+            all_, n1 = (np.add.reduceat(v, begin) if len(cut) else v for v in (n, one))
+            nodes.append(((cut - (cut & 255) | (1 << j) | (cut & 255) >> (8 - j))[begin], all_ - n1, n1))
+            first.append(begin)
+            size += len(begin)
+        # a node's first gram leads to the node above
+        below = np.bincount(np.concatenate([of[j, up[low[j]]] for j in range(8)]), levels[-1].log, size) if levels else None
+        levels.append(Level(*(np.concatenate(v) for v in zip(*nodes, strict=True)), below, of))
     return levels
 
 
-def log10_of(gram: np.ndarray, levels: list[Level], top: list[Level]) -> np.ndarray:
-    """log10 probability of each gram's byte in its context."""
+def log10_of(gram: np.ndarray, levels: list[Level], top: list[Level], made: bool = False) -> np.ndarray:
+    """log10 probability of each gram's byte in its context. made: the levels' subtree was made of just these grams."""
     p, known = np.full((8, len(gram)), 0.5), np.zeros((8, len(gram)), bool)
+    cut, up = gram, np.arange(len(gram))
     for depth, level in zip(range(DEPTH, -1, -1), [*levels, *top], strict=True):
-        keys, bits = decisions(gram, depth)
-        p, known = level.mixed(keys, bits, p, known)
+        cut, at = np.unique(cut if depth == DEPTH else parents(cut), return_inverse=True)
+        up = at[up]
+        keys, bits = decisions(cut)
+        p, known = level.mixed(keys, bits, up, p, known, made and level.of is not None)
     return np.log(p).sum(0) / LN10
 
 
@@ -190,8 +243,15 @@ def top_levels(roots: pd.DataFrame) -> list[Level]:
 # --- corpus jobs
 
 
-def _tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """(words of all texts, numbers of words, texts as words with a space after each)."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    lists = pc.ascii_split_whitespace(trimmed)  # no text: one empty word
+    some = pc.greater(pc.binary_length(trimmed), 0)
+    size = np.where(some.to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy(zero_copy_only=False), 0).astype(np.int64)
+    words = lists.flatten()
+    plain = pc.binary_join_element_wise(pc.binary_join(lists, " "), pc.if_else(some, " ", ""), "")
+    return words.filter(pc.greater(pc.binary_length(words), 0)).cast(pa.binary()), size, plain.cast(pa.binary())
 
 
 def held_out(doc_id: Column) -> Column:
@@ -201,27 +261,27 @@ def held_out(doc_id: Column) -> Column:
 def lexicon(docs: DataFrame) -> DataFrame:
     """(word, n): how often each word of the corpus occurs in training documents, 0 for words of held-out documents only."""
 
+    def merged(parts: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return sums.select(["word", "n_sum"]).rename_columns(["word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-            seen.clear()
-            return rows
-
-        for x in batches:
-            for text, aside in zip(x.column("text").to_pylist(), x.column("aside").to_pylist(), strict=True):
-                if aside:
-                    for word in _tokens(text):
-                        seen.setdefault(word, 0)
-                else:
-                    seen.update(_tokens(text))
-                if len(seen) >= 2 * FLUSH_WORDS:
-                    yield out()
-        yield out()
+        held, fresh, size = pa.schema({"word": pa.binary(), "n": pa.int64()}).empty_table(), [], 0
+        for texts, aside in _portions(batches, COUNTED):
+            for kind in (False, True):
+                counts = pc.value_counts(_split(texts.filter(pc.equal(aside, kind)))[0])
+                n = counts.field(1) if not kind else pa.array(np.zeros(len(counts), np.int64))
+                fresh.append(pa.table({"word": counts.field(0), "n": n}))
+                size += len(counts)
+            if size >= max(HELD_WORDS // 2, len(held)):
+                held, fresh, size = merged([held, *fresh]), [], 0
+                if len(held) >= HELD_WORDS:
+                    yield from held.combine_chunks().to_batches(FLUSH_ROWS)
+                    held = held.slice(0, 0)
+        yield from merged([held, *fresh]).combine_chunks().to_batches(FLUSH_ROWS)
 
     rows = docs.select("text", held_out(F.col("doc_id")).alias("aside")).mapInArrow(run, "word binary, n long")
-    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.repartition("word").groupBy("word").agg(F.sum("n").alias("n"))  # tasks have summed: no use in trying again before the shuffle
 
 
 def _flushed(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -266,24 +326,15 @@ def text_grams(docs: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
             return key[first], np.add.reduceat(n, first) if len(key) else n
 
-        def counted(grams_: list[np.ndarray], times: int) -> tuple[np.ndarray, np.ndarray]:
-            key, n = np.unique(np.concatenate(grams_), return_counts=True)
-            grams_.clear()
-            return key, n * times
-
         def out() -> Iterator[pa.RecordBatch]:
             for lo in range(0, len(held[0]), FLUSH_ROWS):
                 yield pa.RecordBatch.from_arrays([pa.array(v[lo : lo + FLUSH_ROWS]) for v in held], ["gram", "n"])
 
         for texts, aside in _portions(batches, COUNTED):
             for kind in (False, True):
-                held_back: list[np.ndarray] = []
-                for gram, _ in pieces_of([t for t, a in zip(texts, aside, strict=True) if a == kind]):
-                    held_back.append(gram)
-                    if sum(map(len, held_back)) >= COUNTED:
-                        fresh.append(counted(held_back, not kind))
-                if held_back:
-                    fresh.append(counted(held_back, not kind))
+                for gram, _ in grams_at_once(_split(texts.filter(pc.equal(aside, kind)))[2].to_pylist(), COUNTED):
+                    key, times = np.unique(gram, return_counts=True)
+                    fresh.append((key, times * (not kind)))
             if sum(len(k) for k, _ in fresh) >= max(HELD_GRAMS // 2, len(held[0])):
                 held = merged()
                 if len(held[0]) >= HELD_GRAMS:
@@ -293,23 +344,32 @@ def text_grams(docs: DataFrame) -> DataFrame:
         yield from out()
 
     rows = docs.select("text", held_out(F.col("doc_id")).alias("aside")).mapInArrow(run, "gram long, n long")
-    return rows.groupBy("gram").agg(F.sum("n").alias("n"))
+    return rows.repartition("gram").groupBy("gram").agg(F.sum("n").alias("n"))  # as for words
+
 
+def _portions(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(texts, values of the second column) in portions of about `most` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def whole() -> tuple[pa.Array, pa.Array]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        return tuple(pa.concat_arrays(c.chunks) for c in rows.columns)
 
-def _portions(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list[list[bytes]], list]]:
-    """(texts as words, values of the second column) in portions of about `most` bytes."""
-    texts, values, size = [], [], 0
     for x in batches:
-        for text, value in zip(x.column(0), x.column(1), strict=True):
-            text = text.as_py()
-            texts.append(_tokens(text))
-            values.append(value.as_py())
-            size += len(text or "") + DEPTH + 1
+        ends = np.cumsum(pc.fill_null(pc.binary_length(x.column(0)), 0).to_numpy().astype(np.int64) + DEPTH + 1)
+        lo = done = 0
+        while lo < x.num_rows:
+            hi = min(int(np.searchsorted(ends, done + most - size)) + 1, x.num_rows)
+            held.append(x.slice(lo, hi - lo))
+            size += int(ends[hi - 1]) - done
+            lo, done = hi, int(ends[hi - 1])
             if size >= most:
-                yield texts, values
-                texts, values, size = [], [], 0
-    if texts:
-        yield texts, values
+                yield whole()
+                size = 0
+    if held:
+        yield whole()
 
 
 def gram_keys(gram: np.ndarray) -> pa.Array:
@@ -337,7 +397,7 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.n
 def gram_logs(counted: DataFrame) -> DataFrame:
     """(gram, n, log10): the model's log10 probability of each gram's byte in its context."""
     part = F.shiftright("gram", PART_SHIFT)
-    parts = counted.repartition(part).sortWithinPartitions(part).select("gram", "n")
+    parts = counted.repartition(part).sortWithinPartitions("gram").select("gram", "n")
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, n in _whole(batches):
@@ -352,7 +412,7 @@ def gram_logs(counted: DataFrame) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gram, n in _whole(batches):
-            logs = log10_of(gram, subtree(gram[n > 0], n[n > 0]), top)
+            logs = log10_of(gram, subtree(gram, n), top, made=True)
             yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n), pa.array(logs)], ["gram", "n", "log10"])
 
     return parts.mapInArrow(scored, "gram long, n long, log10 double")
@@ -425,22 +485,16 @@ def score(docs: DataFrame, across: bool = False) -> DataFrame:
     scale = n_all + 0.5 * (v_all + 1)
     base = lambda n: math.log10((n + 0.5) / scale)
     top = scored.where(frequent(scored, TOP_WORDS)).toArrow()
-    # Compact on the driver and on the way; a task makes its own lookup table. No word has a space.
-    near_words, near_counts, near_logs = b" ".join(top["word"].to_pylist()), top["n"].to_numpy(), top["log10"].to_numpy()
+    # Compact on the driver and on the way; a task makes its own lookup table.
+    near, near_counts, near_logs = pa.array(top["word"].to_pylist(), pa.binary()), top["n"].to_numpy(), top["log10"].to_numpy()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near_base = np.log10((near_counts + 0.5) / scale)
-        near = dict(zip(near_words.split(b" "), range(len(near_counts)), strict=False))
-        row, get = TaskContext.get().partitionId() << 40, near.get
+        row = TaskContext.get().partitionId() << 40
         names, kinds = ["row", "word", "times", "doc_id", "n_tokens", "n_known", "base", "part", "n_bytes"], [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
-        far: list[list] = [[], [], []]
 
-        def rest() -> pa.RecordBatch:
-            size = len(far[0])
-            columns = [pa.array(c, k) for c, k in zip(far, kinds, strict=False)] + [pa.nulls(size, k) for k in kinds[3:]]
-            for c in far:
-                c.clear()
-            return pa.RecordBatch.from_arrays(columns, names)
+        def rest(rows_: pa.Array, key: pa.Array, times: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([rows_, key, times, *(pa.nulls(len(key), k) for k in kinds[3:])], names)
 
         def looked_up(parts: np.ndarray, gram: np.ndarray, number: np.ndarray, first: int) -> Iterator[pa.RecordBatch]:
             """Adds known grams to the texts' parts; rows of the others, to be joined. number is below TEXTS: both sort as one word."""
@@ -459,37 +513,34 @@ def score(docs: DataFrame, across: bool = False) -> DataFrame:
             parts += np.bincount(number, np.repeat(value, times_), len(parts))
             far_ = ~np.repeat(there, times_)
             gram, number = gram[far_], number[far_] + first
+            begin = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (number[1:] != number[:-1])])) if len(gram) else np.zeros(0, np.int64)
+            gram, number, times_ = gram[begin], number[begin], np.diff(np.append(begin, len(gram)))
             for lo in range(0, len(gram), FLUSH_ROWS):
-                key, rows_ = gram_keys(gram[lo : lo + FLUSH_ROWS]), pa.array(number[lo : lo + FLUSH_ROWS])
-                times = pa.array(np.ones(len(key), np.int64))
-                yield pa.RecordBatch.from_arrays([rows_, key, times, *(pa.nulls(len(key), k) for k in kinds[3:])], names)
+                hi = lo + FLUSH_ROWS
+                yield rest(pa.array(number[lo:hi]), gram_keys(gram[lo:hi]), pa.array(times_[lo:hi]))
 
         for held, ids in _portions(batches, LOOKED_UP):
             parts = np.zeros(len(held))
+            words_, size, plain = _split(held)
             if across:
                 for lo in range(0, len(held), TEXTS):
-                    for gram, number in pieces_of(held[lo : lo + TEXTS]):
+                    for gram, number in grams_at_once(plain[lo : lo + TEXTS].to_pylist(), LOOKED_UP):
                         yield from looked_up(parts[lo : lo + TEXTS], gram, number, row + lo)
-            size = np.fromiter(map(len, held), np.int64, len(held))
-            flat = list(itertools.chain.from_iterable(held))
-            at = np.fromiter(map(get, flat, itertools.repeat(-1)), np.int64, len(flat))
+            at = pc.fill_null(pc.index_in(words_, value_set=near), -1).to_numpy()
             number, there = np.repeat(np.arange(len(held)), size), at >= 0
             hit, of = at[there], number[there]
             known = np.bincount(of, minlength=len(held)) + int(texts > 0)
             lower = np.bincount(of, near_base[hit], len(held)) + base(texts)
             parts += np.bincount(of, near_logs[hit], len(held)) + end_log
-            length = np.bincount(number, np.fromiter(map(len, flat), np.int64, len(flat)), len(held)).astype(np.int64) + size + 1
-            for (k, word), times in Counter((k, flat[i]) for i, k in zip(np.flatnonzero(~there).tolist(), number[~there].tolist(), strict=True)).items():
-                far[0].append(row + k)
-                far[1].append(word)
-                far[2].append(times)
+            length = pc.binary_length(plain).to_numpy().astype(np.int64) + 1
+            far = pa.table({"row": row + number[~there], "word": words_.filter(pa.array(~there))})
+            far = far.group_by(["row", "word"], use_threads=False).aggregate([([], "count_all")]).combine_chunks()
+            for x in far.select(["row", "word", "count_all"]).to_batches(FLUSH_ROWS):
+                yield rest(*x.columns)
             numbers = np.arange(row, row + len(held))
             own = [numbers, [b" %d" % k for k in numbers.tolist()], np.zeros(len(held), np.int64), ids, size + 1, known, lower, parts, length]  # no word has a space
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(own, kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([c if c is ids else pa.array(c, k) for c, k in zip(own, kinds, strict=True)], names)
             row += len(held)
-            if len(far[0]) >= FLUSH_ROWS:
-                yield rest()
-        yield rest()
 
     rows = docs.select("text", "doc_id").mapInArrow(run, "row long, word binary, times long, doc_id long, n_tokens long, n_known long, base double, part double, n_bytes long")
     rows = rows.join(joined.select("word", "n", "log10"), "word", "left")
